@@ -71,17 +71,24 @@ def distribution_profile(df: DataFrame, key: str, measures: dict[str, str], quan
 
     ``percentile`` keeps the values of a group; for very large groups
     ``percentile_approx`` is the bounded-memory choice."""
-    aggs = []
+    aggs, picks = [], []
     for col, prefix in measures.items():
         c = F.col(col)
+        qs = quantiles.get(col, [])
+        if qs:  # one value buffer per column, all its quantiles read from it
+            aggs.append(F.percentile(c, F.array(*[F.lit(q) for q in qs])).alias(f"_{prefix}_q"))
         aggs.append(F.min(c).alias(f"{prefix}_min"))
-        for q in quantiles.get(col, []):
-            aggs.append(F.percentile(c, q).alias(f"{prefix}_p{int(round(q * 100)):02d}"))
+        picks.append(f"{prefix}_min")
+        for i, q in enumerate(qs):
+            picks.append(F.col(f"_{prefix}_q")[i].alias(f"{prefix}_p{int(round(q * 100)):02d}"))
         aggs.append(F.max(c).alias(f"{prefix}_max"))
+        picks.append(f"{prefix}_max")
         if col in zero_rate:
             aggs.append(rate(c == 0).alias(f"{prefix}_zero_rate"))
+            picks.append(f"{prefix}_zero_rate")
         aggs.append(rate(c.isNull()).alias(f"{prefix}_null_rate"))
-    return df.groupBy(key).agg(*aggs)
+        picks.append(f"{prefix}_null_rate")
+    return df.groupBy(key).agg(*aggs).select(key, *picks)
 
 
 def latest_rows_with_type(hourly: DataFrame, n: int = 5) -> DataFrame:

@@ -360,58 +360,59 @@ def q_cooldown_replay(spark, sf):
 
 
 # ------------------------------------------------------------------ health
-_ZONE = F.lit(fx.HEALTH_ZONE)
+def _zone():
+    return F.lit(fx.HEALTH_ZONE)
 
 
 @query("snapshots_of_day")
 def q_snapshots_of_day(spark, sf):
-    return health.snapshots_of_day(_registry(spark, sf), _ZONE)
+    return health.snapshots_of_day(_registry(spark, sf), _zone())
 
 
 @query("dedup_hours")
 def q_dedup_hours(spark, sf):
-    return health.dedup_hours(health.snapshots_of_day(_registry(spark, sf), _ZONE))
+    return health.dedup_hours(health.snapshots_of_day(_registry(spark, sf), _zone()))
 
 
 @query("expected_hours")
 def q_expected_hours(spark, sf):
-    s = health.snapshots_of_day(_registry(spark, sf), _ZONE)
+    s = health.snapshots_of_day(_registry(spark, sf), _zone())
     return health.expected_hours(health.day_spine(s))
 
 
 @query("missing_hours")
 def q_missing_hours(spark, sf):
-    s = health.snapshots_of_day(_registry(spark, sf), _ZONE)
+    s = health.snapshots_of_day(_registry(spark, sf), _zone())
     return health.missing_hours(health.expected_hours(health.day_spine(s)), health.dedup_hours(s))
 
 
 @query("hash_changes")
 def q_hash_changes(spark, sf):
-    s = health.snapshots_of_day(_registry(spark, sf), _ZONE)
+    s = health.snapshots_of_day(_registry(spark, sf), _zone())
     return health.hash_changes(health.dedup_hours(s))
 
 
 @query("change_rate")
 def q_change_rate(spark, sf):
-    s = health.snapshots_of_day(_registry(spark, sf), _ZONE)
+    s = health.snapshots_of_day(_registry(spark, sf), _zone())
     return health.change_rate(health.hash_changes(health.dedup_hours(s)))
 
 
 @query("missing_hours_list")
 def q_missing_list(spark, sf):
-    s = health.snapshots_of_day(_registry(spark, sf), _ZONE)
+    s = health.snapshots_of_day(_registry(spark, sf), _zone())
     miss = health.missing_hours(health.expected_hours(health.day_spine(s)), health.dedup_hours(s))
     return health.missing_hours_list(miss)
 
 
 @query("snapshot_health")
 def q_snapshot_health(spark, sf):
-    return health.snapshot_health(_registry(spark, sf), _ZONE)
+    return health.snapshot_health(_registry(spark, sf), _zone())
 
 
 @query("health_latest")
 def q_health_latest(spark, sf):
-    return health.health_latest(health.snapshot_health(_registry(spark, sf), _ZONE))
+    return health.health_latest(health.snapshot_health(_registry(spark, sf), _zone()))
 
 
 # ------------------------------------------------------------------ digest
