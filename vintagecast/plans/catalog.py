@@ -590,3 +590,77 @@ def q_latest_rows_with_type(spark, sf):
 @query("stats_and_sample")
 def q_stats_and_sample(spark, sf):
     return profile.stats_and_sample(_h(spark, sf))
+
+
+# ------------------------------------------------------------------ streaming
+# Each key lands its input as files in the shared checkpoint folder, runs the
+# streaming query with an availableNow trigger and reads the sink back.  One
+# trigger sees every file, so the result equals the batch rule and the
+# batch oracle applies; multi-batch behaviour is covered in
+# tests/test_streaming.py.
+def _stream_base(spark: SparkSession, name: str) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}-{uuid.uuid4().hex}")
+
+
+def _landed(df: DataFrame, base: str) -> str:
+    path = os.path.join(base, "in")
+    df.write.parquet(path)
+    return path
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf):
+    from vintagecast.streaming import streams
+    folder = _write_envelopes(spark, sf)
+    base = _stream_base(spark, "ingest")
+    raw_p, reg_p = os.path.join(base, "raw"), os.path.join(base, "registry")
+    streams.stream_ingest(spark, folder, raw_p, reg_p, os.path.join(base, "ckpt"), glob="*.txt")
+    raw = spark.read.parquet(raw_p)
+    n = F.size(F.from_json("payload_json", "hourly struct<time: array<string>>")["hourly"]["time"])
+    return raw.select("snapshot_time_utc", "location_name", "latitude", "longitude", "timezone", "source",
+                      "endpoint", n.cast("bigint").alias("n_hours"))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf):
+    from vintagecast.streaming import streams
+    base = _stream_base(spark, "dedup")
+    reg = fx.registry_with_copies(spark, sf)
+    src = streams.table_stream(spark, _landed(reg, base), reg.schema)
+    out = os.path.join(base, "out")
+    streams.run_to_parquet(streams.stream_dedup(src), out, os.path.join(base, "ckpt"))
+    return spark.read.parquet(out).select("location_name", "raw_file")
+
+
+@query("stream_hour_counts")
+def q_stream_hour_counts(spark, sf):
+    from vintagecast.streaming import streams
+    base = _stream_base(spark, "hours")
+    reg = fx.registry_with_copies(spark, sf)
+    src = streams.table_stream(spark, _landed(reg, base), reg.schema)
+    out = os.path.join(base, "out")
+    streams.run_complete_to_parquet(streams.stream_hour_counts(src), out, os.path.join(base, "ckpt"))
+    return spark.read.parquet(out)
+
+
+@query("stream_change")
+def q_stream_change(spark, sf):
+    from vintagecast.streaming import streams
+    base = _stream_base(spark, "change")
+    reg = _registry(spark, sf)
+    src = streams.table_stream(spark, _landed(reg, base), reg.schema)
+    out = os.path.join(base, "out")
+    streams.run_to_parquet(streams.stream_change(src), out, os.path.join(base, "ckpt"))
+    return spark.read.parquet(out)
+
+
+@query("stream_cooldown")
+def q_stream_cooldown(spark, sf):
+    from vintagecast.streaming import streams
+    configure(spark)
+    base = _stream_base(spark, "cooldown")
+    dec = fx.decisions(spark, sf)
+    src = streams.table_stream(spark, _landed(dec, base), dec.schema)
+    out = os.path.join(base, "out")
+    streams.run_to_parquet(streams.stream_cooldown(src), out, os.path.join(base, "ckpt"))
+    return spark.read.parquet(out)

@@ -760,4 +760,13 @@ SELECT location_name, 'SAMPLE', CAST(snapshot_time_utc AS VARCHAR), CAST(forecas
        typeof(forecast_time_local), CAST(CAST(precipitation_mm AS DECIMAL(18,4)) AS VARCHAR), ''
 FROM (SELECT *, row_number() OVER (PARTITION BY location_name ORDER BY forecast_time_local) AS k FROM latest) x
 WHERE k <= 5"""
+    # ---------------------------------------------------------- streaming (one trigger = batch rule)
+    q["stream_ingest"] = q["read_envelopes"]
+    q["stream_dedup"] = w(REGISTRY) + "\nSELECT location_name, raw_file FROM registry"
+    q["stream_hour_counts"] = w(REGISTRY_COPIES) + """
+SELECT location_name, date_trunc('hour', snapshot_time_utc) AS hour_start_utc, COUNT(*) AS n_snapshots,
+       min(content_hash) AS content_hash
+FROM registry_copies GROUP BY 1, 2"""
+    q["stream_change"] = q["content_changed"]
+    q["stream_cooldown"] = q["cooldown_replay"]
     return q
