@@ -62,10 +62,11 @@ def dedup_raw(raw: DataFrame, tie: str = "raw_file") -> DataFrame:
 def content_changed(registry: DataFrame) -> DataFrame:
     """Is the hash unlike that of the location's previous registered snapshot
     (TRUE for the first)."""
-    w = Window.partitionBy(KEY).orderBy(SNAP, "raw_file")
-    prev = F.lag("content_hash").over(w)
-    return registry.select(KEY, SNAP, "raw_file", "content_hash",
-                           F.coalesce(prev != F.col("content_hash"), F.lit(True)).alias("content_changed"))
+    from vintagecast.operators.asof import prev_in_key
+    r = registry.select(KEY, SNAP, "raw_file", "content_hash")
+    p = prev_in_key(r, [KEY], SNAP, ["raw_file"], ["content_hash"], out="_p")
+    return p.select(KEY, SNAP, "raw_file", "content_hash",
+                    F.coalesce(F.col("_p.content_hash") != F.col("content_hash"), F.lit(True)).alias("content_changed"))
 
 
 def canonical_hash(json_text: F.Column, schema: str) -> F.Column:

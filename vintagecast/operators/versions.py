@@ -1,9 +1,11 @@
 """Snapshot (version) selection.
 
-Windows here are partitioned by location over *distinct snapshot or run
-rows* (metadata bounded by the fetch cadence), never over the hourly rows
-themselves; hourly rows are reached by an equi join on (location, snapshot),
-which spreads a hot location over all of its snapshots.
+Hourly rows are reached only by equi joins on (location, snapshot), which
+spread a hot location over all of its snapshots.  Ordered steps over the
+snapshot list (as-of, predecessor, rank) are split by day bucket
+(``operators.asof``), so even the list of one location's snapshots is never
+sorted in a single task; top-k steps use ``row_number <= k``, which Spark
+trims per map task (``WindowGroupLimit``) before the shuffle.
 """
 
 from __future__ import annotations
@@ -54,18 +56,18 @@ def snapshot_dense_rank(hourly: DataFrame) -> DataFrame:
 
     Ranks the distinct snapshot list, then joins back, so hourly rows are
     never sorted per location."""
+    from vintagecast.operators.asof import rank_desc_in_key
     snaps = hourly.select(KEY, SNAP).distinct()
-    ranked = snaps.withColumn(
-        "snapshot_rank",
-        F.dense_rank().over(Window.partitionBy(KEY).orderBy(F.col(SNAP).desc())).cast("bigint"))
+    ranked = rank_desc_in_key(snaps, [KEY], SNAP, "snapshot_rank")
     return hourly.join(ranked, [KEY, SNAP])
 
 
 def snapshot_pairs(hourly: DataFrame) -> DataFrame:
-    """Every snapshot with the one before it (same location)."""
+    """Every snapshot with the one before it (same location), day-bucketed."""
+    from vintagecast.operators.asof import prev_in_key
     snaps = hourly.select(KEY, SNAP).distinct()
-    w = Window.partitionBy(KEY).orderBy(SNAP)
-    return snaps.select(KEY, SNAP, F.lag(SNAP).over(w).alias("prev_snapshot_utc"))
+    p = prev_in_key(snaps, [KEY], SNAP, [], [SNAP], out="_p")
+    return p.select(KEY, SNAP, F.col("_p." + SNAP).alias("prev_snapshot_utc"))
 
 
 _DELTA_MEASURES = (("temperature_c", "delta_temp_c"), ("feels_like_c", "delta_feels_like_c"),
@@ -104,27 +106,22 @@ def visible_versions(snaps: DataFrame, runs: DataFrame) -> DataFrame:
     """As-of step: for each run, its newest (rn=1) and second newest (rn=2)
     snapshot at or before ``as_of_utc``.
 
-    One sorted pass per location over snapshot and run rows: the snapshot
-    rows carry (itself, the one before), the run rows pick up the last such
-    pair seen.  No range join, so the cost is linear in runs + snapshots.
+    newest = as-of lookup of the run time in the snapshot list; second =
+    that snapshot's predecessor.  Both are split by day bucket (see
+    ``operators.asof``), so no task holds all snapshots of one location and
+    there is no range join: cost is linear in runs + snapshots.
     Output: (location_name, as_of_utc, timezone, rn, snapshot_time_utc).
     """
-    s = snaps.select(KEY, SNAP).distinct().select(
-        KEY, F.col(SNAP).alias("t"), F.lit(0).alias("kind"), F.col(SNAP).alias("snap"),
-        F.lit(None).cast("string").alias("timezone"))
-    r = runs.select(KEY, F.col("as_of_utc").alias("t"), F.lit(1).alias("kind"),
-                    F.lit(None).cast("timestamp_ntz").alias("snap"), "timezone")
-    w = Window.partitionBy(KEY).orderBy("t", "kind")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    u = s.unionByName(r)
-    u = u.withColumn("prev", F.last("snap", ignorenulls=True).over(before))
-    u = u.withColumn("seen", F.last(F.when(F.col("kind") == 0, F.struct(
-        F.col("snap").alias("cur"), F.col("prev").alias("prev"))), ignorenulls=True).over(upto))
-    picked = u.where(F.col("kind") == 1).select(
-        KEY, F.col("t").alias("as_of_utc"), "timezone",
-        F.explode(F.array(F.struct(F.lit(1).alias("rn"), F.col("seen.cur").alias(SNAP)),
-                          F.struct(F.lit(2).alias("rn"), F.col("seen.prev").alias(SNAP)))).alias("v"))
+    from vintagecast.operators.asof import asof_last_time, prev_in_key
+    s = snaps.select(KEY, SNAP).distinct()
+    pred = prev_in_key(s, [KEY], SNAP, [], [SNAP], out="_p").select(
+        KEY, F.col(SNAP).alias("_cur"), F.col("_p." + SNAP).alias("_prev"))
+    r = runs.select(KEY, "as_of_utc", "timezone")
+    cur = asof_last_time(r, s, [KEY], "as_of_utc", SNAP, "_cur")
+    v = cur.join(pred, [KEY, "_cur"], "left")
+    picked = v.select(KEY, "as_of_utc", "timezone", F.explode(F.array(
+        F.struct(F.lit(1).alias("rn"), F.col("_cur").alias(SNAP)),
+        F.struct(F.lit(2).alias("rn"), F.col("_prev").alias(SNAP)))).alias("v"))
     return picked.select(KEY, "as_of_utc", "timezone", "v.rn", F.col("v." + SNAP).alias(SNAP)).where(
         F.col(SNAP).isNotNull())
 
