@@ -106,22 +106,47 @@ def visible_versions(snaps: DataFrame, runs: DataFrame) -> DataFrame:
     """As-of step: for each run, its newest (rn=1) and second newest (rn=2)
     snapshot at or before ``as_of_utc``.
 
-    newest = as-of lookup of the run time in the snapshot list; second =
-    that snapshot's predecessor.  Both are split by day bucket (see
-    ``operators.asof``), so no task holds all snapshots of one location and
-    there is no range join: cost is linear in runs + snapshots.
+    One pass, split by day bucket so no task sorts all snapshots of a
+    location and there is no range join (cost linear in runs + snapshots):
+
+    1. snapshot and run rows of a (location, day) in time order: each
+       snapshot picks up its predecessor inside the day, each run the newest
+       snapshot (with predecessor) at or before it;
+    2. per (location, day) the last snapshot and its predecessor (same
+       partitioning, no shuffle), then over the day list of a location (small:
+       one row per day) the newest snapshot before each day and the newest
+       pair before each day;
+    3. runs whose day has nothing before them, or whose newest snapshot is the
+       first of its day, complete from step 2.
     Output: (location_name, as_of_utc, timezone, rn, snapshot_time_utc).
     """
-    from vintagecast.operators.asof import asof_last_time, prev_in_key
-    s = snaps.select(KEY, SNAP).distinct()
-    pred = prev_in_key(s, [KEY], SNAP, [], [SNAP], out="_p").select(
-        KEY, F.col(SNAP).alias("_cur"), F.col("_p." + SNAP).alias("_prev"))
-    r = runs.select(KEY, "as_of_utc", "timezone")
-    cur = asof_last_time(r, s, [KEY], "as_of_utc", SNAP, "_cur")
-    v = cur.join(pred, [KEY, "_cur"], "left")
-    picked = v.select(KEY, "as_of_utc", "timezone", F.explode(F.array(
-        F.struct(F.lit(1).alias("rn"), F.col("_cur").alias(SNAP)),
-        F.struct(F.lit(2).alias("rn"), F.col("_prev").alias(SNAP)))).alias("v"))
+    pair_t = "struct<cur:timestamp_ntz,prev:timestamp_ntz>"
+    s = snaps.select(KEY, SNAP).distinct().select(
+        KEY, F.col(SNAP).alias("t"), F.lit(0).alias("kind"), F.col(SNAP).alias("snap"),
+        F.lit(None).cast("string").alias("timezone"))
+    r = runs.select(KEY, F.col("as_of_utc").alias("t"), F.lit(1).alias("kind"),
+                    F.lit(None).cast("timestamp_ntz").alias("snap"), "timezone")
+    u = s.unionByName(r).withColumn("_b", F.date_trunc("day", "t").cast("timestamp_ntz"))
+    w = Window.partitionBy(KEY, "_b").orderBy("t", "kind")
+    u = u.withColumn("_pin", F.last("snap", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    pair = F.struct(F.col("snap").alias("cur"), F.col("_pin").alias("prev")).cast(pair_t)
+    u = u.withColumn("_seen", F.last(F.when(F.col("kind") == 0, pair), ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    days = u.groupBy(KEY, "_b").agg(F.max_by(F.when(F.col("kind") == 0, pair), F.col("snap")).alias("_last"))
+    wd = Window.partitionBy(KEY).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("_prior1", F.last("_last.cur", ignorenulls=True).over(wd))
+    full = F.when(F.col("_last").isNotNull(), F.struct(
+        F.col("_last.cur").alias("cur"), F.coalesce("_last.prev", "_prior1").alias("prev")).cast(pair_t))
+    days = days.withColumn("_full", full)
+    days = days.withColumn("_prior2", F.last("_full", ignorenulls=True).over(wd)).select(
+        KEY, "_b", "_prior1", "_prior2")
+    runs_u = u.where(F.col("kind") == 1).join(days, [KEY, "_b"], "left")
+    cur = F.coalesce(F.col("_seen.cur"), F.col("_prior2.cur"))
+    prev = F.when(F.col("_seen").isNotNull(), F.coalesce(F.col("_seen.prev"), F.col("_prior1"))).otherwise(
+        F.col("_prior2.prev"))
+    picked = runs_u.select(KEY, F.col("t").alias("as_of_utc"), "timezone", F.explode(F.array(
+        F.struct(F.lit(1).alias("rn"), cur.alias(SNAP)),
+        F.struct(F.lit(2).alias("rn"), prev.alias(SNAP)))).alias("v"))
     return picked.select(KEY, "as_of_utc", "timezone", "v.rn", F.col("v." + SNAP).alias(SNAP)).where(
         F.col(SNAP).isNotNull())
 

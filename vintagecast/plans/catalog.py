@@ -331,10 +331,7 @@ def q_last_sent(spark, sf):
 def _gated(spark, sf):
     h, r = _runs(spark, sf)
     d = alerts.decisions(h, r)
-    log = _log(spark, sf)
-    rain = gating.gated(d.select(*alerts.RAIN_COLUMNS), log, config.RAIN_ALERT_TYPE, "should_alert_rain_next6h")
-    wind = gating.gated(d.select(*alerts.WIND_COLUMNS), log, config.WIND_ALERT_TYPE, "should_alert_wind_next6h")
-    return rain, wind
+    return gating.gated_both(d, _log(spark, sf))
 
 
 @query("rain_gated")
