@@ -61,3 +61,17 @@ def append_brief_log(outbox: DataFrame, path: str) -> None:
 
 def append_health(health: DataFrame, run_time_utc: F.Column, path: str) -> None:
     append(health.withColumn("run_time_utc", run_time_utc), path, ["today_local_date"])
+
+
+def write_hourly(hourly: DataFrame, path: str) -> None:
+    """Hourly layout: Parquet partitioned by snapshot date, rows sorted by
+    (location, snapshot) inside each file.  Version picks join on
+    (location, snapshot), so dynamic partition pruning skips other dates."""
+    out = hourly.withColumn("snapshot_date", F.to_date("snapshot_time_utc"))
+    (out.repartition("snapshot_date").sortWithinPartitions("location_name", "snapshot_time_utc")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("snapshot_date").parquet(path))
+
+
+def read_hourly(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
