@@ -182,3 +182,50 @@ def test_most_changed_daypart_keeps_ties(spark):
     r = runs_df(spark, [("L", "2024-03-02 06:00:00")])
     got = sorted((x.most_changed_daypart, x.max_daypart_delta) for x in brief.most_changed_daypart(h, r).collect())
     assert got == [("morning", 2.0), ("noon", -2.0)]
+
+
+def test_faithful_metrics_have_no_history(spark):
+    from tests.conftest import SF_CHECK
+    from vintagecast.sources import fixtures as fx
+    h = fx.hourly(spark, SF_CHECK)
+    rows = brief.brief_metrics_faithful(h).collect()
+    assert len(rows) == 5
+    assert all(r.yday_avg_temp is None and r.last4_avg_temp is None for r in rows)
+    # the corrected rule finds yesterday in the older snapshots
+    fixed = brief.brief_metrics(h, fx.final_runs(h)).collect()
+    assert any(r.yday_avg_temp is not None for r in fixed)
+
+
+def test_health_up_to_leaves_future_hours_out(spark):
+    reg = [("L", ts("2024-03-01 05:10:00"), "a", "x")]                  # 06:10 Prague
+    df = spark.createDataFrame(reg, "location_name string, snapshot_time_utc timestamp_ntz, raw_file string, "
+                                    "content_hash string")
+    full = health.snapshot_health(df, F.lit("Europe/Prague")).collect()[0]
+    cut = health.snapshot_health(df, F.lit("Europe/Prague"),
+                                 up_to_local=F.lit("2024-03-01 08:30:00").cast("timestamp_ntz")).collect()[0]
+    assert full.missing_hour_count_06_19 == 13
+    assert cut.missing_hour_count_06_19 == 2 and cut.missing_hours_list == "07:00, 08:00"
+
+
+def test_hash_scope_hourly_ignores_request_fields(spark):
+    from vintagecast.sources import envelopes
+    a = '{"generationtime_ms": 1.5, "hourly": {"time": ["t"], "temperature_2m": [1.0]}}'
+    b = '{"generationtime_ms": 9.0, "hourly": {"time": ["t"], "temperature_2m": [1.0]}, "latitude": 2.0}'
+    raw = spark.createDataFrame([("L", ts(S1), "a", a), ("L", ts(S2), "b", b)],
+                                "location_name string, snapshot_time_utc timestamp_ntz, raw_file string, "
+                                "payload_json string")
+    whole = {r.raw_file: r.content_hash for r in envelopes.registry_rows(raw).collect()}
+    hourly = {r.raw_file: r.content_hash for r in envelopes.registry_rows(raw, scope="hourly").collect()}
+    assert whole["a"] != whole["b"] and hourly["a"] == hourly["b"]
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from tests.conftest import SF_CHECK
+    from vintagecast.operators import profile
+    li = spark.read.parquet(f"{SF_CHECK}/lineitem.parquet")
+    m, q = {"l_quantity": "qty"}, {"l_quantity": [0.5]}
+    exact = {r.l_returnflag: r.qty_p50 for r in profile.distribution_profile(li, "l_returnflag", m, q).collect()}
+    approx = {r.l_returnflag: r.qty_p50 for r in
+              profile.distribution_profile(li, "l_returnflag", m, q, approx_accuracy=10000).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(exact[k] - approx[k]) <= 1.0 for k in exact)

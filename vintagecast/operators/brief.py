@@ -279,3 +279,27 @@ def data_driven_today(hourly: DataFrame) -> DataFrame:
     """"Today" as the first forecast date of each location's newest snapshot."""
     from vintagecast.operators.versions import latest_snapshot_rows
     return latest_snapshot_rows(hourly).groupBy(KEY).agg(F.min("forecast_date_local").alias("today_date"))
+
+
+def brief_metrics_faithful(hourly: DataFrame) -> DataFrame:
+    """The source's literal rule (Q7): "today" is the first forecast date of
+    the newest snapshot and every day is read from that snapshot only, so the
+    earlier days are absent and their columns NULL.  Kept to document the
+    difference; ``brief_metrics`` is the corrected rule."""
+    from vintagecast.operators.versions import latest_snapshot_rows
+    latest = latest_snapshot_rows(hourly)
+    today = latest.groupBy(KEY).agg(F.min("forecast_date_local").alias("today_date"))
+    rows = latest.join(today, KEY).where(F.col("forecast_hour_local").between(6, 23))
+    back = F.datediff("today_date", "forecast_date_local")
+    t = F.col("temperature_c")
+    g = rows.groupBy(KEY, "today_date").agg(
+        exact_mean(F.when(back == 0, t)).alias("today_avg_temp"),
+        exact_mean(F.when(back == 1, t)).alias("yday_avg_temp"),
+        exact_mean(F.when(back.between(1, 4), t)).alias("last4_avg_temp"),
+        F.max(F.when(back == 0, 1)).alias("_has_today"))
+    g = g.where(F.col("_has_today").isNotNull())
+    return g.select(KEY, "today_date", "today_avg_temp", "yday_avg_temp",
+                    (F.col("today_avg_temp") - F.col("yday_avg_temp")).alias("delta_vs_yesterday"),
+                    "last4_avg_temp", (F.col("today_avg_temp") - F.col("last4_avg_temp")).alias("delta_vs_last4days"),
+                    F.lit(None).cast("string").alias("most_changed_daypart"),
+                    F.lit(None).cast("double").alias("max_daypart_delta"))

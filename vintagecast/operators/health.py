@@ -71,14 +71,21 @@ def missing_hours_list(missing: DataFrame) -> DataFrame:
         ordered_string_agg(txt, "expected_hour_local", ", ").alias("missing_hours_list"))
 
 
-def snapshot_health(registry: DataFrame, zone: Column, rules: Rules = RULES) -> DataFrame:
+def snapshot_health(registry: DataFrame, zone: Column, rules: Rules = RULES,
+                    up_to_local: Column | None = None) -> DataFrame:
+    """Per (location, local date).  Hours still in the future count as missing,
+    as in the source (Q12); pass ``up_to_local`` (a local wall-clock column
+    or literal) to leave out expected hours after it."""
     snaps = snapshots_of_day(registry, zone)
     present = dedup_hours(snaps)
     spine = day_spine(snaps)
     counts = snaps.groupBy(KEY, DAY).agg(F.count(F.lit(1)).alias("snapshots_today"),
                                          F.max("snapshot_time_local").alias("last_snapshot_local"))
     rate = change_rate(hash_changes(present))
-    miss = missing_hours_list(missing_hours(expected_hours(spine, rules), present))
+    expected = expected_hours(spine, rules)
+    if up_to_local is not None:
+        expected = expected.where(F.col("expected_hour_local") <= up_to_local)
+    miss = missing_hours_list(missing_hours(expected, present))
     out = spine.join(counts, [KEY, DAY], "left").join(rate, [KEY, DAY], "left").join(miss, [KEY, DAY], "left")
     return out.select(
         KEY, DAY, F.coalesce("snapshots_today", F.lit(0)).cast("bigint").alias("snapshots_today"),

@@ -66,7 +66,7 @@ def rows_per_snapshot(hourly: DataFrame) -> DataFrame:
 
 
 def distribution_profile(df: DataFrame, key: str, measures: dict[str, str], quantiles: dict[str, list[float]],
-                         zero_rate: tuple[str, ...] = ()) -> DataFrame:
+                         zero_rate: tuple[str, ...] = (), approx_accuracy: int | None = None) -> DataFrame:
     """min, exact percentiles (linear interpolation), max, NULL rate and zero rate.
 
     ``percentile`` keeps the values of a group; for very large groups
@@ -76,7 +76,12 @@ def distribution_profile(df: DataFrame, key: str, measures: dict[str, str], quan
         c = F.col(col)
         qs = quantiles.get(col, [])
         if qs:  # one value buffer per column, all its quantiles read from it
-            aggs.append(F.percentile(c, F.array(*[F.lit(q) for q in qs])).alias(f"_{prefix}_q"))
+            probs = F.array(*[F.lit(q) for q in qs])
+            if approx_accuracy:   # bounded memory per group, rank error ~ 1/accuracy
+                aggs.append(F.percentile_approx(c, probs, approx_accuracy).cast("array<double>").alias(
+                    f"_{prefix}_q"))
+            else:
+                aggs.append(F.percentile(c, probs).alias(f"_{prefix}_q"))
         aggs.append(F.min(c).alias(f"{prefix}_min"))
         picks.append(f"{prefix}_min")
         for i, q in enumerate(qs):

@@ -448,6 +448,11 @@ def q_brief_metrics(spark, sf):
     return brief.brief_metrics(*_final_runs(spark, sf))
 
 
+@query("brief_metrics_faithful")
+def q_brief_metrics_faithful(spark, sf):
+    return brief.brief_metrics_faithful(_h(spark, sf))
+
+
 @query("last4_avg")
 def q_last4(spark, sf):
     return brief.last4_avg(*_runs(spark, sf))

@@ -674,6 +674,24 @@ SELECT m.location_name, m.run_date AS today_date, m.today_avg_temp, m.yday_avg_t
        m.today_avg_temp - m.last4_avg_temp AS delta_vs_last4days, c.most_changed_daypart, c.max_daypart_delta
 FROM day_means m LEFT JOIN most_changed c ON c.location_name = m.location_name AND c.as_of_utc = m.as_of_utc
 WHERE m.has_today IS NOT NULL"""
+    q["brief_metrics_faithful"] = w(H) + LATEST + f""",
+td AS (SELECT location_name, min(forecast_date_local) AS today_date FROM latest GROUP BY 1),
+rows AS (
+  SELECT l.location_name, t.today_date, l.temperature_c, CAST(t.today_date - l.forecast_date_local AS INTEGER) AS back
+  FROM latest l JOIN td t ON t.location_name = l.location_name
+  WHERE l.forecast_hour_local BETWEEN 6 AND 23
+),
+m AS (
+  SELECT location_name, today_date,
+         {mean('CASE WHEN back = 0 THEN temperature_c END')} AS today_avg_temp,
+         {mean('CASE WHEN back = 1 THEN temperature_c END')} AS yday_avg_temp,
+         {mean('CASE WHEN back BETWEEN 1 AND 4 THEN temperature_c END')} AS last4_avg_temp
+  FROM rows GROUP BY 1, 2 HAVING max(CASE WHEN back = 0 THEN 1 END) IS NOT NULL
+)
+SELECT location_name, today_date, today_avg_temp, yday_avg_temp, today_avg_temp - yday_avg_temp AS delta_vs_yesterday,
+       last4_avg_temp, today_avg_temp - last4_avg_temp AS delta_vs_last4days,
+       CAST(NULL AS VARCHAR) AS most_changed_daypart, CAST(NULL AS DOUBLE) AS max_daypart_delta
+FROM m"""
     q["last4_avg"] = w(H, _days(RUNS, 4)) + """
 SELECT location_name, run_date AS today_date, last4_avg_temp FROM day_means"""
     q["most_changed_daypart"] = w(H, _days(RUNS, 1)) + "\nSELECT * FROM most_changed"
