@@ -173,19 +173,24 @@ def history_rows(hourly: DataFrame, runs: DataFrame, days_back: int) -> DataFram
     run's local date, each from the newest snapshot at or before ``as_of``
     that has it.
 
-    Equi join on (location, forecast date) after exploding the wanted dates
-    on the run side, then a keyed ``max_by``: cost bounded by snapshots that
-    cover a date, independent of the history length.
+    No (run x row) pairs: the hours wanted by each run come from the hour
+    grid of those dates (one probe per run and hour, the size of the output);
+    the newest snapshot per probe is an as-of lookup keyed by
+    (location, forecast hour) over the snapshots that carry that hour; the
+    measures come back by an equi join on (location, forecast hour, snapshot).
     """
     from vintagecast.functions.columns import to_local
+    from vintagecast.operators.asof import asof_last_time
     measures = ["temperature_c", "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct"]
-    r = runs.select(KEY, "as_of_utc", to_local("as_of_utc", F.col("timezone")).alias("as_of_local"))
-    r = r.select(KEY, "as_of_utc", F.to_date("as_of_local").alias("run_date"),
-                 F.explode(F.sequence(F.lit(1), F.lit(days_back))).alias("back"))
+    r = runs.select(KEY, "as_of_utc", F.to_date(to_local("as_of_utc", F.col("timezone"))).alias("run_date"))
+    r = r.select(KEY, "as_of_utc", "run_date", F.explode(F.sequence(F.lit(1), F.lit(days_back))).alias("back"))
     r = r.select(KEY, "as_of_utc", "run_date", F.date_sub("run_date", F.col("back")).alias("forecast_date_local"))
-    j = hourly.join(r, [KEY, "forecast_date_local"]).where(F.col(SNAP) <= F.col("as_of_utc"))
-    best = F.max_by(F.struct(SNAP, "forecast_hour_local", *measures), SNAP)
-    g = j.groupBy(KEY, "as_of_utc", "run_date", "forecast_date_local", "forecast_time_local").agg(best.alias("b"))
-    return g.select(KEY, "as_of_utc", "run_date", "forecast_date_local", "forecast_time_local",
-                    F.col("b." + SNAP).alias(SNAP), F.col("b.forecast_hour_local").alias("forecast_hour_local"),
-                    *[F.col("b." + m).alias(m) for m in measures])
+    grid = hourly.select(KEY, "forecast_date_local", "forecast_time_local").distinct()
+    probes = r.join(grid, [KEY, "forecast_date_local"])
+    carriers = hourly.select(KEY, "forecast_time_local", SNAP)
+    picked = asof_last_time(probes, carriers, [KEY, "forecast_time_local"], "as_of_utc", SNAP, SNAP)
+    picked = picked.where(F.col(SNAP).isNotNull())
+    h = hourly.select(KEY, "forecast_time_local", SNAP, "forecast_hour_local", *measures)
+    j = picked.join(h, [KEY, "forecast_time_local", SNAP])
+    return j.select(KEY, "as_of_utc", "run_date", "forecast_date_local", "forecast_time_local", SNAP,
+                    "forecast_hour_local", *measures)
