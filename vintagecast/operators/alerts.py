@@ -18,10 +18,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintagecast.config import RULES, Rules
-from vintagecast.functions.columns import hour_floor, in_window, to_local
+from vintagecast.functions.columns import hour_floor, plus_hours, to_local
 from vintagecast.operators.versions import KEY, SNAP, snapshot_list, visible_versions
 
 
+def rows_in_windows(hourly: DataFrame, versions: DataFrame, start: F.Column, end: F.Column,
+                    columns: list[str] | None = None) -> DataFrame:
+    """Hourly rows of each (run, version) with ``start <= forecast_time < end``.
+
+    Each version row lists the forecast hours its window touches (a handful)
+    and joins on (location, snapshot, hour): the join emits only rows that can
+    be in the window, never every (run, row) pair of a snapshot.  The exact
+    bounds are a residual filter, so sub-hourly data stays correct.
+    """
+    cols = columns or ["forecast_time_local", "forecast_date_local", "forecast_hour_local", "idx",
+                       "temperature_c", "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct"]
+    cols = [c for c in cols if c in hourly.columns and c != "forecast_time_local"]
+    last = F.col("_we") - F.expr("INTERVAL 1 MICROSECOND")      # window end is exclusive
+    v = versions.withColumn("_ws", start).withColumn("_we", end)
+    v = v.withColumn("_hf", F.explode(F.sequence(hour_floor("_ws"), hour_floor(last), F.expr("INTERVAL 1 HOUR"))))
+    h = hourly.select(KEY, SNAP, "forecast_time_local", *cols).withColumn("_hf", hour_floor("forecast_time_local"))
+    j = h.join(v, [KEY, SNAP, "_hf"])
+    return j.where((F.col("forecast_time_local") >= F.col("_ws")) & (F.col("forecast_time_local") < F.col("_we"))
+                   ).drop("_hf", "_ws", "_we")
+
+
 def horizon_rows(hourly: DataFrame, versions: DataFrame, hours: int, align_hour: bool = False,
                  columns: list[str] | None = None) -> DataFrame:
     """Hourly rows of each (run, version) inside [now, now + hours) local.
@@ -32,11 +53,7 @@ def horizon_rows(hourly: DataFrame, versions: DataFrame, hours: int, align_hour:
     if align_hour:
         now_local = hour_floor(now_local)
     v = versions.withColumn("now_local", now_local)
-    cols = columns or ["forecast_time_local", "forecast_date_local", "forecast_hour_local", "idx",
-                       "temperature_c", "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct"]
-    h = hourly.select(KEY, SNAP, *[c for c in cols if c in hourly.columns])
-    j = h.join(v, [KEY, SNAP])
-    return j.where(in_window(F.col("forecast_time_local"), F.col("now_local"), hours))
+    return rows_in_windows(hourly, v, F.col("now_local"), plus_hours(F.col("now_local"), hours), columns)
 
 
 def _rain_hit(rules: Rules) -> F.Column:

@@ -15,7 +15,7 @@ from vintagecast.config import RULES, Rules
 from vintagecast.functions.columns import (
     brief_message, day_floor, daypart_label, daypart_order, exact_mean, exact_mean_rounded,
     hour_floor, ordered_string_agg, plus_hours, sky_text, to_local)
-from vintagecast.operators.alerts import horizon_rows
+from vintagecast.operators.alerts import horizon_rows, rows_in_windows
 from vintagecast.operators.versions import KEY, SNAP, current_versions, history_rows, snapshot_list
 
 _MEAS = ["forecast_time_local", "forecast_date_local", "forecast_hour_local", "temperature_c",
@@ -102,14 +102,9 @@ def dayparts_line(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part
 
 
 def _today_band(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
-    v = _current(hourly, runs)
-    day = day_floor(to_local("as_of_utc", F.col("timezone")))
-    v = v.withColumn("band_start", plus_hours(day, rules.day_band_start_hour)).withColumn(
-        "band_end", plus_hours(day, rules.day_band_end_hour))
-    h = hourly.select(KEY, SNAP, *_MEAS)
-    j = h.join(v, [KEY, SNAP])
-    return j.where((F.col("forecast_time_local") >= F.col("band_start")) &
-                   (F.col("forecast_time_local") < F.col("band_end")))
+    v = _current(hourly, runs).withColumn("_day", day_floor(to_local("as_of_utc", F.col("timezone"))))
+    return rows_in_windows(hourly, v, plus_hours("_day", rules.day_band_start_hour),
+                           plus_hours("_day", rules.day_band_end_hour), _MEAS).drop("_day")
 
 
 def dayparts_meta(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C") -> DataFrame:
@@ -161,10 +156,11 @@ def brief_outbox(final: DataFrame, runs: DataFrame, log: DataFrame, rules: Rules
 def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
     """Today's hours (hour band 6-23) of each run's current snapshot."""
     v = _current(hourly, runs)
-    v = v.withColumn("run_date", F.to_date(to_local("as_of_utc", F.col("timezone"))))
-    j = hourly.select(KEY, SNAP, *_MEAS).join(v, [KEY, SNAP])
-    return j.where((F.col("forecast_date_local") == F.col("run_date")) &
-                   F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
+    local = to_local("as_of_utc", F.col("timezone"))
+    v = v.withColumn("run_date", F.to_date(local)).withColumn("_day", day_floor(local))
+    rows = rows_in_windows(hourly, v, plus_hours("_day", rules.profile_first_hour),
+                           plus_hours("_day", rules.profile_last_hour + 1), _MEAS).drop("_day")
+    return rows.where(F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
 
 
 def _past_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, days: int) -> DataFrame:

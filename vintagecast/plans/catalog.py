@@ -232,8 +232,10 @@ def q_hour_band(spark, sf):
 def q_calendar_day(spark, sf):
     h, _, v = _current_rows(spark, sf)
     from vintagecast.functions.columns import to_local
-    v = v.withColumn("run_date", F.to_date(to_local("as_of_utc", F.col("timezone"))))
-    j = h.join(v, ["location_name", "snapshot_time_utc"])
+    from vintagecast.functions.columns import day_floor, plus_hours
+    local = to_local("as_of_utc", F.col("timezone"))
+    v = v.withColumn("run_date", F.to_date(local)).withColumn("_day", day_floor(local))
+    j = alerts.rows_in_windows(h, v, plus_hours("_day", -24), plus_hours("_day", 24))
     back = F.datediff("run_date", "forecast_date_local")
     return j.where(back.isin(0, 1)).select("location_name", "as_of_utc", "snapshot_time_utc",
                                            "forecast_time_local", back.cast("bigint").alias("day_offset"))

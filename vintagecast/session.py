@@ -25,6 +25,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python call-site capture for error messages: documented as costly; it
+        # runs on every Column call while plans are built (milliseconds each).
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
