@@ -72,3 +72,17 @@ def test_hourly_layout_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
     latest = versions.latest_snapshot_rows(h)
     assert latest.count() == versions.latest_snapshot_rows(fx.hourly(spark, SF_SMALL)).count()
+
+
+def test_stored_hourly_gets_dynamic_partition_pruning(spark):
+    from vintagecast.operators import alerts
+    p = os.path.join(_dir(), "hourly")
+    h0 = fx.hourly(spark, SF_SMALL)
+    tables.write_hourly(h0, p)
+    h = tables.read_hourly(spark, p)
+    runs = fx.final_runs(h0)           # one run per location: only its newest two snapshot dates are needed
+    v = versions.visible_versions(versions.snapshot_list(h0), runs)
+    rows = alerts.horizon_rows(h, v, 6)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert rows.drop("snapshot_date").exceptAll(alerts.horizon_rows(h0, v, 6)).count() == 0

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from vintagecast.config import RULES, Rules
 from vintagecast.functions.columns import hour_floor, plus_hours, to_local
-from vintagecast.operators.versions import KEY, SNAP, snapshot_list, visible_versions
+from vintagecast.operators.versions import KEY, PART, SNAP, snapshot_list, visible_versions
 
 
 def rows_in_windows(hourly: DataFrame, versions: DataFrame, start: F.Column, end: F.Column,
@@ -37,8 +37,12 @@ def rows_in_windows(hourly: DataFrame, versions: DataFrame, start: F.Column, end
     last = F.col("_we") - F.expr("INTERVAL 1 MICROSECOND")      # window end is exclusive
     v = versions.withColumn("_ws", start).withColumn("_we", end)
     v = v.withColumn("_hf", F.explode(F.sequence(hour_floor("_ws"), hour_floor(last), F.expr("INTERVAL 1 HOUR"))))
-    h = hourly.select(KEY, SNAP, "forecast_time_local", *cols).withColumn("_hf", hour_floor("forecast_time_local"))
-    j = h.join(v, [KEY, SNAP, "_hf"])
+    keys = [KEY, SNAP, "_hf"]
+    part = [PART] if PART in hourly.columns else []
+    if part:  # stored layout: the partition column joins too, so the scan is pruned at run time
+        v = v.withColumn(PART, F.to_date(SNAP))
+    h = hourly.select(KEY, SNAP, *part, "forecast_time_local", *cols).withColumn("_hf", hour_floor("forecast_time_local"))
+    j = h.join(v, [*part, *keys])
     return j.where((F.col("forecast_time_local") >= F.col("_ws")) & (F.col("forecast_time_local") < F.col("_we"))
                    ).drop("_hf", "_ws", "_we")
 

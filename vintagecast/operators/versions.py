@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 KEY = "location_name"
 SNAP = "snapshot_time_utc"
+PART = "snapshot_date"   # partition column of the stored hourly table (sources.tables.write_hourly)
 
 
 def snapshot_list(hourly: DataFrame) -> DataFrame:
@@ -35,6 +36,8 @@ def latest_snapshot_rows(hourly: DataFrame) -> DataFrame:
     broadcast at run time only when its measured size is under the threshold.
     """
     latest = latest_per_location(hourly)
+    if PART in hourly.columns:  # let dynamic partition pruning skip the older dates
+        return hourly.join(latest.withColumn(PART, F.to_date(SNAP)), [PART, KEY, SNAP], "left_semi")
     return hourly.join(latest, [KEY, SNAP], "left_semi")
 
 
