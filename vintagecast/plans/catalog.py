@@ -603,6 +603,7 @@ def q_stats_and_sample(spark, sf):
 # batch oracle applies; multi-batch behaviour is covered in
 # tests/test_streaming.py.
 def _stream_base(spark: SparkSession, name: str) -> str:
+    configure(spark)
     return os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}-{uuid.uuid4().hex}")
 
 
@@ -668,3 +669,44 @@ def q_stream_cooldown(spark, sf):
     out = os.path.join(base, "out")
     streams.run_to_parquet(streams.stream_cooldown(src), out, os.path.join(base, "ckpt"))
     return spark.read.parquet(out)
+
+
+# ------------------------------------------------------------------ wide variants
+# F1 saturates at 48 hours x 150 (location, snapshot) pairs; F6 keys
+# locations by user, so these variants keep growing with ``events``.
+def _hw(spark: SparkSession, sf: str) -> DataFrame:
+    configure(spark)
+    return fx.hourly(spark, sf, wide=True)
+
+
+@query("brief_final_wide")
+def q_brief_final_wide(spark, sf):
+    h = _hw(spark, sf)
+    return brief.brief_final(h, fx.runs(h))
+
+
+@query("compare_days_wide")
+def q_compare_days_wide(spark, sf):
+    h = _hw(spark, sf)
+    return brief.compare_days(h, fx.runs(h))
+
+
+@query("brief_metrics_wide")
+def q_brief_metrics_wide(spark, sf):
+    h = _hw(spark, sf)
+    return brief.brief_metrics(h, fx.final_runs(h))
+
+
+@query("snapshot_deltas_all_wide")
+def q_deltas_all_wide(spark, sf):
+    return versions.snapshot_deltas_all(_hw(spark, sf))
+
+
+@query("forecast_history_wide")
+def q_history_wide(spark, sf):
+    return versions.forecast_history(_hw(spark, sf))
+
+
+@query("normalize_hourly_wide")
+def q_normalize_wide(spark, sf):
+    return normalize.normalize_hourly(fx.raw_snapshots(_hw(spark, sf)))

@@ -787,4 +787,9 @@ SELECT location_name, date_trunc('hour', snapshot_time_utc) AS hour_start_utc, C
 FROM registry_copies GROUP BY 1, 2"""
     q["stream_change"] = q["content_changed"]
     q["stream_cooldown"] = q["cooldown_replay"]
+    # ---------------------------------------------------------- wide variants (F6)
+    for k in ("brief_final", "compare_days", "brief_metrics", "snapshot_deltas_all", "forecast_history",
+              "normalize_hourly"):
+        assert H.strip("\n") in q[k]
+        q[k + "_wide"] = q[k].replace(H.strip("\n"), HW.strip("\n"))
     return q
