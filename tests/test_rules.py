@@ -229,3 +229,17 @@ def test_approx_quantiles_close_to_exact(spark):
               profile.distribution_profile(li, "l_returnflag", m, q, approx_accuracy=10000).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(exact[k] - approx[k]) <= 1.0 for k in exact)
+
+
+def test_explicit_snapshot_list_equals_derived(spark):
+    from tests.conftest import SF_SMALL
+    from vintagecast.operators import versions
+    from vintagecast.sources import fixtures as fx
+    h = fx.hourly(spark, SF_SMALL)
+    r = fx.runs(h)
+    snaps = versions.snapshot_list(h).select("location_name", "snapshot_time_utc")   # e.g. from the registry
+    a = alerts.decisions(h, r)
+    b = alerts.decisions(h, r, snaps=snaps)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    c = brief.brief_final(h, r, snaps=snaps)
+    assert c.exceptAll(brief.brief_final(h, r)).count() == 0

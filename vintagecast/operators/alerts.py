@@ -64,22 +64,24 @@ def _rain_hit(rules: Rules) -> F.Column:
     return F.when(F.col("precipitation_mm") > rules.rain_threshold_mm, 1).otherwise(0)
 
 
-def flags_per_version(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def flags_per_version(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                      snaps: DataFrame | None = None) -> DataFrame:
     """rain_flag / wind_max: one row per (run, version) that has hours in the window."""
-    v = visible_versions(snapshot_list(hourly), runs)
+    v = visible_versions(snaps if snaps is not None else snapshot_list(hourly), runs)
     rows = horizon_rows(hourly, v, rules.alert_horizon_hours)
     return rows.groupBy(KEY, "as_of_utc", "rn", SNAP).agg(
         F.max(_rain_hit(rules)).alias("rain_next6h"),
         F.max("wind_kmh").alias("max_wind_next6h"))
 
 
-def decisions(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def decisions(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+              snaps: DataFrame | None = None) -> DataFrame:
     """Rain and wind decisions for every run in one pass (``alert_replay``).
 
     Columns follow the decision tables: run_time_utc, current/prev snapshot,
     current/prev value, should_alert flag — for rain and for wind.
     """
-    v = visible_versions(snapshot_list(hourly), runs)
+    v = visible_versions(snaps if snaps is not None else snapshot_list(hourly), runs)
     rows = horizon_rows(hourly, v, rules.alert_horizon_hours, columns=[
         "forecast_time_local", "precipitation_mm", "wind_kmh"])
     rows = rows.select(KEY, "as_of_utc", "rn", SNAP, _rain_hit(rules).alias("hit"), "wind_kmh")
@@ -120,9 +122,11 @@ WIND_COLUMNS = [KEY, "run_time_utc", "current_snapshot_utc", "prev_snapshot_utc"
                 "current_max_wind_next6h", "prev_max_wind_next6h", "should_alert_wind_next6h"]
 
 
-def rain_decision(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
-    return decisions(hourly, runs, rules).select(*RAIN_COLUMNS)
+def rain_decision(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                  snaps: DataFrame | None = None) -> DataFrame:
+    return decisions(hourly, runs, rules, snaps).select(*RAIN_COLUMNS)
 
 
-def wind_decision(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
-    return decisions(hourly, runs, rules).select(*WIND_COLUMNS)
+def wind_decision(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                  snaps: DataFrame | None = None) -> DataFrame:
+    return decisions(hourly, runs, rules, snaps).select(*WIND_COLUMNS)

@@ -22,14 +22,17 @@ _MEAS = ["forecast_time_local", "forecast_date_local", "forecast_hour_local", "t
          "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct"]
 
 
-def _current(hourly: DataFrame, runs: DataFrame) -> DataFrame:
-    return current_versions(snapshot_list(hourly), runs)
+def _current(hourly: DataFrame, runs: DataFrame, snaps: DataFrame | None = None) -> DataFrame:
+    """Each run's current snapshot.  ``snaps`` is the version list (the
+    registry: small metadata); without it the list is a distinct over
+    ``hourly``, which at scale means a scan of the snapshot columns."""
+    return current_versions(snaps if snaps is not None else snapshot_list(hourly), runs)
 
 
-def brief_v1(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def brief_v1(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
     """Exact 12h horizon from now: means to 1 decimal, rain 0/1, max wind to 0
     decimals.  One row per run, NULL measures when the window is empty."""
-    rows = horizon_rows(hourly, _current(hourly, runs), rules.digest_horizon_hours, columns=_MEAS)
+    rows = horizon_rows(hourly, _current(hourly, runs, snaps), rules.digest_horizon_hours, columns=_MEAS)
     rows = rows.select(KEY, "as_of_utc", F.lit(1).alias("_real"), "temperature_c", "feels_like_c",
                        "precipitation_mm", "wind_kmh")
     spine = runs.select(KEY, "as_of_utc", F.lit(None).cast("int").alias("_real"),
@@ -47,8 +50,8 @@ def brief_v1(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFr
         "avg_temp_next12h", "avg_feels_next12h", F.col("_rain").alias("any_rain_next12h"), "max_wind_next12h")
 
 
-def _v2_window(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
-    return horizon_rows(hourly, _current(hourly, runs), rules.digest_horizon_hours, align_hour=True,
+def _v2_window(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
+    return horizon_rows(hourly, _current(hourly, runs, snaps), rules.digest_horizon_hours, align_hour=True,
                         columns=_MEAS)
 
 
@@ -72,9 +75,9 @@ V2_COLUMNS = [KEY, "run_time_utc", SNAP, "avg_temp_c_12h", "avg_feels_like_c_12h
               "n_hours"]
 
 
-def brief_v2(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def brief_v2(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
     """Hour-aligned 12h window: means, sky, rain flag, max wind, window bounds."""
-    g = _v2_agg(_v2_window(hourly, runs, rules))
+    g = _v2_agg(_v2_window(hourly, runs, rules, snaps=snaps))
     return g.withColumnRenamed("as_of_utc", "run_time_utc").select(*V2_COLUMNS)
 
 
@@ -92,33 +95,33 @@ def _part_text(tag: F.Column) -> F.Column:
                     F.lit(config.DEGREE_C), tag)
 
 
-def dayparts_line(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C") -> DataFrame:
+def dayparts_line(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C", snaps: DataFrame | None = None) -> DataFrame:
     """Next 12 hours by day part: '<part> <temp>°C[ (rain)]' joined in day order."""
-    parts = _part_agg(_v2_window(hourly, runs, rules), part_set)
+    parts = _part_agg(_v2_window(hourly, runs, rules, snaps=snaps), part_set)
     txt = _part_text(F.when(F.col("rain_possible"), F.lit(config.RAIN_TAG)).otherwise(F.lit("")))
     return parts.groupBy(KEY, "as_of_utc", SNAP).agg(
         ordered_string_agg(txt, F.col("sort_key"), config.DAYPART_SEPARATOR).alias("dayparts_line")
     ).withColumnRenamed("as_of_utc", "run_time_utc")
 
 
-def _today_band(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
-    v = _current(hourly, runs).withColumn("_day", day_floor(to_local("as_of_utc", F.col("timezone"))))
+def _today_band(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
+    v = _current(hourly, runs, snaps).withColumn("_day", day_floor(to_local("as_of_utc", F.col("timezone"))))
     return rows_in_windows(hourly, v, plus_hours("_day", rules.day_band_start_hour),
                            plus_hours("_day", rules.day_band_end_hour), _MEAS).drop("_day")
 
 
-def dayparts_meta(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C") -> DataFrame:
-    parts = _part_agg(_today_band(hourly, runs, rules), part_set)
+def dayparts_meta(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C", snaps: DataFrame | None = None) -> DataFrame:
+    parts = _part_agg(_today_band(hourly, runs, rules, snaps=snaps), part_set)
     return parts.groupBy(KEY, "as_of_utc", SNAP).agg(
         F.sum(F.when(F.col("rain_possible"), 1).otherwise(0)).cast("bigint").alias("rainy_parts"),
         F.count(F.lit(1)).alias("total_parts")).withColumnRenamed("as_of_utc", "run_time_utc")
 
 
-def brief_final(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C") -> DataFrame:
+def brief_final(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C", snaps: DataFrame | None = None) -> DataFrame:
     """brief_v2 + a day-parts line over today's 06-24 band; rain tags left out
     when every part is rainy."""
-    v2 = _v2_agg(_v2_window(hourly, runs, rules))
-    parts = _part_agg(_today_band(hourly, runs, rules), part_set)
+    v2 = _v2_agg(_v2_window(hourly, runs, rules, snaps=snaps))
+    parts = _part_agg(_today_band(hourly, runs, rules, snaps=snaps), part_set)
     w = Window.partitionBy(KEY, "as_of_utc", SNAP)
     all_rainy = (F.sum(F.when(F.col("rain_possible"), 1).otherwise(0)).over(w) == F.count(F.lit(1)).over(w))
     tag = F.when(all_rainy, F.lit("")).when(F.col("rain_possible"), F.lit(config.RAIN_TAG)).otherwise(F.lit(""))
@@ -153,9 +156,9 @@ def brief_outbox(final: DataFrame, runs: DataFrame, log: DataFrame, rules: Rules
 
 
 # ---------------------------------------------------------------- day metrics
-def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
+def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
     """Today's hours (hour band 6-23) of each run's current snapshot."""
-    v = _current(hourly, runs)
+    v = _current(hourly, runs, snaps)
     local = to_local("as_of_utc", F.col("timezone"))
     v = v.withColumn("run_date", F.to_date(local)).withColumn("_day", day_floor(local))
     rows = rows_in_windows(hourly, v, plus_hours("_day", rules.profile_first_hour),
@@ -163,7 +166,7 @@ def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
     return rows.where(F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
 
 
-def _past_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, days: int) -> DataFrame:
+def _past_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, days: int, snaps: DataFrame | None = None) -> DataFrame:
     h = history_rows(hourly, runs, days)
     return h.where(F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
 
@@ -177,17 +180,17 @@ def daypart_summary(rows: DataFrame, part_set: str) -> DataFrame:
         F.sum(F.when(F.col("precipitation_mm") > 0, 1).otherwise(0)).cast("bigint").alias("precip_hours"))
 
 
-def daypart_summary_today(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
-    return daypart_summary(_today_rows(hourly, runs, rules), "A")
+def daypart_summary_today(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+    return daypart_summary(_today_rows(hourly, runs, rules, snaps=snaps), "A")
 
 
-def daypart_summary_yesterday(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def daypart_summary_yesterday(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
     return daypart_summary(_past_rows(hourly, runs, rules, 1), "B")
 
 
-def compare_days(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def compare_days(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
     """Today vs yesterday per day part (set B); both days must exist (inner)."""
-    t = daypart_summary(_today_rows(hourly, runs, rules), "B").select(
+    t = daypart_summary(_today_rows(hourly, runs, rules, snaps=snaps), "B").select(
         KEY, "as_of_utc", "daypart", F.col("avg_temp_c").alias("today_temp"),
         F.col("avg_wind_kmh").alias("today_wind"))
     y = daypart_summary(_past_rows(hourly, runs, rules, 1), "B").select(
@@ -199,9 +202,9 @@ def compare_days(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> Da
                     "today_wind", "yday_wind", (F.col("today_wind") - F.col("yday_wind")).alias("delta_wind"))
 
 
-def _day_means(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
+def _day_means(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
     """One pass of conditional aggregation: today, yesterday, last-4-days means."""
-    today = _today_rows(hourly, runs, rules).select(
+    today = _today_rows(hourly, runs, rules, snaps=snaps).select(
         KEY, "as_of_utc", "run_date", F.lit(0).alias("back"), "temperature_c")
     past = _past_rows(hourly, runs, rules, rules.history_days).select(
         KEY, "as_of_utc", "run_date", F.datediff("run_date", "forecast_date_local").alias("back"),
@@ -216,8 +219,8 @@ def _day_means(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
         F.max(F.when(F.col("back") == 1, F.lit(1))).alias("_has_yday"))
 
 
-def _part_deltas(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
-    today = _today_rows(hourly, runs, rules).select(KEY, "as_of_utc", "forecast_hour_local", "temperature_c",
+def _part_deltas(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
+    today = _today_rows(hourly, runs, rules, snaps=snaps).select(KEY, "as_of_utc", "forecast_hour_local", "temperature_c",
                                                     F.lit(0).alias("back"))
     past = _past_rows(hourly, runs, rules, 1).select(KEY, "as_of_utc", "forecast_hour_local", "temperature_c",
                                                      F.lit(1).alias("back"))
@@ -231,22 +234,22 @@ def _part_deltas(hourly: DataFrame, runs: DataFrame, rules: Rules) -> DataFrame:
     return g.select(KEY, "as_of_utc", "daypart", (F.col("_t") - F.col("_y")).alias("delta_temp"))
 
 
-def most_changed_daypart(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def most_changed_daypart(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
     """Arg max of |delta| per run; ties keep every part (rank, not row_number)."""
-    d = _part_deltas(hourly, runs, rules)
+    d = _part_deltas(hourly, runs, rules, snaps=snaps)
     w = Window.partitionBy(KEY, "as_of_utc")
     top = d.withColumn("_m", F.max(F.abs("delta_temp")).over(w)).where(F.abs("delta_temp") == F.col("_m"))
     return top.select(KEY, "as_of_utc", F.col("daypart").alias("most_changed_daypart"),
                       F.col("delta_temp").alias("max_daypart_delta"))
 
 
-def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
     """Today's mean vs yesterday and the last 4 days, and the most changed part.
 
     "Today" is the run's local date; earlier days come from the newest
     snapshot at or before the run that has each hour."""
-    m = _day_means(hourly, runs, rules).where(F.col("_has_today").isNotNull())
-    mc = most_changed_daypart(hourly, runs, rules)
+    m = _day_means(hourly, runs, rules, snaps=snaps).where(F.col("_has_today").isNotNull())
+    mc = most_changed_daypart(hourly, runs, rules, snaps=snaps)
     j = m.join(mc, [KEY, "as_of_utc"], "left")
     return j.select(KEY, F.col("run_date").alias("today_date"), "today_avg_temp", "yday_avg_temp",
                     (F.col("today_avg_temp") - F.col("yday_avg_temp")).alias("delta_vs_yesterday"),
@@ -254,17 +257,17 @@ def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> D
                     "most_changed_daypart", "max_daypart_delta")
 
 
-def last4_avg(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
-    m = _day_means(hourly, runs, rules)
+def last4_avg(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+    m = _day_means(hourly, runs, rules, snaps=snaps)
     return m.select(KEY, F.col("run_date").alias("today_date"), "last4_avg_temp")
 
 
-def daily_headline(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES) -> DataFrame:
+def daily_headline(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
     """As ``brief_metrics`` with inner-join semantics: yesterday and a changed
     part must exist."""
-    m = _day_means(hourly, runs, rules).where(
+    m = _day_means(hourly, runs, rules, snaps=snaps).where(
         F.col("_has_today").isNotNull() & F.col("_has_yday").isNotNull())
-    mc = most_changed_daypart(hourly, runs, rules)
+    mc = most_changed_daypart(hourly, runs, rules, snaps=snaps)
     j = m.join(mc, [KEY, "as_of_utc"])
     return j.select(KEY, "today_avg_temp", "yday_avg_temp",
                     (F.col("today_avg_temp") - F.col("yday_avg_temp")).alias("delta_avg_temp"),
