@@ -202,13 +202,20 @@ def compare_days(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps
                     "today_wind", "yday_wind", (F.col("today_wind") - F.col("yday_wind")).alias("delta_wind"))
 
 
-def _day_means(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
-    """One pass of conditional aggregation: today, yesterday, last-4-days means."""
+def _day_frames(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None,
+                days: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(today's rows, earlier days' rows with ``back`` = days before today).
+    Built once per query and shared by the means and the part deltas."""
     today = _today_rows(hourly, runs, rules, snaps=snaps).select(
-        KEY, "as_of_utc", "run_date", F.lit(0).alias("back"), "temperature_c")
-    past = _past_rows(hourly, runs, rules, rules.history_days).select(
-        KEY, "as_of_utc", "run_date", F.datediff("run_date", "forecast_date_local").alias("back"),
-        "temperature_c")
+        KEY, "as_of_utc", "run_date", "forecast_hour_local", "temperature_c", F.lit(0).alias("back"))
+    past = _past_rows(hourly, runs, rules, days or rules.history_days).select(
+        KEY, "as_of_utc", "run_date", "forecast_hour_local", "temperature_c",
+        F.datediff("run_date", "forecast_date_local").alias("back"))
+    return today, past
+
+
+def _means_of(today: DataFrame, past: DataFrame) -> DataFrame:
+    """One pass of conditional aggregation: today, yesterday, last-days means."""
     u = today.unionByName(past)
     t = F.col("temperature_c")
     return u.groupBy(KEY, "as_of_utc", "run_date").agg(
@@ -219,38 +226,38 @@ def _day_means(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFram
         F.max(F.when(F.col("back") == 1, F.lit(1))).alias("_has_yday"))
 
 
-def _part_deltas(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
-    today = _today_rows(hourly, runs, rules, snaps=snaps).select(KEY, "as_of_utc", "forecast_hour_local", "temperature_c",
-                                                    F.lit(0).alias("back"))
-    past = _past_rows(hourly, runs, rules, 1).select(KEY, "as_of_utc", "forecast_hour_local", "temperature_c",
-                                                     F.lit(1).alias("back"))
-    u = today.unionByName(past).withColumn("daypart", daypart_label(F.col("forecast_hour_local"), "B"))
+def _most_changed_of(today: DataFrame, past: DataFrame) -> DataFrame:
+    """Arg max of |today - yesterday| over day parts (set B); ties keep every
+    part (rank semantics); a part must exist on both days."""
+    u = today.unionByName(past.where(F.col("back") == 1)).withColumn(
+        "daypart", daypart_label(F.col("forecast_hour_local"), "B"))
     t = F.col("temperature_c")
     g = u.groupBy(KEY, "as_of_utc", "daypart").agg(
         exact_mean(F.when(F.col("back") == 0, t)).alias("_t"), exact_mean(F.when(F.col("back") == 1, t)).alias("_y"),
         F.max(F.when(F.col("back") == 0, 1)).alias("_ht"), F.max(F.when(F.col("back") == 1, 1)).alias("_hy"))
-    # inner join semantics of the source: the part must exist on both days
-    g = g.where(F.col("_ht").isNotNull() & F.col("_hy").isNotNull())
-    return g.select(KEY, "as_of_utc", "daypart", (F.col("_t") - F.col("_y")).alias("delta_temp"))
-
-
-def most_changed_daypart(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
-    """Arg max of |delta| per run; ties keep every part (rank, not row_number)."""
-    d = _part_deltas(hourly, runs, rules, snaps=snaps)
+    d = g.where(F.col("_ht").isNotNull() & F.col("_hy").isNotNull()).select(
+        KEY, "as_of_utc", "daypart", (F.col("_t") - F.col("_y")).alias("delta_temp"))
     w = Window.partitionBy(KEY, "as_of_utc")
     top = d.withColumn("_m", F.max(F.abs("delta_temp")).over(w)).where(F.abs("delta_temp") == F.col("_m"))
     return top.select(KEY, "as_of_utc", F.col("daypart").alias("most_changed_daypart"),
                       F.col("delta_temp").alias("max_daypart_delta"))
 
 
-def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+def most_changed_daypart(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                         snaps: DataFrame | None = None) -> DataFrame:
+    """Day part whose mean temperature moved most since yesterday, per run."""
+    return _most_changed_of(*_day_frames(hourly, runs, rules, snaps, days=1))
+
+
+def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                  snaps: DataFrame | None = None) -> DataFrame:
     """Today's mean vs yesterday and the last 4 days, and the most changed part.
 
     "Today" is the run's local date; earlier days come from the newest
     snapshot at or before the run that has each hour."""
-    m = _day_means(hourly, runs, rules, snaps=snaps).where(F.col("_has_today").isNotNull())
-    mc = most_changed_daypart(hourly, runs, rules, snaps=snaps)
-    j = m.join(mc, [KEY, "as_of_utc"], "left")
+    today, past = _day_frames(hourly, runs, rules, snaps)
+    m = _means_of(today, past).where(F.col("_has_today").isNotNull())
+    j = m.join(_most_changed_of(today, past), [KEY, "as_of_utc"], "left")
     return j.select(KEY, F.col("run_date").alias("today_date"), "today_avg_temp", "yday_avg_temp",
                     (F.col("today_avg_temp") - F.col("yday_avg_temp")).alias("delta_vs_yesterday"),
                     "last4_avg_temp", (F.col("today_avg_temp") - F.col("last4_avg_temp")).alias("delta_vs_last4days"),
@@ -258,17 +265,17 @@ def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snap
 
 
 def last4_avg(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
-    m = _day_means(hourly, runs, rules, snaps=snaps)
+    m = _means_of(*_day_frames(hourly, runs, rules, snaps))
     return m.select(KEY, F.col("run_date").alias("today_date"), "last4_avg_temp")
 
 
-def daily_headline(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+def daily_headline(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                   snaps: DataFrame | None = None) -> DataFrame:
     """As ``brief_metrics`` with inner-join semantics: yesterday and a changed
     part must exist."""
-    m = _day_means(hourly, runs, rules, snaps=snaps).where(
-        F.col("_has_today").isNotNull() & F.col("_has_yday").isNotNull())
-    mc = most_changed_daypart(hourly, runs, rules, snaps=snaps)
-    j = m.join(mc, [KEY, "as_of_utc"])
+    today, past = _day_frames(hourly, runs, rules, snaps)
+    m = _means_of(today, past).where(F.col("_has_today").isNotNull() & F.col("_has_yday").isNotNull())
+    j = m.join(_most_changed_of(today, past), [KEY, "as_of_utc"])
     return j.select(KEY, "today_avg_temp", "yday_avg_temp",
                     (F.col("today_avg_temp") - F.col("yday_avg_temp")).alias("delta_avg_temp"),
                     "most_changed_daypart", "max_daypart_delta")

@@ -28,6 +28,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # Python call-site capture for error messages: documented as costly; it
         # runs on every Column call while plans are built (milliseconds each).
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # reliable checkpoints (cooldown jump tables) are removed once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
