@@ -50,9 +50,10 @@ def brief_v1(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: Da
         "avg_temp_next12h", "avg_feels_next12h", F.col("_rain").alias("any_rain_next12h"), "max_wind_next12h")
 
 
-def _v2_window(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
-    return horizon_rows(hourly, _current(hourly, runs, snaps), rules.digest_horizon_hours, align_hour=True,
-                        columns=_MEAS)
+def _v2_window(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None,
+               current: DataFrame | None = None) -> DataFrame:
+    v = current if current is not None else _current(hourly, runs, snaps)
+    return horizon_rows(hourly, v, rules.digest_horizon_hours, align_hour=True, columns=_MEAS)
 
 
 def _v2_agg(rows: DataFrame) -> DataFrame:
@@ -104,8 +105,10 @@ def dayparts_line(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part
     ).withColumnRenamed("as_of_utc", "run_time_utc")
 
 
-def _today_band(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
-    v = _current(hourly, runs, snaps).withColumn("_day", day_floor(to_local("as_of_utc", F.col("timezone"))))
+def _today_band(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None,
+                current: DataFrame | None = None) -> DataFrame:
+    v = current if current is not None else _current(hourly, runs, snaps)
+    v = v.withColumn("_day", day_floor(to_local("as_of_utc", F.col("timezone"))))
     return rows_in_windows(hourly, v, plus_hours("_day", rules.day_band_start_hour),
                            plus_hours("_day", rules.day_band_end_hour), _MEAS).drop("_day")
 
@@ -120,8 +123,18 @@ def dayparts_meta(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part
 def brief_final(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C", snaps: DataFrame | None = None) -> DataFrame:
     """brief_v2 + a day-parts line over today's 06-24 band; rain tags left out
     when every part is rainy."""
-    v2 = _v2_agg(_v2_window(hourly, runs, rules, snaps=snaps))
-    parts = _part_agg(_today_band(hourly, runs, rules, snaps=snaps), part_set)
+    # one as-of step and one hourly join serve both windows: the rows of the
+    # union window are fetched once, then split by the exact bounds
+    cur = _current(hourly, runs, snaps)
+    local = to_local("as_of_utc", F.col("timezone"))
+    cur = cur.select("*", hour_floor(local).alias("_h0"), day_floor(local).alias("_day"))
+    h0, day = F.col("_h0"), F.col("_day")
+    w12 = (h0, plus_hours(h0, rules.digest_horizon_hours))
+    band = (plus_hours(day, rules.day_band_start_hour), plus_hours(day, rules.day_band_end_hour))
+    rows = rows_in_windows(hourly, cur, F.least(w12[0], band[0]), F.greatest(w12[1], band[1]), _MEAS)
+    ft = F.col("forecast_time_local")
+    v2 = _v2_agg(rows.where((ft >= w12[0]) & (ft < w12[1])))
+    parts = _part_agg(rows.where((ft >= band[0]) & (ft < band[1])), part_set)
     w = Window.partitionBy(KEY, "as_of_utc", SNAP)
     all_rainy = (F.sum(F.when(F.col("rain_possible"), 1).otherwise(0)).over(w) == F.count(F.lit(1)).over(w))
     tag = F.when(all_rainy, F.lit("")).when(F.col("rain_possible"), F.lit(config.RAIN_TAG)).otherwise(F.lit(""))
