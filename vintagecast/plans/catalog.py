@@ -348,8 +348,8 @@ def q_wind_gated(spark, sf):
 
 @query("alert_outbox")
 def q_alert_outbox(spark, sf):
-    rain, wind = _gated(spark, sf)
-    return gating.alert_outbox(rain, wind)
+    h, r = _runs(spark, sf)
+    return gating.outbox_from_long(gating.gated_long(alerts.decisions(h, r), _log(spark, sf)))
 
 
 @query("cooldown_replay")

@@ -198,7 +198,7 @@ def stream_alert(hourly_stream: DataFrame, hourly_path: str, log_path: str, chec
         hourly = spark.read.parquet(hourly_path).join(runs.select(KEY).distinct(), KEY, "left_semi")
         dec = alerts.decisions(hourly, runs, rules)
         log = tables.read_table(spark, log_path, ALERT_LOG)
-        out = gating.alert_outbox(*gating.gated_both(dec, log, rules))
+        out = gating.outbox_from_long(gating.gated_long(dec, log, rules))
         tables.append(out.select(*ALERT_LOG.fieldNames()), log_path)
 
     return run_available(hourly_stream.writeStream.foreachBatch(batch), checkpoint)
