@@ -243,3 +243,20 @@ def test_explicit_snapshot_list_equals_derived(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     c = brief.brief_final(h, r, snaps=snaps)
     assert c.exceptAll(brief.brief_final(h, r)).count() == 0
+
+
+def test_brief_outbox_flags(spark):
+    from vintagecast.schemas import BRIEF_LOG
+    rows = [("L", S1, f"2024-03-01 {h:02d}:00:00", 5.0, 0.0, 5.0, 10.0) for h in range(6, 24)]
+    h = hourly_rows(spark, rows)
+    r = runs_df(spark, [("L", "2024-03-01 06:00:00"), ("L", "2024-03-01 08:00:00"), ("L", "2024-03-01 09:00:00")])
+    final = brief.brief_final(h, r)
+    empty = spark.createDataFrame([], BRIEF_LOG)
+    logged = spark.createDataFrame([(dt.date(2024, 3, 1), ts("2024-03-01 07:30:00"), "L", "x")], BRIEF_LOG)
+    normal = brief.brief_outbox(final, r, empty).collect()
+    assert [x.sent_time_utc.hour for x in normal] == [8] and normal[0].to_log is True   # 06:00 gated, 09:00 second
+    assert brief.brief_outbox(final, r, logged).count() == 0                            # already sent today
+    forced = brief.brief_outbox(final, r, logged, force=True).collect()
+    assert len(forced) == 3 and all(x.to_log for x in forced)
+    dry = brief.brief_outbox(final, r, logged, dry_run=True).collect()
+    assert len(dry) == 3 and not any(x.to_log for x in dry)

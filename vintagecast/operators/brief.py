@@ -150,18 +150,19 @@ def brief_outbox(final: DataFrame, runs: DataFrame, log: DataFrame, rules: Rules
     """Digest messages to deliver: one per (location, local date).
 
     Not before 07:00 local and only when the log has no row for that date;
-    ``force`` skips both checks.  Among several eligible runs of one day the
-    first sends.  ``dry_run`` returns the messages but marks nothing to log.
+    among several eligible runs of one day the first sends.  ``force`` and
+    ``dry_run`` both skip these checks (every run gets its message);
+    ``dry_run`` marks nothing to log.
     """
     local = to_local("run_time_utc", F.col("timezone"))
     r = runs.select(KEY, F.col("as_of_utc").alias("run_time_utc"), "timezone")
     f = final.join(r, [KEY, "run_time_utc"]).withColumn("sent_date_local", F.to_date(local)).withColumn(
         "_hour", F.hour(local))
-    if not force:
+    if not (force or dry_run):   # both flags skip the hour gate and the once-a-day check
         f = f.where(F.col("_hour") >= rules.digest_earliest_hour)
         f = f.join(log.select(KEY, "sent_date_local").distinct(), [KEY, "sent_date_local"], "left_anti")
-    first = Window.partitionBy(KEY, "sent_date_local").orderBy("run_time_utc")
-    f = f.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1)
+        first = Window.partitionBy(KEY, "sent_date_local").orderBy("run_time_utc")
+        f = f.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") == 1)
     msg = brief_message(F.col(KEY), "avg_temp_c_12h", "avg_feels_like_c_12h", "sky_text", "rain_possible",
                         "max_wind_kmh_12h", "dayparts_line", rules.digest_wind_line_kmh)
     return f.select("sent_date_local", F.col("run_time_utc").alias("sent_time_utc"), KEY,
