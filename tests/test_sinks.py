@@ -86,3 +86,13 @@ def test_stored_hourly_gets_dynamic_partition_pruning(spark):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
     assert rows.drop("snapshot_date").exceptAll(alerts.horizon_rows(h0, v, 6)).count() == 0
+
+
+def test_append_hourly_keeps_same_day_snapshots(spark):
+    p = os.path.join(_dir(), "hourly")
+    h = fx.hourly(spark, SF_SMALL)
+    first = h.where(F.col("location_name") == "click")
+    rest = h.where(F.col("location_name") != "click")
+    tables.append_hourly(first, p)
+    tables.append_hourly(rest, p)          # same dates, other snapshots: nothing lost
+    assert tables.read_hourly(spark, p).count() == h.count()

@@ -75,3 +75,10 @@ def write_hourly(hourly: DataFrame, path: str) -> None:
 
 def read_hourly(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def append_hourly(hourly: DataFrame, path: str) -> None:
+    """Incremental landing: new snapshots are appended to their date partitions
+    (``write_hourly`` rebuilds whole dates instead)."""
+    out = hourly.withColumn("snapshot_date", F.to_date("snapshot_time_utc"))
+    append(out.sortWithinPartitions("location_name", "snapshot_time_utc"), path, ["snapshot_date"])
