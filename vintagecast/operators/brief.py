@@ -29,7 +29,8 @@ def _current(hourly: DataFrame, runs: DataFrame, snaps: DataFrame | None = None)
     return current_versions(snaps if snaps is not None else snapshot_list(hourly), runs)
 
 
-def brief_v1(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+def brief_v1(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+             snaps: DataFrame | None = None) -> DataFrame:
     """Exact 12h horizon from now: means to 1 decimal, rain 0/1, max wind to 0
     decimals.  One row per run, NULL measures when the window is empty."""
     rows = horizon_rows(hourly, _current(hourly, runs, snaps), rules.digest_horizon_hours, columns=_MEAS)
@@ -76,7 +77,8 @@ V2_COLUMNS = [KEY, "run_time_utc", SNAP, "avg_temp_c_12h", "avg_feels_like_c_12h
               "n_hours"]
 
 
-def brief_v2(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+def brief_v2(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+             snaps: DataFrame | None = None) -> DataFrame:
     """Hour-aligned 12h window: means, sky, rain flag, max wind, window bounds."""
     g = _v2_agg(_v2_window(hourly, runs, rules, snaps=snaps))
     return g.withColumnRenamed("as_of_utc", "run_time_utc").select(*V2_COLUMNS)
@@ -96,7 +98,8 @@ def _part_text(tag: F.Column) -> F.Column:
                     F.lit(config.DEGREE_C), tag)
 
 
-def dayparts_line(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C", snaps: DataFrame | None = None) -> DataFrame:
+def dayparts_line(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C",
+                  snaps: DataFrame | None = None) -> DataFrame:
     """Next 12 hours by day part: '<part> <temp>°C[ (rain)]' joined in day order."""
     parts = _part_agg(_v2_window(hourly, runs, rules, snaps=snaps), part_set)
     txt = _part_text(F.when(F.col("rain_possible"), F.lit(config.RAIN_TAG)).otherwise(F.lit("")))
@@ -113,14 +116,16 @@ def _today_band(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFra
                            plus_hours("_day", rules.day_band_end_hour), _MEAS).drop("_day")
 
 
-def dayparts_meta(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C", snaps: DataFrame | None = None) -> DataFrame:
+def dayparts_meta(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C",
+                  snaps: DataFrame | None = None) -> DataFrame:
     parts = _part_agg(_today_band(hourly, runs, rules, snaps=snaps), part_set)
     return parts.groupBy(KEY, "as_of_utc", SNAP).agg(
         F.sum(F.when(F.col("rain_possible"), 1).otherwise(0)).cast("bigint").alias("rainy_parts"),
         F.count(F.lit(1)).alias("total_parts")).withColumnRenamed("as_of_utc", "run_time_utc")
 
 
-def brief_final(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C", snaps: DataFrame | None = None) -> DataFrame:
+def brief_final(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_set: str = "C",
+                snaps: DataFrame | None = None) -> DataFrame:
     """brief_v2 + a day-parts line over today's 06-24 band; rain tags left out
     when every part is rainy."""
     # one as-of step and one hourly join serve both windows: the rows of the
@@ -170,7 +175,8 @@ def brief_outbox(final: DataFrame, runs: DataFrame, log: DataFrame, rules: Rules
 
 
 # ---------------------------------------------------------------- day metrics
-def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None) -> DataFrame:
+def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules,
+                snaps: DataFrame | None = None) -> DataFrame:
     """Today's hours (hour band 6-23) of each run's current snapshot."""
     v = _current(hourly, runs, snaps)
     local = to_local("as_of_utc", F.col("timezone"))
@@ -180,7 +186,8 @@ def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFra
     return rows.where(F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
 
 
-def _past_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, days: int, snaps: DataFrame | None = None) -> DataFrame:
+def _past_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, days: int,
+               snaps: DataFrame | None = None) -> DataFrame:
     h = history_rows(hourly, runs, days)
     return h.where(F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
 
@@ -194,15 +201,18 @@ def daypart_summary(rows: DataFrame, part_set: str) -> DataFrame:
         F.sum(F.when(F.col("precipitation_mm") > 0, 1).otherwise(0)).cast("bigint").alias("precip_hours"))
 
 
-def daypart_summary_today(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+def daypart_summary_today(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                          snaps: DataFrame | None = None) -> DataFrame:
     return daypart_summary(_today_rows(hourly, runs, rules, snaps=snaps), "A")
 
 
-def daypart_summary_yesterday(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+def daypart_summary_yesterday(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                              snaps: DataFrame | None = None) -> DataFrame:
     return daypart_summary(_past_rows(hourly, runs, rules, 1), "B")
 
 
-def compare_days(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+def compare_days(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+                 snaps: DataFrame | None = None) -> DataFrame:
     """Today vs yesterday per day part (set B); both days must exist (inner)."""
     t = daypart_summary(_today_rows(hourly, runs, rules, snaps=snaps), "B").select(
         KEY, "as_of_utc", "daypart", F.col("avg_temp_c").alias("today_temp"),
@@ -278,7 +288,8 @@ def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
                     "most_changed_daypart", "max_daypart_delta")
 
 
-def last4_avg(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, snaps: DataFrame | None = None) -> DataFrame:
+def last4_avg(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
+              snaps: DataFrame | None = None) -> DataFrame:
     m = _means_of(*_day_frames(hourly, runs, rules, snaps))
     return m.select(KEY, F.col("run_date").alias("today_date"), "last4_avg_temp")
 
