@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -122,7 +123,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     narrow = pieces.drop("ids") if with_ids else pieces
     narrow = narrow.withColumn("group", F.pmod(F.xxhash64("piece", "doc_id", "start"), F.lit(groups)))
 
-    def place(key, p: pd.DataFrame) -> pd.DataFrame:
+    def place(key: tuple[Any, ...], p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values(["length", "doc_id", "start", "piece"], ascending=[False, True, True, True], kind="stable")
         where, p["offset"] = best_fit(p["length"].to_numpy(), window)
         p["sequence_id"] = (int(key[0]) << 32) + where
