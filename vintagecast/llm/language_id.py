@@ -123,7 +123,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str
     return languages, np.vstack([log, np.full((1, GRAMS), -np.log(seen))])
 
 
-def _score(log):
+def _score(log, prior: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = log.value
         for b in batches:
@@ -138,30 +138,57 @@ def _score(log):
             n = np.concatenate(n) if n else np.zeros(0, np.int64)
             sums = np.concatenate(sums) if sums else np.zeros((0, len(weights)))
             scaled = sums * np.minimum(1.0, EVIDENCE / np.maximum(n, 1))[:, None]
-            cols = [c for name, c in zip(b.schema.names, b.columns) if name != "text"]
-            names = [name for name in b.schema.names if name != "text"]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * len(weights), pa.int32()), pa.array(scaled.ravel()))
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n), lists], names=[*names, "grams", "text_log"])
+            post = _normal(scaled + prior) if len(n) else scaled
+            cols = {name: c for name, c in zip(b.schema.names, b.columns) if name != "text"}
+            yield pa.RecordBatch.from_pydict(cols | {"grams": pa.array(n)} | {f"t{i}": scaled[:, i] for i in range(len(weights))} | {f"p{i}": post[:, i] for i in range(len(weights))})
 
     return score
 
 
-def _normal(logs: list[Column]) -> list[Column]:
-    most = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    e = [F.exp(x - most) for x in logs]
-    total = sum(e[1:], e[0])
-    return [x / total for x in e]
+def _normal(logs: np.ndarray) -> np.ndarray:
+    e = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
 
 
-def evidence(doc: DataFrame, languages: list[str], log: np.ndarray) -> DataFrame:
-    """Staged rows: the keys, grams, and text posteriors p0, p1, ... (last: und)."""
+def evidence(doc: DataFrame, log: np.ndarray) -> DataFrame:
+    """Staged rows: the keys, grams, the text's log likelihoods t0, t1, ... and
+    posteriors p0, p1, ... (the last for und)."""
     k = len(log)
     weights = doc.sparkSession.sparkContext.broadcast(log)  # GRAMS numbers for each language
-    schema = "doc_id long, hash long, declared string, suffix string, host string, grams long, text_log array<double>"
-    scored = doc.mapInArrow(_score(weights), schema)
-    prior = [F.log(F.lit((1 - UND_PRIOR) / max(1, k - 1)))] * (k - 1) + [F.log(F.lit(UND_PRIOR))]
-    post = _normal([F.col("text_log")[i] + prior[i] for i in range(k)])
-    return staged(scored.withColumns({f"p{i}": p for i, p in enumerate(post)}), "language")
+    prior = np.log(np.array([(1 - UND_PRIOR) / max(1, k - 1)] * (k - 1) + [UND_PRIOR]))
+    schema = "doc_id long, hash long, declared string, suffix string, host string, grams long" + "".join(f", {c}{i} double" for c in "tp" for i in range(k))
+    return staged(doc.mapInArrow(_score(weights, prior), schema), "language")
+
+
+def _fuse(languages: list[str], base: np.ndarray, total: np.ndarray, kinds: int):
+    """Posterior of each row from its text and the counts of its declared
+    language (d), suffix (s) and host (h), its own share taken out."""
+    k = len(base)
+
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = {n: c for n, c in zip(b.schema.names, b.columns)}
+            many = lambda tag: np.column_stack([cols[f"{tag}{i}"].fill_null(0.0).to_numpy(zero_copy_only=False) for i in range(k)])
+            read = (cols["grams"].to_numpy(zero_copy_only=False) > 0)[:, None]
+            own = many("p") * read
+
+            def shrunk(tag: str, towards: np.ndarray, rows: float) -> np.ndarray:
+                rest = np.maximum(many(tag) - own, 0.0)
+                return (rest + rows * towards) / (rest.sum(axis=1, keepdims=True) + rows)
+
+            prior = shrunk("h", shrunk("s", np.broadcast_to(base, own.shape), SUFFIX_ROWS), HOST_ROWS)
+            said = np.log((np.maximum(many("d") - own, 0.0) + DECLARED_ROWS / kinds) / (total + DECLARED_ROWS))
+            said[cols["declared"].is_null().to_numpy(zero_copy_only=False)] = 0.0
+            # P(suffix | language) is in the host's prior, which is shrunk towards the suffix's
+            post = _normal(np.log(prior) + many("t") + said) if b.num_rows else own
+            best = post.argmax(axis=1)
+            found = read[:, 0] & (k > 1)
+            names = np.array([*languages, UND], object)[np.where(found, best, k - 1)]
+            p = np.where(found, post.max(axis=1, initial=0.0), 0.0)
+            kept = (names != UND) & (p >= LEAST_PROBABILITY)
+            yield pa.RecordBatch.from_pydict({"doc_id": cols["doc_id"], "hash": cols["hash"], "declared": cols["declared"], "language": pa.array(names, pa.string()), "probability": p, "kept": kept.astype(bool)})
+
+    return fuse
 
 
 def identify(docs: DataFrame, declared: Column, suffix: Column, host: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -171,41 +198,19 @@ def identify(docs: DataFrame, declared: Column, suffix: Column, host: Column, sa
         F.lower(suffix).alias("suffix"), F.lower(host).alias("host"), F.col("text").cast("string").alias("text"),
     )
     languages, log = train(doc.select(F.struct("doc_id", "hash").alias("key"), F.col("declared").alias("label"), "text"), sample_rows)
-    rows, k = evidence(doc, languages, log), len(log)
-    ps = [f"p{i}" for i in range(k)]
+    rows, k = evidence(doc, log), len(log)
     read = F.when(F.col("grams") > 0, 1.0).otherwise(0.0)  # texts without letters tell nothing
-    sums = lambda tag: [F.sum(F.col(p) * read).alias(f"{tag}{p}") for p in ps]
-    hosts = staged(rows.groupBy("suffix", "host").agg(*sums("h_")), "hosts")
-    suffixes = staged(hosts.groupBy("suffix").agg(*[F.sum(f"h_{p}").alias(f"s_{p}") for p in ps]), "suffixes")
-    corpus = suffixes.agg(*[F.sum(f"s_{p}") for p in ps]).first()
-    total = [float(x or 0) for x in corpus]
-    n = sum(total)
-    base = [(x + 1.0) / (n + k) for x in total]
-    table = staged(rows.where("declared IS NOT NULL").groupBy("declared").agg(*sums("d_")), "declared")
-    kinds = table.count() + 1
-
-    def shrunk(tag: str, towards: list[Column], rows_: float) -> list[Column]:
-        own = [F.greatest(F.coalesce(F.col(f"{tag}{p}"), F.lit(0.0)) - F.col(p) * read, F.lit(0.0)) for p in ps]
-        mass = sum(own[1:], own[0]) + rows_
-        return [(x + rows_ * t) / mass for x, t in zip(own, towards)]
-
+    sums = lambda tag: [F.sum(F.col(f"p{i}") * read).alias(f"{tag}{i}") for i in range(k)]
+    hosts = staged(rows.groupBy("suffix", "host").agg(*sums("h")), "hosts")
+    suffixes = staged(hosts.groupBy("suffix").agg(*[F.sum(f"h{i}").alias(f"s{i}") for i in range(k)]), "suffixes")
+    total = np.array([float(x or 0) for x in suffixes.agg(*[F.sum(f"s{i}") for i in range(k)]).first()])
+    base = (total + 1.0) / (total.sum() + k)
+    table = staged(rows.where("declared IS NOT NULL").groupBy("declared").agg(*sums("d")), "declared")
     rows = rows.join(small(table), "declared", "left")
     rows = rows.join(small(suffixes.withColumnRenamed("suffix", "_suffix")), F.col("suffix").eqNullSafe(F.col("_suffix")), "left")
     named = hosts.where("host IS NOT NULL").withColumnsRenamed({"host": "_host", "suffix": "_of"})
     rows = rows.join(small(named), (F.col("host") == F.col("_host")) & F.col("suffix").eqNullSafe(F.col("_of")), "left")
-    by_suffix = shrunk("s_", [F.lit(x) for x in base], SUFFIX_ROWS)
-    by_host = shrunk("h_", by_suffix, HOST_ROWS)
-    own = [F.greatest(F.col(f"d_{p}") - F.col(p) * read, F.lit(0.0)) for p in ps]
-    spread = DECLARED_ROWS / kinds
-    said = [F.when(F.col("declared").isNull(), 0.0).otherwise(F.log((o + spread) / (F.lit(t) + DECLARED_ROWS))) for o, t in zip(own, total)]
-    # P(suffix | language) is in the host's prior, which is shrunk towards the suffix's
-    post = _normal([F.log(b) + F.col("text_log")[i] + said[i] for i, b in enumerate(by_host)])
-    rows = rows.withColumns({f"q{i}": p for i, p in enumerate(post)})
-    best = F.greatest(*[F.struct(F.col(f"q{i}").alias("p"), F.lit(-i).alias("i")) for i in range(k)]) if k > 1 else F.struct(F.lit(0.0).alias("p"), F.lit(0).alias("i"))
-    name = F.element_at(F.array(*map(F.lit, [*languages, UND])), 1 - best["i"])
-    found = (F.col("grams") > 0) & (F.lit(k) > 1)
-    rows = rows.select("doc_id", "hash", "declared", F.when(found, name).otherwise(UND).alias("language"), F.when(found, best["p"]).otherwise(0.0).alias("probability"))
-    return rows.withColumn("kept", (F.col("language") != UND) & (F.col("probability") >= LEAST_PROBABILITY))
+    return rows.mapInArrow(_fuse(languages, base, total, table.count() + 1), "doc_id long, hash long, declared string, language string, probability double, kept boolean")
 
 
 def host_of(source: Column) -> tuple[Column, Column]:
