@@ -6,8 +6,8 @@ posterior(language) ~ prior(language | host) * P(text | language)
 
 * Text: naive Bayes over byte trigrams of the whole text (letters in lower
   case, everything else one blank), trained here on a bounded sample of
-  labelled rows.  One more class, ``und``, gives every trigram the same
-  probability; it wins where a text is like none of the languages.
+  labelled rows.  One more class, ``und``, gives every trigram number the same
+  probability; it wins where most of a text is like none of the languages.
 * Declared language, suffix and host: counted over all rows by grouped
   aggregation of the text posteriors.  A host's prior is smoothed towards its
   suffix's and that towards the corpus's; a row's own share is taken out first.
@@ -16,7 +16,8 @@ Trigrams of a text are not independent, so a text's evidence is scaled to at
 most EVIDENCE trigrams; short texts then follow their host and markup.
 
 Defined cases: a text without letters (null, empty, digits and marks only) is
-``und`` with probability 0 and not kept; null declared language, suffix or
+``und`` with probability 0 and not kept; one too short for a trigram follows
+its markup and host; null declared language, suffix or
 host are no evidence (a null host has its suffix's prior); rows that repeat a
 ``doc_id`` are judged each; without labelled rows every text is ``und``; an
 empty table gives an empty result; other columns don't matter.
@@ -49,8 +50,9 @@ for _c in range(ord("a"), ord("z") + 1):
     _FOLD[_c] = _FOLD[_c - 32] = _c
 
 
-def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram numbers of the folded texts and where each text's begin (one more at the end)."""
+def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trigram numbers of the folded texts, where each text's begin (one more at
+    the end), and the letter bytes of each text."""
     base = int(offsets[0])
     folded = _FOLD[data[base : int(offsets[-1])]]
     at = offsets - base
@@ -63,11 +65,12 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     first[at] = True
     keep = ~blank  # a blank stays if a letter of the same text stands before it
     keep[1:] |= ~blank[:-1] & ~first[1 : len(folded)]
+    letters = np.diff(np.concatenate(([0], np.cumsum(~blank, dtype=np.int64)))[at])
     at = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))[at]
     folded = folded[keep].astype(np.uint32)
     n = len(folded)
     if n < 3:
-        return np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+        return np.zeros(0, np.int64), np.zeros(len(at), np.int64), letters
     number = (folded[:-2] * np.uint32(0x9E3779B1) + folded[1:-1] * np.uint32(0x85EBCA77) + folded[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(17)
     # trigrams that begin in the last two places of a text run into the next one
     inside = np.ones(n, bool)
@@ -75,10 +78,10 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     inside[ends - 1] = False
     inside[np.maximum(ends - 2, 0)] = False
     inside = inside[: n - 2]
-    return number[inside].astype(np.int64), np.concatenate(([0], np.cumsum(inside)))[np.minimum(at, n - 2)]
+    return number[inside].astype(np.int64), np.concatenate(([0], np.cumsum(inside)))[np.minimum(at, n - 2)], letters
 
 
-def _blocks(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _blocks(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     data, off = text_buffer(col)
     i, n = 0, len(off) - 1
     while i < n:
@@ -92,7 +95,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         labels = np.array(b.column("label").to_pylist(), object)
         at = 0
-        for grams, bounds in _blocks(b.column("text")):
+        for grams, bounds, _ in _blocks(b.column("text")):
             own = np.repeat(labels[at : at + len(bounds) - 1], np.diff(bounds))
             for label in set(own):
                 totals[label] = totals.get(label, 0) + np.bincount(grams[own == label], minlength=GRAMS)
@@ -118,29 +121,29 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str
     table = np.zeros((len(languages), GRAMS))
     for r in grams.toLocalIterator():  # at most GRAMS numbers for each language
         table[languages.index(r["label"]), r["gram"]] = r["n"]
-    seen = max(1, int((table.sum(axis=0) > 0).sum()))
     log = np.log(table + 0.5) - np.log(table.sum(axis=1, keepdims=True) + 0.5 * GRAMS)
-    return languages, np.vstack([log, np.full((1, GRAMS), -np.log(seen))])
+    return languages, np.vstack([log, np.full((1, GRAMS), -np.log(GRAMS))])
 
 
 def _score(log, prior: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = log.value
         for b in batches:
-            n, sums = [], []
-            for grams, bounds in _blocks(b.column("text")):
+            n, letters, sums = [], [], []
+            for grams, bounds, own in _blocks(b.column("text")):
                 count = np.diff(bounds)
                 n.append(count)
+                letters.append(own)
                 total = np.zeros((len(weights), len(grams) + 1))
                 for i, w in enumerate(weights):
                     np.cumsum(w[grams], out=total[i, 1:])
                 sums.append((total[:, bounds[1:]] - total[:, bounds[:-1]]).T)
-            n = np.concatenate(n) if n else np.zeros(0, np.int64)
+            n, letters = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (n, letters))
             sums = np.concatenate(sums) if sums else np.zeros((0, len(weights)))
             scaled = sums * np.minimum(1.0, EVIDENCE / np.maximum(n, 1))[:, None]
             post = _normal(scaled + prior) if len(n) else scaled
             cols = {name: c for name, c in zip(b.schema.names, b.columns) if name != "text"}
-            yield pa.RecordBatch.from_pydict(cols | {"grams": pa.array(n)} | {f"t{i}": scaled[:, i] for i in range(len(weights))} | {f"p{i}": post[:, i] for i in range(len(weights))})
+            yield pa.RecordBatch.from_pydict(cols | {"letters": pa.array(letters)} | {f"t{i}": scaled[:, i] for i in range(len(weights))} | {f"p{i}": post[:, i] for i in range(len(weights))})
 
     return score
 
@@ -151,12 +154,12 @@ def _normal(logs: np.ndarray) -> np.ndarray:
 
 
 def evidence(doc: DataFrame, log: np.ndarray) -> DataFrame:
-    """Staged rows: the keys, grams, the text's log likelihoods t0, t1, ... and
+    """Staged rows: the keys, letters, the text's log likelihoods t0, t1, ... and
     posteriors p0, p1, ... (the last for und)."""
     k = len(log)
     weights = doc.sparkSession.sparkContext.broadcast(log)  # GRAMS numbers for each language
     prior = np.log(np.array([(1 - UND_PRIOR) / max(1, k - 1)] * (k - 1) + [UND_PRIOR]))
-    schema = "doc_id long, hash long, declared string, suffix string, host string, grams long" + "".join(f", {c}{i} double" for c in "tp" for i in range(k))
+    schema = "doc_id long, hash long, declared string, suffix string, host string, letters long" + "".join(f", {c}{i} double" for c in "tp" for i in range(k))
     return staged(doc.mapInArrow(_score(weights, prior), schema), "language")
 
 
@@ -169,7 +172,7 @@ def _fuse(languages: list[str], base: np.ndarray, total: np.ndarray, kinds: int)
         for b in batches:
             cols = {n: c for n, c in zip(b.schema.names, b.columns)}
             many = lambda tag: np.column_stack([cols[f"{tag}{i}"].fill_null(0.0).to_numpy(zero_copy_only=False) for i in range(k)])
-            read = (cols["grams"].to_numpy(zero_copy_only=False) > 0)[:, None]
+            read = (cols["letters"].to_numpy(zero_copy_only=False) > 0)[:, None]
             own = many("p") * read
 
             def shrunk(tag: str, towards: np.ndarray, rows: float) -> np.ndarray:
@@ -199,7 +202,7 @@ def identify(docs: DataFrame, declared: Column, suffix: Column, host: Column, sa
     )
     languages, log = train(doc.select(F.struct("doc_id", "hash").alias("key"), F.col("declared").alias("label"), "text"), sample_rows)
     rows, k = evidence(doc, log), len(log)
-    read = F.when(F.col("grams") > 0, 1.0).otherwise(0.0)  # texts without letters tell nothing
+    read = F.when(F.col("letters") > 0, 1.0).otherwise(0.0)  # texts without letters tell nothing
     sums = lambda tag: [F.sum(F.col(f"p{i}") * read).alias(f"{tag}{i}") for i in range(k)]
     hosts = staged(rows.groupBy("suffix", "host").agg(*sums("h")), "hosts")
     suffixes = staged(hosts.groupBy("suffix").agg(*[F.sum(f"h{i}").alias(f"s{i}") for i in range(k)]), "suffixes")
