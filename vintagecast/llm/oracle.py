@@ -56,4 +56,19 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, d.doc_id)
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
-SQL = {"op4_jaccard_join": OP4, "op2_mix_sources": OP2, "op5_exact_dedup": OP5}
+OP10 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(regexp_replace(replace(text, '\', '\\'), '<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>', '\0.', 'g')) AS n,
+    length(regexp_replace(replace(role, '\', '\\'), '<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>', '\0.', 'g')) AS nr
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(CASE role WHEN 'user' THEN 18 + n WHEN 'assistant' THEN 7 + n ELSE 22 + nr + n END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+SQL = {"op10_format_chat": OP10, "op4_jaccard_join": OP4, "op2_mix_sources": OP2, "op5_exact_dedup": OP5}
