@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, exact_dedup, language_id, mixing, packing, records, set_join, style_tree
+from . import ann, captures, chat, exact_dedup, language_id, mixing, packing, records, set_join, style_tree, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve(warc.parse(captures.crawl(table(spark, sf_dir, "pages"))))
+    lines = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return found.withColumn("headers", lines).withColumn("date", F.unix_seconds("date")).withColumn("original_date", F.unix_seconds("original_date"))
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_main_text": op3_main_text,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_revisits": op6_revisits,
     "op7_token_records": op7_token_records,
     "op8_language_id": op8_language_id,
     "op9_pack": op9_pack,
