@@ -19,8 +19,8 @@ import numpy as np
 
 #: Pieces kept in each of two generations, and the longest piece kept.
 KEPT, LONGEST = 600_000, 64
-#: Letters up to U+024F.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: Letters up to U+024F, without the one (U+0130) whose lower case is two characters.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 #: White space to Python but not to the tokenizers.
 _ODD = re.compile("[\x1c-\x1f]")
 _WORD = re.compile(rf"[{_LETTERS}]+")

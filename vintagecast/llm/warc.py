@@ -124,7 +124,7 @@ def canonical(uri: Column) -> Column:
 
 def field(headers: Column, name: str) -> Column:
     """The last value of a header field, null if there is none."""
-    return F.element_at(F.filter(headers, lambda h: F.lower(h["name"]) == name), -1)["value"]
+    return F.try_element_at(F.filter(headers, lambda h: F.lower(h["name"]) == name), F.lit(-1))["value"]
 
 
 def _weak(tag: Column) -> Column:
