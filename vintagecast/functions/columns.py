@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from vintagecast import config
 
-_DEC = "decimal(18,4)"
+#: Measures are summed to nine decimals, up to 29 digits before the point.
+_DEC = "decimal(38,9)"
 
 
 def col_(c: Column | str) -> Column:
@@ -20,7 +21,7 @@ def col_(c: Column | str) -> Column:
 
 # ---------------------------------------------------------------- exact means
 # Floating sums depend on the order rows meet; at scale that order changes
-# between runs.  Summing DECIMAL(18,4) is exact, so the mean is the same on
+# between runs.  Summing DECIMAL(38,9) is exact, so the mean is the same on
 # every run and on every partitioning.
 
 def exact_sum(c: Column | str) -> Column:

@@ -197,7 +197,7 @@ def daypart_summary(rows: DataFrame, part_set: str) -> DataFrame:
     return lab.groupBy(KEY, "as_of_utc", F.col("forecast_date_local").alias("date_local"), "daypart").agg(
         exact_mean("temperature_c").alias("avg_temp_c"), exact_mean("feels_like_c").alias("avg_feels_like_c"),
         exact_mean("wind_kmh").alias("avg_wind_kmh"),
-        F.sum(F.col("precipitation_mm").cast("decimal(18,4)")).cast("double").alias("total_precip_mm"),
+        F.sum(F.col("precipitation_mm").cast("decimal(38,9)")).cast("double").alias("total_precip_mm"),
         F.sum(F.when(F.col("precipitation_mm") > 0, 1).otherwise(0)).cast("bigint").alias("precip_hours"))
 
 

@@ -95,5 +95,6 @@ def snapshot_health(registry: DataFrame, zone: Column, rules: Rules = RULES,
 
 
 def health_latest(health: DataFrame, n: int = 5) -> DataFrame:
-    """Newest n health rows (top-k report)."""
-    return health.orderBy(F.col(DAY).desc(), F.col(KEY)).limit(n)
+    """Newest n health rows of each location."""
+    from vintagecast.operators.profile import top_per_key
+    return top_per_key(health, [KEY], [F.col(DAY).desc()], n)

@@ -118,5 +118,5 @@ def stats_and_sample(hourly: DataFrame, n: int = 5) -> DataFrame:
     sample = top_per_key(latest, [KEY], [F.col("forecast_time_local")], n).select(
         KEY, F.lit("SAMPLE").alias("section"), F.col(SNAP).cast("string").alias("latest_snapshot_utc"),
         F.col("forecast_time_local").cast("string").alias("a"), ftype.alias("b"),
-        F.col("precipitation_mm").cast("decimal(18,4)").cast("string").alias("c"), F.lit("").alias("d"))
+        F.col("precipitation_mm").cast("decimal(38,9)").cast("string").alias("c"), F.lit("").alias("d"))
     return stats.unionByName(sample)

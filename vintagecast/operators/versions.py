@@ -94,7 +94,8 @@ def snapshot_deltas_all(hourly: DataFrame) -> DataFrame:
 
 
 def snapshot_deltas(hourly: DataFrame, limit: int | None = 20) -> DataFrame:
-    """Newest vs second newest snapshot per location; top-k report by forecast time."""
+    """Newest vs second newest snapshot per location; of each location the first
+    ``limit`` forecast hours (all with None)."""
     two = latest_two_snapshots(hourly)
     pairs = (two.groupBy(KEY).agg(F.max(F.when(F.col("rn") == 1, F.col(SNAP))).alias(SNAP),
                                   F.max(F.when(F.col("rn") == 2, F.col(SNAP))).alias("prev_snapshot_utc"))
@@ -102,7 +103,8 @@ def snapshot_deltas(hourly: DataFrame, limit: int | None = 20) -> DataFrame:
     out = _deltas(hourly, pairs)
     if limit is None:
         return out
-    return out.orderBy("forecast_time_local", KEY).limit(limit)
+    from vintagecast.operators.profile import top_per_key
+    return top_per_key(out, [KEY], [F.col("forecast_time_local")], limit)
 
 
 def visible_versions(snaps: DataFrame, runs: DataFrame) -> DataFrame:

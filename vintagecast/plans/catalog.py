@@ -24,7 +24,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
 
 LOAD_CUTOFF_DAY = 16          # registry rows before this day of month are "already loaded"
-LOCATION_FILTER = "click"
+LOCATION_FILTER = "u1"
 FIXED_INSERT_TIME = "2024-02-01 00:00:00"
 
 
@@ -314,7 +314,7 @@ def q_alert_replay(spark, sf):
 @query("alert_replay_wide")
 def q_alert_replay_wide(spark, sf):
     configure(spark)
-    h = fx.hourly(spark, sf, wide=True)
+    h = fx.hourly(spark, sf)
     return alerts.decisions(h, fx.runs(h))
 
 
@@ -515,7 +515,7 @@ def q_dup_examples(spark, sf):
 @query("hours_per_snapshot")
 def q_hours_per_snapshot(spark, sf):
     g = profile.rows_per_snapshot(_h(spark, sf)).withColumnRenamed("rows", "n_hours")
-    return g.orderBy(F.col("snapshot_time_utc").desc(), "location_name").limit(20)
+    return profile.top_per_key(g, ["location_name"], [F.col("snapshot_time_utc").desc()], 20)
 
 
 @query("rows_per_snapshot")
@@ -672,11 +672,10 @@ def q_stream_cooldown(spark, sf):
 
 
 # ------------------------------------------------------------------ wide variants
-# F1 saturates at 48 hours x 150 (location, snapshot) pairs; F6 keys
-# locations by user, so these variants keep growing with ``events``.
+# Kept from when only these were keyed by user; F1 is now as well.
 def _hw(spark: SparkSession, sf: str) -> DataFrame:
     configure(spark)
-    return fx.hourly(spark, sf, wide=True)
+    return fx.hourly(spark, sf)
 
 
 @query("brief_final_wide")

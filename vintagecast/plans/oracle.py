@@ -2,7 +2,7 @@
 
 Fixtures are CTEs over the pre-registered tables, written from the
 definitions in FIXTURES.md, not from the Spark code.  Means use exact
-DECIMAL(18,4) sums; rounded means use integer arithmetic so that both
+sums of billionths; rounded means use integer arithmetic so that both
 engines round the exact value half away from zero.
 """
 
@@ -12,19 +12,23 @@ HEALTH_ZONE = "Europe/Prague"
 
 
 # ------------------------------------------------------------------ numeric helpers
+def nano(x: str) -> str:
+    """Sum of a measure in whole billionths."""
+    return f"SUM(CAST(round({x} * 1000000000) AS HUGEINT))"
+
+
 def mean(x: str) -> str:
-    return f"(CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
+    return f"(CAST({nano(x)} AS DOUBLE) / CAST(1000000000 AS DOUBLE) / NULLIF(COUNT({x}), 0))"
 
 
 def mean_round(x: str, d: int) -> str:
-    k = f"CAST(SUM(CAST({x} AS DECIMAL(18,4))) * 10000 AS HUGEINT)"
-    n = f"CAST(COUNT({x}) AS HUGEINT)"
-    q = f"(sign({k}) * ((2 * abs({k}) * {10 ** d} + {n} * 10000) // NULLIF(2 * {n} * 10000, 0)))"
+    k, n = f"CAST({nano(x)} AS HUGEINT)", f"CAST(COUNT({x}) AS HUGEINT)"
+    q = f"(sign({k}) * ((2 * abs({k}) * {10 ** d} + {n} * 1000000000) // NULLIF(2 * {n} * 1000000000, 0)))"
     return f"(CAST({q} AS DOUBLE) / {10 ** d})" if d else f"CAST({q} AS DOUBLE)"
 
 
 def dsum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"(CAST({nano(x)} AS DOUBLE) / CAST(1000000000 AS DOUBLE))"
 
 
 def rate(pred: str) -> str:
@@ -46,12 +50,14 @@ SORT_KEY = "CASE daypart WHEN 'morning' THEN 1 WHEN 'noon' THEN 2 WHEN 'afternoo
 
 
 # ------------------------------------------------------------------ fixtures
-def hourly_cte(wide: bool = False) -> str:
-    loc = "'u' || CAST(user_id AS VARCHAR)" if wide else "event_type"
+LOC = "'u' || CAST(user_id AS VARCHAR)"
+
+
+def hourly_cte() -> str:
     return f"""
 f1_pick AS (
-  SELECT {loc} AS location_name, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS snapshot_time_utc,
-         event_id % 48 AS idx, min(event_id) AS eid, arg_min(value, event_id) AS value
+  SELECT {LOC} AS location_name, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS snapshot_time_utc,
+         event_id % 48 AS idx, min(event_id) AS eid, max(value) AS value
   FROM events GROUP BY 1, 2, 3
 ),
 f1_base AS (
@@ -100,13 +106,13 @@ vis_all AS (
 vis AS (SELECT * FROM vis_all WHERE rn <= 2),
 cur AS (SELECT location_name, as_of_utc, snapshot_time_utc FROM vis WHERE rn = 1)"""
 
-REGISTRY = """
+REGISTRY = f"""
 registry AS (
-  SELECT event_type AS location_name, min(ts) AS snapshot_time_utc, 'f' || CAST(min(event_id) AS VARCHAR) AS raw_file,
+  SELECT {LOC} AS location_name, min(ts) AS snapshot_time_utc, 'f' || CAST(min(event_id) AS VARCHAR) AS raw_file,
          sha256('k' || CAST(CAST(json_extract_string(arg_min(props, event_id), '$.k') AS INTEGER) % 3 AS VARCHAR))
            AS content_hash,
          min(ts) AS inserted_at_utc, min(event_id) AS eid
-  FROM events GROUP BY event_type, date_trunc('hour', ts)
+  FROM events GROUP BY user_id, date_trunc('hour', ts)
 )"""
 
 REGISTRY_COPIES = REGISTRY + """,
@@ -178,16 +184,16 @@ health AS (
   LEFT JOIN mlist m USING (location_name, today_local_date)
 )"""
 
-ALERT_LOG = """
+ALERT_LOG = f"""
 alert_log AS (
   SELECT ts AS sent_time_utc,
          CASE WHEN user_id % 2 = 0 THEN 'rain_next6h' ELSE 'wind_next6h' END AS alert_type,
-         event_type AS location_name
-  FROM events WHERE value >= {v}
+         {LOC} AS location_name
+  FROM events
 )"""
 
-BRIEF_LOG = """
-brief_log AS (SELECT CAST(ts AS DATE) AS sent_date_local, event_type AS location_name FROM events WHERE value >= {v})"""
+BRIEF_LOG = f"""
+brief_log AS (SELECT CAST(ts AS DATE) AS sent_date_local, {LOC} AS location_name FROM events WHERE event_type = 'purchase')"""
 
 # F4 raw rows: per (location, snapshot), hours ordered by idx; day-of-month rules
 RAW = """,
@@ -219,9 +225,7 @@ def w(*ctes: str) -> str:
 
 
 H = hourly_cte()
-HW = hourly_cte(wide=True)
-ALERT_LOG_MIN_VALUE = 150
-BRIEF_LOG_MIN_VALUE = 200
+HW = hourly_cte()
 
 
 # ------------------------------------------------------------------ alerts SQL
@@ -281,7 +285,7 @@ FROM dec d LEFT JOIN (
 
 
 def _gated_q(flag, cols, a_type):
-    return w(H, _decisions(RUNS), ALERT_LOG.format(v=ALERT_LOG_MIN_VALUE)) + _gated(flag, cols, a_type)
+    return w(H, _decisions(RUNS), ALERT_LOG) + _gated(flag, cols, a_type)
 
 
 # ------------------------------------------------------------------ digest SQL
@@ -516,7 +520,7 @@ ranked AS (SELECT location_name, snapshot_time_utc,
                   dense_rank() OVER (PARTITION BY location_name ORDER BY snapshot_time_utc DESC) AS r FROM snaps),
 pairs AS (SELECT location_name, max(CASE WHEN r = 1 THEN snapshot_time_utc END) AS cur_s,
                  max(CASE WHEN r = 2 THEN snapshot_time_utc END) AS prev_s FROM ranked GROUP BY 1)""" + deltas + """
-ORDER BY c.forecast_time_local, c.location_name LIMIT 20"""
+QUALIFY row_number() OVER (PARTITION BY c.location_name ORDER BY c.forecast_time_local) <= 20"""
     q["snapshot_deltas_all"] = w(H, SNAPS) + """,
 pairs AS (SELECT location_name, snapshot_time_utc AS cur_s,
                  lag(snapshot_time_utc) OVER (PARTITION BY location_name ORDER BY snapshot_time_utc) AS prev_s
@@ -544,7 +548,7 @@ FROM cur c JOIN hourly h ON h.location_name = c.location_name AND h.snapshot_tim
 WHERE CAST(c.as_of_utc AS DATE) - h.forecast_date_local IN (0, 1)"""
     q["data_driven_today"] = w(H) + LATEST + """
 SELECT location_name, min(forecast_date_local) AS today_date FROM latest GROUP BY 1"""
-    q["location_filter"] = w(H) + "\nSELECT * FROM hourly WHERE location_name = 'click'"
+    q["location_filter"] = w(H) + "\nSELECT * FROM hourly WHERE location_name = 'u1'"
     q["having_filter"] = """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS c FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1"""
     # ---------------------------------------------------------- alerts
@@ -565,11 +569,11 @@ SELECT {WIND_COLS.replace(', should_alert_wind_next6h', '')} FROM dec"""
     q["alert_replay"] = w(H, _decisions(RUNS)) + f"\nSELECT {all_cols} FROM dec"
     q["alert_replay_wide"] = w(HW, _decisions(RUNS)) + f"\nSELECT {all_cols} FROM dec"
     # ---------------------------------------------------------- gating
-    q["last_sent"] = w(ALERT_LOG.format(v=ALERT_LOG_MIN_VALUE)) + """
+    q["last_sent"] = w(ALERT_LOG) + """
 SELECT location_name, alert_type, max(sent_time_utc) AS last_sent_time_utc FROM alert_log GROUP BY 1, 2"""
     q["rain_gated"] = _gated_q("should_alert_rain_next6h", RAIN_COLS, "rain_next6h")
     q["wind_gated"] = _gated_q("should_alert_wind_next6h", WIND_COLS, "wind_next6h")
-    q["alert_outbox"] = (w(H, _decisions(RUNS), ALERT_LOG.format(v=ALERT_LOG_MIN_VALUE))
+    q["alert_outbox"] = (w(H, _decisions(RUNS), ALERT_LOG)
                          + ",\nrg AS (" + _gated("should_alert_rain_next6h", RAIN_COLS, "rain_next6h") + ")"
                          + ",\nwg AS (" + _gated("should_alert_wind_next6h", WIND_COLS, "wind_next6h") + ")"
                          + """
@@ -585,9 +589,9 @@ SELECT run_time_utc, 'wind_next6h', current_snapshot_utc,
 FROM wg WHERE should_send_after_gating""")
     q["cooldown_replay"] = """
 WITH RECURSIVE d AS (
-  SELECT 'g' || CAST(user_id % 10 AS VARCHAR) AS location_name, event_type AS alert_type, ts AS decision_time_utc,
+  SELECT 'u' || CAST(user_id AS VARCHAR) AS location_name, event_type AS alert_type, ts AS decision_time_utc,
          event_id AS decision_id
-  FROM events WHERE event_type IN ('error', 'click') AND value >= 30
+  FROM events
 ),
 nxt AS (
   SELECT a.decision_id, first(b.decision_id ORDER BY b.decision_time_utc, b.decision_id) AS next_id
@@ -617,7 +621,7 @@ FROM snaps_of_day"""
     q["change_rate"] = w(HEALTH) + "\nSELECT * FROM rates"
     q["missing_hours_list"] = w(HEALTH) + "\nSELECT * FROM mlist"
     q["snapshot_health"] = w(HEALTH) + "\nSELECT * FROM health"
-    q["health_latest"] = w(HEALTH) + "\nSELECT * FROM health ORDER BY today_local_date DESC, location_name LIMIT 5"
+    q["health_latest"] = w(HEALTH) + "\nSELECT * FROM health QUALIFY row_number() OVER (PARTITION BY location_name ORDER BY today_local_date DESC) <= 5"
     # ---------------------------------------------------------- digest
     q["brief_v1"] = w(H, RUNS + VIS) + """,
 nh AS (
@@ -646,7 +650,7 @@ FROM parts12 GROUP BY 1, 2, 3"""
     q["dayparts_meta"] = w(H, _v2_rows(RUNS)) + """
 SELECT location_name, as_of_utc AS run_time_utc, snapshot_time_utc, rainy_parts, total_parts FROM meta"""
     q["brief_final"] = w(H, _v2_rows(RUNS)) + "\nSELECT * FROM final"
-    q["brief_outbox"] = w(H, _v2_rows(DIGEST_RUNS), BRIEF_LOG.format(v=BRIEF_LOG_MIN_VALUE)) + """,
+    q["brief_outbox"] = w(H, _v2_rows(DIGEST_RUNS), BRIEF_LOG) + """,
 elig AS (
   SELECT f.*, CAST(f.run_time_utc AS DATE) AS sent_date_local,
          row_number() OVER (PARTITION BY f.location_name, CAST(f.run_time_utc AS DATE) ORDER BY f.run_time_utc) AS k
@@ -733,7 +737,7 @@ FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1
 ORDER BY l_orderkey DESC, l_linenumber LIMIT 20"""
     q["hours_per_snapshot"] = w(H) + """
 SELECT location_name, snapshot_time_utc, COUNT(*) AS n_hours FROM hourly GROUP BY 1, 2
-ORDER BY snapshot_time_utc DESC, location_name LIMIT 20"""
+QUALIFY row_number() OVER (PARTITION BY location_name ORDER BY snapshot_time_utc DESC) <= 20"""
     q["rows_per_snapshot"] = w(H) + """
 SELECT location_name, snapshot_time_utc, COUNT(*) AS rows FROM hourly GROUP BY 1, 2"""
     q["rows_per_snapshot_newest"] = w(H) + """
@@ -775,7 +779,7 @@ SELECT location_name, 'STATS' AS section, CAST(snapshot_time_utc AS VARCHAR) AS
 FROM latest GROUP BY location_name, snapshot_time_utc
 UNION ALL
 SELECT location_name, 'SAMPLE', CAST(snapshot_time_utc AS VARCHAR), CAST(forecast_time_local AS VARCHAR),
-       typeof(forecast_time_local), CAST(CAST(precipitation_mm AS DECIMAL(18,4)) AS VARCHAR), ''
+       typeof(forecast_time_local), CAST(CAST(precipitation_mm AS DECIMAL(38,9)) AS VARCHAR), ''
 FROM (SELECT *, row_number() OVER (PARTITION BY location_name ORDER BY forecast_time_local) AS k FROM latest) x
 WHERE k <= 5"""
     # ---------------------------------------------------------- streaming (one trigger = batch rule)

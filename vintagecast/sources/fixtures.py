@@ -18,10 +18,6 @@ from vintagecast.session import table_path
 
 FIXTURE_ZONE = "UTC"
 HEALTH_ZONE = "Europe/Prague"
-ALERT_LOG_MIN_VALUE = 150
-BRIEF_LOG_MIN_VALUE = 200
-DECISION_MIN_VALUE = 30
-DECISION_TYPES = ("error", "click")
 RUN_OFFSET_HOURS = 6
 DIGEST_EXTRA_OFFSET_HOURS = 3
 
@@ -44,18 +40,22 @@ def _measures(eid: Column, value: Column) -> list[Column]:
             cloud.alias("cloudcover_pct")]
 
 
-def hourly(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
-    """F1 (``wide=False``: location = event type) or F6 (location = 'u' + user)."""
+def _location() -> Column:
+    """A location per user: locations, and all that hangs on them, grow with ``events``."""
+    return F.concat(F.lit("u"), F.col("user_id").cast("string"))
+
+
+def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a snapshot per (user, day), forecast hours from ``event_id``.  Events of
+    one hour are one row: the smallest id, the largest value."""
     ev = events(spark, sf_dir)
-    loc = (F.concat(F.lit("u"), F.col("user_id").cast("string")) if wide
-           else F.col("event_type"))
     picked = (
-        ev.select(loc.alias("location_name"),
+        ev.select(_location().alias("location_name"),
                   day_floor("ts").alias("snapshot_time_utc"),
                   (F.col("event_id") % 48).alias("idx"),
                   "event_id", "value")
         .groupBy("location_name", "snapshot_time_utc", "idx")
-        .agg(F.min("event_id").alias("eid"), F.min_by("value", "event_id").alias("value"))
+        .agg(F.min("event_id").alias("eid"), F.max("value").alias("value"))
     )
     ft = plus_hours("snapshot_time_utc", F.col("idx")).alias("forecast_time_local")
     out = picked.select(
@@ -101,9 +101,9 @@ def _k(props: Column) -> Column:
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """one registry row per (event type, hour of ts)."""
+    """one registry row per (user, hour of ts)."""
     ev = events(spark, sf_dir)
-    g = (ev.groupBy(F.col("event_type").alias("location_name"), hour_floor("ts").alias("h"))
+    g = (ev.groupBy(_location().alias("location_name"), hour_floor("ts").alias("h"))
          .agg(F.min("ts").alias("snapshot_time_utc"), F.min("event_id").alias("eid"),
               F.min_by("props", "event_id").alias("props")))
     return g.select(
@@ -124,31 +124,29 @@ def registry_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TRUE alert decisions with a time, keyed by (location, type)."""
+    """TRUE alert decisions with a time, keyed by (location, type): every event."""
     ev = events(spark, sf_dir)
-    return (ev.where(F.col("event_type").isin(*DECISION_TYPES) & (F.col("value") >= DECISION_MIN_VALUE))
-            .select(F.concat(F.lit("g"), (F.col("user_id") % 10).cast("string")).alias("location_name"),
+    return (ev.select(_location().alias("location_name"),
                     F.col("event_type").alias("alert_type"),
                     F.col("ts").alias("decision_time_utc"),
                     F.col("event_id").alias("decision_id")))
 
 
 def alert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sent-alert log keyed like the hourly fixture's locations."""
+    """Sent-alert log, a row for every event, keyed like the hourly fixture."""
     ev = events(spark, sf_dir)
     a_type = F.when(F.col("user_id") % 2 == 0, F.lit(config.RAIN_ALERT_TYPE)).otherwise(
         F.lit(config.WIND_ALERT_TYPE))
-    return (ev.where(F.col("value") >= ALERT_LOG_MIN_VALUE)
-            .select(F.col("ts").alias("sent_time_utc"), a_type.alias("alert_type"),
+    return (ev.select(F.col("ts").alias("sent_time_utc"), a_type.alias("alert_type"),
                     day_floor("ts").alias("snapshot_time_utc"), F.lit("").alias("message"),
-                    F.col("event_type").alias("location_name")))
+                    _location().alias("location_name")))
 
 
 def brief_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir)
-    return (ev.where(F.col("value") >= BRIEF_LOG_MIN_VALUE)
+    return (ev.where(F.col("event_type") == "purchase")  # else every run's day would be taken
             .select(F.to_date("ts").alias("sent_date_local"), F.col("ts").alias("sent_time_utc"),
-                    F.col("event_type").alias("location_name"), F.lit("").alias("message")))
+                    _location().alias("location_name"), F.lit("").alias("message")))
 
 
 # ------------------------------------------------------------------ F4 raw
