@@ -96,3 +96,30 @@ def test_append_hourly_keeps_same_day_snapshots(spark):
     tables.append_hourly(first, p)
     tables.append_hourly(rest, p)          # same dates, other snapshots: nothing lost
     assert tables.read_hourly(spark, p).count() == h.count()
+
+
+def test_alert_log_of_batch_and_stream_is_one(spark, tmp_path):
+    from vintagecast.schemas import ALERT_LOG
+    path = str(tmp_path / "log")
+    row = lambda t: spark.createDataFrame([(t, "rain_next6h", t, "m", "L")], "sent_time_utc string, alert_type string, snapshot_time_utc string, message string, location_name string").selectExpr(
+        "cast(sent_time_utc as timestamp_ntz) AS sent_time_utc", "alert_type", "cast(snapshot_time_utc as timestamp_ntz) AS snapshot_time_utc", "message", "location_name")
+    for t in ("2024-01-01 09:00:00", "2024-01-02 09:00:00"):
+        tables.append_alert_log(row(t), path)
+    assert tables.read_table(spark, path, ALERT_LOG).count() == 2
+
+
+def test_outbox_never_sends_twice_within_the_cooldown(spark):
+    import datetime as dt
+    from tests.conftest import hourly_rows, runs_df
+    from vintagecast.operators import alerts, gating
+    from vintagecast.schemas import ALERT_LOG
+    rows = []
+    for hour, wind in ((8, 0.0), (9, 40.0), (10, 80.0), (11, 120.0), (12, 160.0)):
+        for ahead in range(1, 7):
+            rows.append(("L", f"2024-01-01T{hour:02d}:00:00", f"2024-01-01T{hour + ahead:02d}:00:00", 1.0, 0.0, wind, 0.0))
+    dec = alerts.decisions(hourly_rows(spark, rows), runs_df(spark, [("L", f"2024-01-01T{h:02d}:00:00") for h in (9, 10, 11, 12)]))
+    empty = spark.createDataFrame([], ALERT_LOG)
+    assert [r.sent_time_utc.hour for r in gating.outbox(dec, empty).orderBy("sent_time_utc").collect()] == [9, 11]
+    sent = spark.createDataFrame([(dt.datetime(2024, 1, 1, 8, 30), "wind_next6h", dt.datetime(2024, 1, 1, 8), "", "L")],
+                                 "sent_time_utc timestamp_ntz, alert_type string, snapshot_time_utc timestamp_ntz, message string, location_name string")
+    assert [r.sent_time_utc.hour for r in gating.outbox(dec, sent.select(*ALERT_LOG.fieldNames())).orderBy("sent_time_utc").collect()] == [11]

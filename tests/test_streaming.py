@@ -74,7 +74,7 @@ def test_stream_dedup_keeps_one_per_file(spark):
     schema, _ = _land_by_day(reg, "snapshot_time_utc", src_dir)
     src = streams.table_stream(spark, src_dir, schema, max_files=2)
     out = os.path.join(base, "out")
-    streams.run_to_parquet(streams.stream_dedup(src), out, os.path.join(base, "ckpt"))
+    streams.stream_dedup(src, out, os.path.join(base, "ckpt"))
     got = spark.read.parquet(out)
     assert got.count() == got.select("raw_file").distinct().count() == fx.registry(spark, SF_SMALL).count()
 
@@ -127,3 +127,38 @@ def test_stream_brief_once_per_day(spark):
     exp = brief.brief_outbox(brief.brief_final(h, runs), runs, spark.createDataFrame([], BRIEF_LOG))
     assert got.count() == exp.count()
     assert got.groupBy("location_name", "sent_date_local").count().where(F.col("count") > 1).count() == 0
+
+
+def test_stream_dedup_takes_late_files(spark):
+    src_dir, base = _tmp("late-in"), _tmp("late")
+    rows = [("a", f"2024-01-{d:02d} 00:00:00", f"f{d}") for d in (5, 6, 2)]
+    frame = spark.createDataFrame(rows, "location_name string, t string, raw_file string").selectExpr(
+        "location_name", "cast(t as timestamp_ntz) AS snapshot_time_utc", "raw_file")
+    schema = frame.schema
+    for i, f in enumerate(("f5", "f6", "f2")):
+        pdf = frame.where(F.col("raw_file") == f).toPandas()
+        path = os.path.join(src_dir, f"{i}.parquet")
+        pq.write_table(pa.Table.from_pandas(pdf, preserve_index=False), path, coerce_timestamps="us")
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    out = os.path.join(base, "out")
+    streams.stream_dedup(streams.table_stream(spark, src_dir, schema, max_files=1), out, os.path.join(base, "ckpt"))
+    assert sorted(r.raw_file for r in spark.read.parquet(out).collect()) == ["f2", "f5", "f6"]
+
+
+def test_stream_cooldown_survives_late_decisions(spark):
+    src_dir, base = _tmp("coollate-in"), _tmp("coollate")
+    batches = [[("A", "2024-01-01 10:00:00", 1), ("B", "2024-01-01 20:00:00", 2)],
+               [("A", "2024-01-01 19:00:00", 3), ("A", "2024-01-01 15:00:00", 4)],
+               [("A", "2024-01-01 20:30:00", 5), ("A", "2024-01-01 21:00:00", 6)]]
+    for i, rows in enumerate(batches):
+        frame = spark.createDataFrame([(k, "rain", t, n) for k, t, n in rows], "location_name string, alert_type string, t string, decision_id long")
+        frame = frame.selectExpr("location_name", "alert_type", "cast(t as timestamp_ntz) AS decision_time_utc", "decision_id")
+        path = os.path.join(src_dir, f"{i}.parquet")
+        pq.write_table(pa.Table.from_pandas(frame.toPandas(), preserve_index=False), path, coerce_timestamps="us")
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    src = streams.table_stream(spark, src_dir, frame.schema, max_files=1)
+    out = os.path.join(base, "out")
+    streams.run_to_parquet(streams.stream_cooldown(src), out, os.path.join(base, "ckpt"))
+    got = {r.decision_id: r.should_send_after_gating for r in spark.read.parquet(out).collect()}
+    assert {k: got[k] for k in (1, 2, 3, 5, 6)} == {1: True, 2: True, 3: True, 5: False, 6: True}
+    assert got.get(4, False) in (False, True)

@@ -69,7 +69,10 @@ def content_changed(registry: DataFrame) -> DataFrame:
                     F.coalesce(F.col("_p.content_hash") != F.col("content_hash"), F.lit(True)).alias("content_changed"))
 
 
-def canonical_hash(json_text: F.Column, schema: str) -> F.Column:
-    """sha256 of the payload re-serialised through a typed schema: key order
-    in the text does not matter; fields outside the schema are not covered."""
-    return F.sha2(F.to_json(F.from_json(json_text, schema)), 256)
+def canonical_hash(json_text: F.Column, path: str = "$") -> F.Column:
+    """sha256 of a JSON text, or of the part of it at ``path``, with every
+    object's keys in order and no white space.  All fields count, whatever
+    they are called; a text that isn't JSON has the hash of the text itself."""
+    value = F.try_parse_json(json_text)
+    part = value if path == "$" else F.try_variant_get(value, path, "variant")
+    return F.when(value.isNull(), F.sha2(json_text, 256)).otherwise(F.sha2(F.to_json(part), 256))

@@ -113,7 +113,7 @@ def q_registry_append(spark, sf):
 def q_content_hash(spark, sf):
     configure(spark)
     ev = fx.events(spark, sf)
-    return ev.select("event_id", normalize.canonical_hash(F.col("props"), "k int").alias("content_hash"))
+    return ev.select("event_id", normalize.canonical_hash(F.col("props")).alias("content_hash"))
 
 
 @query("content_changed")
@@ -349,7 +349,7 @@ def q_wind_gated(spark, sf):
 @query("alert_outbox")
 def q_alert_outbox(spark, sf):
     h, r = _runs(spark, sf)
-    return gating.outbox_from_long(gating.gated_long(alerts.decisions(h, r), _log(spark, sf)))
+    return gating.outbox(alerts.decisions(h, r), _log(spark, sf))
 
 
 @query("cooldown_replay")
@@ -633,8 +633,8 @@ def q_stream_dedup(spark, sf):
     reg = fx.registry_with_copies(spark, sf)
     src = streams.table_stream(spark, _landed(reg, base), reg.schema)
     out = os.path.join(base, "out")
-    streams.run_to_parquet(streams.stream_dedup(src), out, os.path.join(base, "ckpt"))
-    return spark.read.parquet(out).select("location_name", "raw_file")
+    streams.stream_dedup(src, out, os.path.join(base, "ckpt"))
+    return spark.read.parquet(out).select("location_name", "raw_file", "snapshot_time_utc")
 
 
 @query("stream_hour_counts")

@@ -784,7 +784,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY location_name ORDER BY forecast_
 WHERE k <= 5"""
     # ---------------------------------------------------------- streaming (one trigger = batch rule)
     q["stream_ingest"] = q["read_envelopes"]
-    q["stream_dedup"] = w(REGISTRY) + "\nSELECT location_name, raw_file FROM registry"
+    q["stream_dedup"] = w(REGISTRY) + "\nSELECT location_name, raw_file, snapshot_time_utc FROM registry"
     q["stream_hour_counts"] = w(REGISTRY_COPIES) + """
 SELECT location_name, date_trunc('hour', snapshot_time_utc) AS hour_start_utc, COUNT(*) AS n_snapshots,
        min(content_hash) AS content_hash

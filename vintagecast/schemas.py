@@ -64,10 +64,3 @@ SNAPSHOT_HEALTH = T.StructType([
     T.StructField("change_rate_pct_today", T.DoubleType()),
     T.StructField("missing_hour_count_06_19", T.LongType()), T.StructField("missing_hours_list", T.StringType()),
 ])
-
-# Hash scope: the payload fields the canonical hash covers (see normalize.canonical_hash)
-PAYLOAD_HASH_SCHEMA = (
-    "latitude double, longitude double, timezone string, hourly struct<time: array<string>, "
-    "temperature_2m: array<double>, apparent_temperature: array<double>, precipitation: array<double>, "
-    "windspeed_10m: array<double>, cloudcover: array<double>, weathercode: array<int>>"
-)

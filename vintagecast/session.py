@@ -52,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the cluster.
 
     The cluster's ``spark.checkpoint.dir`` is used when set; only when it is
-    unset (local tests) a folder of our own is created.
+    unset a folder of our own is created, and only on a local master.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="vintagecast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

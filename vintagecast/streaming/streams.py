@@ -11,7 +11,6 @@ default).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,7 +21,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from vintagecast.config import RULES, Rules
 from vintagecast.operators import alerts, brief, gating
 from vintagecast.schemas import ALERT_LOG, BRIEF_LOG, RAW_SNAPSHOTS, SNAPSHOT_REGISTRY
-from vintagecast.session import ensure_checkpoint_dir
 from vintagecast.sources import envelopes, tables
 
 KEY = "location_name"
@@ -36,10 +34,6 @@ def event_time(c: str) -> F.Column:
     return F.col(c).cast("timestamp")
 
 
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-
-
 # ------------------------------------------------------------------ sources
 def envelope_stream(spark: SparkSession, folder: str, glob: str = "*.json",
                     max_files: int | None = None) -> DataFrame:
@@ -90,10 +84,8 @@ def stream_ingest(spark: SparkSession, folder: str, raw_path: str, registry_path
         df = df.persist()
         raw_now = tables.read_table(spark, raw_path, RAW_SNAPSHOTS)
         reg_now = tables.read_table(spark, registry_path, SNAPSHOT_REGISTRY)
-        new_raw = envelopes.load_once(df, raw_now, raw_now.limit(0))
-        tables.append(new_raw.select(*RAW_SNAPSHOTS.fieldNames()), raw_path)
-        new_reg = envelopes.load_once(df, reg_now.limit(0).select("raw_file"), reg_now)
-        tables.append(envelopes.registry_rows(new_reg), registry_path)
+        tables.append(envelopes.missing_from(df, raw_now).select(*RAW_SNAPSHOTS.fieldNames()), raw_path)
+        tables.append(envelopes.registry_rows(envelopes.missing_from(df, reg_now)), registry_path)
         df.unpersist()
 
     w = envelope_stream(spark, folder, glob=glob, max_files=max_files).writeStream.foreachBatch(batch)
@@ -101,11 +93,17 @@ def stream_ingest(spark: SparkSession, folder: str, raw_path: str, registry_path
 
 
 # ------------------------------------------------------------------ stream_dedup
-def stream_dedup(rows: DataFrame, delay: str = "1 day") -> DataFrame:
-    """One row per ``raw_file``; state is dropped once the watermark passes.
-    Keeps the first arrival (the batch rule keeps the earliest snapshot time)."""
-    return (rows.withColumn("_event", event_time(SNAP)).withWatermark("_event", delay)
-            .dropDuplicatesWithinWatermark(["raw_file"]).drop("_event"))
+def stream_dedup(rows: DataFrame, out: str, checkpoint: str):
+    """One row per ``raw_file`` in the table at ``out``, however late a file comes.
+
+    Of a micro-batch's copies the earliest snapshot time stays; files that the
+    table has are left out.  A replayed batch adds nothing."""
+    spark = rows.sparkSession
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        tables.append(envelopes.missing_from(df, tables.read_table(spark, out, rows.schema)), out)
+
+    return run_available(rows.writeStream.foreachBatch(batch), checkpoint)
 
 
 # ------------------------------------------------------------------ stream_hour_counts
@@ -156,7 +154,7 @@ def _cooldown(hours: int):
     gap = pd.Timedelta(hours=hours)
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:   # 2h idle: the old send no longer blocks anything
+        if state.hasTimedOut:   # the old send no longer blocks anything
             state.remove()
             return
         pdf = pd.concat(list(batches), ignore_index=True).sort_values(
@@ -168,16 +166,24 @@ def _cooldown(hours: int):
             send.append(ok)
             if ok:
                 last = t
-        state.update((last,))
-        state.setTimeoutTimestamp(int((last + gap).timestamp() * 1000))
+        free = int((last + gap).timestamp() * 1000)
+        if free > state.getCurrentWatermarkMs():
+            state.update((last,))
+            state.setTimeoutTimestamp(free)
+        elif state.exists:  # what it blocks is behind the watermark already
+            state.remove()
         yield pdf.assign(should_send_after_gating=send)[
             [KEY, "alert_type", "decision_time_utc", "decision_id", "should_send_after_gating"]]
     return fn
 
 
-def stream_cooldown(decisions: DataFrame, rules: Rules = RULES, delay: str = "0 seconds") -> DataFrame:
+def stream_cooldown(decisions: DataFrame, rules: Rules = RULES, delay: str = "2 hours") -> DataFrame:
     """Self-fed cooldown with keyed state (last send per location and type).
-    State expires 2h after the last send, so it stays bounded by active keys."""
+    State expires 2h after the last send, so it stays bounded by active keys.
+
+    Late decisions: up to ``delay`` behind the newest, a decision is judged
+    against the last send of its key (none is sent at a time before that send);
+    further behind, Spark may leave it out."""
     d = decisions.select(KEY, "alert_type", "decision_time_utc", "decision_id",
                          event_time("decision_time_utc").alias("_event")).withWatermark("_event", delay)
     return d.groupBy(KEY, "alert_type").applyInPandasWithState(
@@ -198,8 +204,8 @@ def stream_alert(hourly_stream: DataFrame, hourly_path: str, log_path: str, chec
         hourly = spark.read.parquet(hourly_path).join(runs.select(KEY).distinct(), KEY, "left_semi")
         dec = alerts.decisions(hourly, runs, rules)
         log = tables.read_table(spark, log_path, ALERT_LOG)
-        out = gating.outbox_from_long(gating.gated_long(dec, log, rules))
-        tables.append(out.select(*ALERT_LOG.fieldNames()), log_path)
+        out = gating.outbox(dec, log, rules)
+        tables.append_alert_log(out.select(*ALERT_LOG.fieldNames()), log_path)
 
     return run_available(hourly_stream.writeStream.foreachBatch(batch), checkpoint)
 
@@ -216,6 +222,6 @@ def stream_brief_once(hourly_stream: DataFrame, hourly_path: str, log_path: str,
         final = brief.brief_final(hourly, runs, rules)
         log = tables.read_table(spark, log_path, BRIEF_LOG)
         out = brief.brief_outbox(final, runs, log, rules)
-        tables.append(out.where("to_log").select(*BRIEF_LOG.fieldNames()), log_path)
+        tables.append_brief_log(out, log_path)
 
     return run_available(hourly_stream.writeStream.foreachBatch(batch), checkpoint)
