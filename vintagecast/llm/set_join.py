@@ -11,13 +11,14 @@ at least 0.75.  The join is exact; its result is each row's component.
    Every such shingle goes, with its position and set size, to an index list.
    Lists are sorted by size; blocks of a list whose positions and sizes can't
    reach the overlap are skipped whole.
-3. *Answers from similar sets.*  Every set is first compared with the partner
-   that shares most prefix shingles (for a crowd, its hub).  Within a hub's
-   group the answers of a set similar to the hub are derived from the hub's
-   answers and the two small difference sets.  Components of these links come
-   next: pairs inside one need no answer any more, and of the others those are
-   skipped whose distances to a common hub differ by more than a quarter.
-4. What is left is verified, and the components are joined once more.
+3. *Answers from similar sets.*  Sets that meet in long lists form crowds: each
+   list elects the member that is in most lists, each member follows the one
+   that most of its lists elect.  In a crowd, answers are derived from those of
+   a set similar to this one: |x & y| = |h & y| - |(h - x) & y| + |(x - h) & y|,
+   so only the lists of the two small differences are read.  As components are
+   wanted, sets already reached are left out of every further answer.
+4. Pairs of short lists, and pairs of long ones across crowds, whose ends are
+   not yet in one component are verified, and the components joined once more.
 
 Equal sets are one class from the start (a 128-bit fingerprint).  Texts are
 read again where sets are needed, never whole sets shuffled.
@@ -47,13 +48,13 @@ K = 5
 NUM, DEN = 75, 100
 #: Shingles that open at least so many sets go last in the order, the commonest
 #: COMMON_KEPT of them (a bound on memory; the order never changes the result).
-COMMON, COMMON_KEPT = 32, 1 << 16
-#: Index lists up to this length give their pairs at once, longer ones first give stars.
+COMMON, COMMON_KEPT = 8, 1 << 16
+#: Index lists up to this length give their pairs at once; longer ones make crowds.
 SHORT = 16
-#: Sets compared with one hub in one place.
-SPOKES = 256
+#: Sets compared with one hub in one place; members of a crowd in one block.
+SPOKES, CROWD_BLOCK = 256, 1024
 _LOW = np.uint64(0xFFFFFFFF)
-_U32, _U33 = np.uint64(32), np.uint64(0xFFFF)
+_U32, _U16 = np.uint64(32), np.uint64(0xFFFF)
 
 
 def probe_length(n):
@@ -79,7 +80,7 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 def token_keys(s: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and 32-bit key of shingles, from bits that don't decide the hash order."""
-    return ((s >> _U32) & _U33) % np.uint64(buckets), (s & _LOW).astype(np.uint32)
+    return ((s >> _U32) & _U16) % np.uint64(buckets), (s & _LOW).astype(np.uint32)
 
 
 def _sliced(bucket: np.ndarray, buckets: int, *arrays: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -214,28 +215,12 @@ def block_pairs(n: np.ndarray, place: np.ndarray, block: int = 64) -> Iterator[t
                 yield i + t, j + s
 
 
-def star_pairs(n: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A few pairs of a long list: every member with the first of near size (its
-    hub) and with its neighbour in size."""
-    hub = np.zeros(len(n), np.int64)
-    at = 0
-    while at < len(n):
-        end = int(np.searchsorted(n, n[at] * DEN // NUM, "right"))
-        hub[at:end] = at
-        at = end
-    me = np.arange(len(n))
-    i, j = np.concatenate((hub, me[:-1])), np.concatenate((me, me[1:]))
-    ok = (i < j) & (DEN * n[i] >= NUM * n[j])
-    ok &= np.minimum(n[i] - place[i], n[j] - place[j]) >= overlap_needed(n[i], n[j])
-    return i[ok], j[ok]
-
-
 FOUND = "a long, b long, shared long, members binary, places binary, sizes binary"
 
 
 def _lists(t: pa.Table) -> pa.Table:
-    """The index lists of one bucket: pairs of short lists and stars of long
-    ones (a, b, shared), and long lists themselves."""
+    """The index lists of one bucket: pairs of short lists (a, b, shared), and long
+    lists themselves."""
     part = lambda name, kind: [np.frombuffer(x, kind) for x in t.column(name).to_pylist()]
     keys, owners, cls, sizes = part("keys", np.uint32), part("owners", np.uint32), part("cls", np.int64), part("sizes", np.uint32)
     key_ = np.concatenate(keys)
@@ -267,9 +252,6 @@ def _lists(t: pa.Table) -> pa.Table:
         left.append(own[i[ok]])
         right.append(own[j[ok]])
     for s, f in zip(starts[lengths > SHORT].tolist(), lengths[lengths > SHORT].tolist()):
-        i, j = star_pairs(n[s : s + f], place[s : s + f])
-        left.append(own[s + i])
-        right.append(own[s + j])
         long_lists.append((own[s : s + f].tobytes(), place[s : s + f].astype(np.uint32).tobytes(), n[s : s + f].astype(np.uint32).tobytes()))
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
     a, b = np.minimum(a, b), np.maximum(a, b)
@@ -290,96 +272,141 @@ def similar(inter, m, n):
     return DEN * inter >= NUM * (m + n - inter)
 
 
-def derived_answers(hub: np.ndarray, sets: dict[int, np.ndarray], inter: dict[int, int]) -> Iterator[tuple[int, int, int]]:
-    """Answers among the sets compared with one hub, from the hub's own answers.
-
-    For x similar to the hub and y not: |x & y| = |hub & y| - |(hub - x) & y| +
-    |(x - hub) & y|.  A y is passed over for x when even all of x - hub could
-    not lift its answer; one answer is enough for a y."""
-    h = len(hub)
-    near = [x for x in sets if similar(inter[x], len(sets[x]), h)]
-    far = [y for y in sets if not similar(inter[y], len(sets[y]), h)]
-    if not near or not far:
-        return
-    gain = {x: len(sets[x]) - inter[x] for x in near}
-    diffs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for y in far:
-        for x in near:
-            need = overlap_needed(len(sets[x]), len(sets[y]))
-            if inter[y] + gain[x] < need:
-                continue
-            if x not in diffs:
-                diffs[x] = np.setdiff1d(hub, sets[x], True), np.setdiff1d(sets[x], hub, True)
-            lost, won = diffs[x]
-            both = inter[y] - len(np.intersect1d(lost, sets[y], True)) + len(np.intersect1d(won, sets[y], True))
-            if similar(both, len(sets[x]), len(sets[y])):
-                yield x, y, both
-                break
-
-
 def _compare(t: pa.Table) -> pa.Table:
     """Spokes against their hubs; several hubs share a group."""
-    sets: dict[int, np.ndarray] = {}
-    hubs, spokes = {}, {}
-    of_hub, role, cls = (t.column(c).to_pylist() for c in ("hub", "is_hub", "cls"))
-    for h, is_hub, c, s in zip(of_hub, role, cls, shingle_sets(t.column("text"), K)):
-        if c not in sets:
-            if not len(s) or fingerprint(s)[0] != c:
-                continue  # another row of the same doc_id
-            sets[c] = s
-        if is_hub:
-            hubs[h] = sets[c]
-        else:
-            spokes.setdefault(h, {})[c] = sets[c]
+    sets = _sets(t)
     out = []
-    for h, own in spokes.items():
-        if h not in hubs:
-            continue
-        hub = hubs[h]
-        inter = {c: len(np.intersect1d(hub, s, True)) for c, s in own.items()}
-        out += [(c, h, len(own[c]), len(hub), inter[c]) for c in own]
-        out += [(x, y, len(own[x]), len(own[y]), both) for x, y, both in derived_answers(hub, own, inter)]
+    for h, c in zip(t.column("hub").to_pylist(), t.column("cls").to_pylist()):
+        if h != c and h in sets and c in sets:
+            out.append((c, h, len(sets[c]), len(sets[h]), len(np.intersect1d(sets[h], sets[c], True))))
     cols = list(zip(*out)) or [[]] * 5
     return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(["a", "b", "na", "nb", "inter"], cols)})
 
 
+def _sets(t: pa.Table) -> dict[int, np.ndarray]:
+    """Sets by class; rows whose text is another's (of the same doc_id) are passed over."""
+    out: dict[int, np.ndarray] = {}
+    for c, s in zip(t.column("cls").to_pylist(), shingle_sets(t.column("text"), K)):
+        if c not in out and len(s) and fingerprint(s)[0] == c:
+            out[c] = s
+    return out
+
+
+def reach(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join the sets' components (a spanning forest), by search from
+    the set with most company.  Intersections with all others come from the
+    lists of a set's shingles; those of a set near the start from the start's
+    and the lists of the differences alone."""
+    n = np.array([len(s) for s in sets])
+    shingles, where = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(n)
+    own = [where[e - k : e] for e, k in zip(ends.tolist(), n.tolist())]  # ascending numbers
+    members = np.repeat(np.arange(len(sets)), n)[np.argsort(where, kind="stable")]
+    count = np.bincount(where, minlength=len(shingles))
+    first = np.concatenate(([0], np.cumsum(count)))
+
+    def met(tokens: np.ndarray) -> np.ndarray:
+        """How many of the tokens each set has."""
+        k = count[tokens]
+        inside = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+        return np.bincount(members[np.repeat(first[tokens], k) + inside], minlength=len(sets))
+
+    company = np.array([int(count[o].sum()) for o in own])
+    left, links = np.ones(len(sets), bool), []
+    for start in np.argsort(-company, kind="stable").tolist():
+        if not left[start]:
+            continue
+        left[start] = False
+        base, todo = met(own[start]), [start]
+        while todo and left.any():
+            x = todo.pop()
+            if x == start:
+                inter = base
+            else:
+                lost, won = np.setdiff1d(own[start], own[x], True), np.setdiff1d(own[x], own[start], True)
+                near = count[lost].sum() + count[won].sum() < count[own[x]].sum()
+                inter = base - met(lost) + met(won) if near else met(own[x])
+            hits = np.flatnonzero(left & similar(inter, n[x], n))
+            left[hits] = False
+            links += [(x, y) for y in hits.tolist()]
+            todo += hits.tolist()
+    return links
+
+
+def _crowds(t: pa.Table) -> pa.Table:
+    """Links of the crowds (or pairs of their blocks) dealt here."""
+    keys = list(zip(*(t.column(c).to_pylist() for c in ("hub", "i", "j"))))
+    found = []
+    by: dict[tuple, list[int]] = {}
+    for row, key in enumerate(keys):
+        by.setdefault(key, []).append(row)
+    for rows in by.values():
+        sets = _sets(t.take(rows))
+        cls = sorted(sets)
+        if len(cls) > 1:
+            found += [(cls[x], cls[y]) for x, y in reach([sets[c] for c in cls])]
+    cols = list(zip(*found)) or [[], []]
+    return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64())})
+
+
+def with_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Rows (cls, ...) with the text of each class, and how many.  Texts are picked where they
+    are read; only picked ones are shuffled."""
+    wanted = staged(wanted.join(classes.select("cls", F.col("rep").alias("_rep")), "cls"), name)
+    return docs.join(small(wanted), docs["doc_id"] == F.col("_rep")).drop("_rep", "doc_id"), wanted.count()
+
+
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """Exact answers for staged ``pairs`` (spoke, hub), and answers derived from
-    them.  A hub with many spokes is dealt to several places."""
+    """Exact answers for staged ``pairs`` (spoke, hub).  A hub with many spokes is
+    dealt to several places."""
     fans = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / SPOKES).alias("fans"))
     rows = pairs.join(fans, "hub").withColumn("fan", F.pmod(F.xxhash64("spoke"), F.col("fans")))
-    hubs = fans.select("hub", F.explode(F.sequence(F.lit(0), F.col("fans") - 1)).alias("fan"))
-    wanted = rows.select("hub", "fan", F.lit(False).alias("is_hub"), F.col("spoke").alias("cls")).unionByName(
-        hubs.select("hub", F.col("fan").cast("long").alias("fan"), F.lit(True).alias("is_hub"), F.col("hub").alias("cls"))
-    )
-    wanted = staged(wanted.join(classes.select("cls", F.col("rep").alias("_rep")), "cls"), name)
-    groups = max(1, wanted.count() // (2 * SPOKES))
-    ids = small(staged(wanted.select(F.col("_rep").alias("_id")).distinct(), name))
-    texts = docs.join(ids, docs["doc_id"] == F.col("_id"), "left_semi")
-    rows = texts.join(small(wanted), texts["doc_id"] == F.col("_rep")).select("hub", "fan", "is_hub", "cls", "text")
-    place = F.pmod(F.xxhash64("hub", "fan"), F.lit(groups))
+    hubs = fans.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1)).alias("fan"))
+    wanted = rows.select("hub", "fan", F.col("spoke").alias("cls")).unionByName(hubs.select("hub", "fan", F.col("hub").alias("cls")))
+    rows, n = with_texts(wanted, classes, docs, name)
+    place = F.pmod(F.xxhash64("hub", "fan"), F.lit(max(1, n // (2 * SPOKES))))
     return staged(rows.groupBy(place.alias("place")).applyInArrow(_compare, VERIFIED), name)
 
 
+def crowds(members: DataFrame) -> DataFrame:
+    """(cls, hub) of the classes in staged long lists (list, cls, ...)."""
+    often = members.groupBy("cls").agg(F.count(F.lit(1)).alias("k"))
+    elected = members.join(often, "cls").groupBy("list").agg(F.max(F.struct("k", "cls")).alias("e")).select("list", F.col("e.cls").alias("hub"))
+    votes = members.join(elected, "list").groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("k"))
+    return votes.groupBy("cls").agg(F.max(F.struct("k", "hub")).alias("v")).select("cls", F.col("v.hub").alias("hub"))
+
+
+def crowd_links(crowd: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links within crowds.  A large crowd is cut into blocks, and every pair of
+    blocks is searched in a place of its own."""
+    sizes = crowd.groupBy("hub").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("m", F.ceil(F.col("size") / CROWD_BLOCK).cast("int"))
+    rows = crowd.join(sizes, "hub").withColumn("x", F.pmod(F.xxhash64("cls"), F.col("m")).cast("int"))
+    rows = rows.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).select("cls", "hub", "m", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"))
+    rows = rows.where("i <> j OR m = 1").drop("m")  # with several blocks, a block alone is part of its pairs
+    rows, n = with_texts(rows, classes, docs, "crowds")
+    place = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(max(1, n // (2 * SPOKES))))
+    return staged(rows.groupBy(place.alias("place")).applyInArrow(_crowds, "a long, b long"), "crowd-links")
+
+
 def _within(t: pa.Table) -> pa.Table:
-    """Pairs of long lists whose ends are in different components."""
-    pairs = set()
+    """Pairs of long lists whose ends are in different crowds and components."""
+    left, right = [], []
     lists = t.column("list").to_numpy()
     order = np.argsort(lists, kind="stable")
     lists = lists[order]
-    cls, n, place, label = (t.column(c).to_numpy()[order] for c in ("cls", "n", "place", "label"))
+    cls, n, place, label, hub = (t.column(c).to_numpy()[order] for c in ("cls", "n", "place", "label", "hub"))
     ends = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1], [True])))
     for s, e in zip(ends[:-1].tolist(), ends[1:].tolist()):
-        if len(np.unique(label[s:e])) < 2:
+        if (hub[s:e] == hub[s]).all() or (label[s:e] == label[s]).all():
             continue
         by = s + np.lexsort((cls[s:e], n[s:e]))
         for i, j in block_pairs(n[by], place[by]):
             i, j = by[i], by[j]
-            apart = label[i] != label[j]
-            a, b = np.minimum(cls[i[apart]], cls[j[apart]]), np.maximum(cls[i[apart]], cls[j[apart]])
-            pairs.update(zip(a.tolist(), b.tolist()))
-    cols = list(zip(*pairs)) or [[], []]
-    return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64())})
+            apart = (label[i] != label[j]) & (hub[i] != hub[j])
+            left.append(np.minimum(cls[i[apart]], cls[j[apart]]))
+            right.append(np.maximum(cls[i[apart]], cls[j[apart]]))
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
 
 def sets_and_classes(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -405,34 +432,34 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     found = staged(lists.groupBy("bucket").applyInArrow(_lists, FOUND), "found")
     pairs = staged(found.where("a IS NOT NULL").groupBy("a", "b").agg(F.sum("shared").alias("shared")), "pairs")
 
+    members = found.where("members IS NOT NULL").select(F.monotonically_increasing_id().alias("list"), "members", "places", "sizes")
+    members = staged(members.mapInArrow(_explode, "list long, cls long, place long, n long"), "members")
+    crowd = staged(crowds(members), "crowd")
+    in_crowds = crowd_links(crowd, classes, docs)
+
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
     best = both.groupBy("a").agg(F.max(F.struct("shared", F.col("b").alias("hub"))).alias("m")).select(F.col("a").alias("spoke"), F.col("m.hub").alias("hub"))
-    best = staged(best, "best")
-    first = verify(best, classes, docs, "first")
+    best = best.join(crowd.select(F.col("cls").alias("spoke")), "spoke", "left_anti")
+    once = ~((F.col("spoke") > F.col("hub")) & F.col("mutual").isNotNull())  # of two that chose each other, one
+    best = best.join(best.select(F.col("hub").alias("spoke"), F.col("spoke").alias("hub"), F.lit(1).alias("mutual")), ["spoke", "hub"], "left").where(once).drop("mutual")
+    first = verify(staged(best, "best"), classes, docs, "first")
     ok = similar(F.col("inter"), F.col("na"), F.col("nb"))
-    links = first.where(ok).select("a", "b")
+    links = first.where(ok).select("a", "b").unionByName(in_crowds)
     label = staged(components(links).select(F.col("node").alias("cls"), F.col("component").alias("label")), "label")
 
-    near = first.withColumn("d", 1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).select(F.col("a").alias("spoke"), F.col("b").alias("hub"), "d")
-    near = staged(best.join(near, ["spoke", "hub"]).groupBy("spoke", "hub").agg(F.first("d").alias("d")), "near")
-    members = found.where("members IS NOT NULL").select(F.monotonically_increasing_id().alias("list"), "members", "places", "sizes")
-    members = members.mapInArrow(_explode, "list long, cls long, place long, n long").join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     n_lists = max(1, found.where("members IS NOT NULL").count() // 16)
-    crossing = members.groupBy(F.pmod("list", F.lit(n_lists)).alias("place_")).applyInArrow(_within, "a long, b long")
-    rest = pairs.select("a", "b").unionByName(crossing).distinct()
+    lists = members.join(crowd, "cls").join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    crossing = lists.groupBy(F.pmod("list", F.lit(n_lists)).alias("place_")).applyInArrow(_within, "a long, b long")
     side = lambda c: label.select(F.col("cls").alias(c), F.col("label").alias(f"label_{c}"))
-    hub = lambda c: near.select(F.col("spoke").alias(c), F.col("hub").alias(f"hub_{c}"), F.col("d").alias(f"d_{c}"))
-    rest = rest.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
-    rest = rest.join(hub("a"), "a", "left").join(hub("b"), "b", "left")
-    known = F.coalesce((F.col("hub_a") == F.col("b")) | (F.col("hub_b") == F.col("a")), F.lit(False))
-    apart = F.coalesce((F.col("hub_a") == F.col("hub_b")) & (F.abs(F.col("d_a") - F.col("d_b")) > 1 - NUM / DEN + 1e-9), F.lit(False))
-    rest = staged(rest.where(~known & ~apart).select("a", "b"), "rest")
+    rest = pairs.select("a", "b").unionByName(crossing).distinct().join(side("a"), "a", "left").join(side("b"), "b", "left")
+    rest = rest.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+    known = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = staged(rest.join(known, ["a", "b"], "left_anti"), "rest")
     degree = rest.select(F.explode(F.array("a", "b")).alias("x")).groupBy("x").count()
     deg = lambda c: degree.select(F.col("x").alias(c), F.col("count").alias(f"n_{c}"))
-    turned = rest.join(deg("a"), "a").join(deg("b"), "b")
     a_hub = F.col("n_a") > F.col("n_b")
-    turned = staged(turned.select(F.when(a_hub, F.col("b")).otherwise(F.col("a")).alias("spoke"), F.when(a_hub, F.col("a")).otherwise(F.col("b")).alias("hub")), "turned")
-    second = verify(turned, classes, docs, "second")
+    turned = rest.join(deg("a"), "a").join(deg("b"), "b").select(F.when(a_hub, F.col("b")).otherwise(F.col("a")).alias("spoke"), F.when(a_hub, F.col("a")).otherwise(F.col("b")).alias("hub"))
+    second = verify(staged(turned, "turned"), classes, docs, "second")
 
     links = links.unionByName(second.where(ok).select("a", "b"))
     rep = lambda c: classes.select(F.col("cls").alias(c), F.col("rep").alias(f"rep_{c}"))
