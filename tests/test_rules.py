@@ -173,6 +173,19 @@ def test_health_silent_day_and_nothing_missing(spark):
     assert out[3].missing_hours_list.startswith("08:00, 09:00")
 
 
+def test_health_of_feeds_that_stopped(spark):
+    reg = [("L", ts("2024-03-01 05:10:00"), "a", "x"), ("M", ts("2024-03-03 05:10:00"), "b", "x")]
+    df = spark.createDataFrame(reg, "location_name string, snapshot_time_utc timestamp_ntz, raw_file string, "
+                                    "content_hash string")
+    out = {(r.location_name, r.today_local_date.day): r for r in health.snapshot_health(df, F.lit("Europe/Prague")).collect()}
+    assert set(out) == {("L", 1), ("L", 2), ("L", 3), ("M", 3)}
+    assert out["L", 3].missing_hour_count_06_19 == 14 and out["L", 3].snapshots_today == 0
+    dates = spark.createDataFrame([("L", "2024-03-03"), ("M", "2024-03-03"), ("N", "2024-03-03")],
+                                  "location_name string, d string").selectExpr("location_name", "date(d) AS today_local_date")
+    out = {r.location_name: r for r in health.snapshot_health(df, F.lit("Europe/Prague"), dates=dates).collect()}
+    assert [out[k].missing_hour_count_06_19 for k in "LMN"] == [14, 13, 14] and out["N"].snapshots_today == 0
+
+
 def test_most_changed_daypart_keeps_ties(spark):
     rows = []
     for h, (t_today, t_yday) in {8: (10.0, 8.0), 12: (10.0, 12.0), 15: (10.0, 10.0), 20: (10.0, 9.0)}.items():

@@ -1,8 +1,9 @@
 """Feed health: completeness and volatility per (location, local date).
 
-Computed for the whole history at once.  The spine (every local date from a
-location's first to last snapshot) keeps a row for a silent day, as the
-source does for a dead feed.  Every grouping is keyed by (location, date) or
+Computed for the whole history at once, or for given dates.  The spine (every
+local date from a location's first snapshot to the newest date of the table,
+or known locations x dates asked for) keeps a row for a silent day, also of a
+feed that has stopped.  Every grouping is keyed by (location, date) or
 finer, so a hot location spreads over its days.
 """
 
@@ -31,10 +32,15 @@ def dedup_hours(snaps: DataFrame) -> DataFrame:
     return snaps.groupBy(KEY, DAY, "snapshot_hour_local").agg(F.min("content_hash").alias("content_hash"))
 
 
-def day_spine(snaps: DataFrame) -> DataFrame:
-    """Every local date between a location's first and last snapshot."""
-    span = snaps.groupBy(KEY).agg(F.min(DAY).alias("d0"), F.max(DAY).alias("d1"))
-    return span.select(KEY, F.explode(F.sequence("d0", "d1")).alias(DAY))
+def day_spine(snaps: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Every local date from a location's first snapshot to the newest date of
+    any location; with ``dates`` (location_name, today_local_date: the runs'
+    dates of the known locations, also of those never seen) just these."""
+    if dates is not None:
+        return dates.select(KEY, DAY).distinct()
+    newest = snaps.agg(F.max(DAY)).first()[0]  # one date
+    first = snaps.groupBy(KEY).agg(F.min(DAY).alias("d0"))
+    return first.select(KEY, F.explode(F.sequence("d0", F.lit(newest).cast("date"))).alias(DAY))
 
 
 def expected_hours(spine: DataFrame, rules: Rules = RULES) -> DataFrame:
@@ -72,13 +78,15 @@ def missing_hours_list(missing: DataFrame) -> DataFrame:
 
 
 def snapshot_health(registry: DataFrame, zone: Column, rules: Rules = RULES,
-                    up_to_local: Column | None = None) -> DataFrame:
-    """Per (location, local date).  Hours still in the future count as missing,
+                    up_to_local: Column | None = None, dates: DataFrame | None = None) -> DataFrame:
+    """Per (location, local date); with ``dates`` (see ``day_spine``) for these only.  Hours still in the future count as missing,
     as in the source (Q12); pass ``up_to_local`` (a local wall-clock column
     or literal) to leave out expected hours after it."""
     snaps = snapshots_of_day(registry, zone)
+    spine = day_spine(snaps, dates)
+    if dates is not None:
+        snaps = snaps.join(spine, [KEY, DAY], "left_semi")
     present = dedup_hours(snaps)
-    spine = day_spine(snaps)
     counts = snaps.groupBy(KEY, DAY).agg(F.count(F.lit(1)).alias("snapshots_today"),
                                          F.max("snapshot_time_local").alias("last_snapshot_local"))
     rate = change_rate(hash_changes(present))

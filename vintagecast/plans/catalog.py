@@ -671,6 +671,69 @@ def q_stream_cooldown(spark, sf):
     return spark.read.parquet(out)
 
 
+# ------------------------------------------------------------------ sinks
+# Each writes in two appends to a fresh table in the shared folder and reads it back.
+def _halves(df: DataFrame, key: str) -> list[DataFrame]:
+    half = F.pmod(F.xxhash64(key), F.lit(2))
+    return [df.where(half == i) for i in (0, 1)]
+
+
+@query("append_alert_log")
+def q_append_alert_log(spark, sf):
+    from vintagecast.schemas import ALERT_LOG
+    from vintagecast.sources import tables
+    path = os.path.join(_stream_base(spark, "alert-log"), "t")
+    tables.create_if_missing(spark, path, ALERT_LOG)
+    for part in _halves(q_alert_outbox(spark, sf), "location_name"):
+        tables.append_alert_log(part.select(*ALERT_LOG.fieldNames()), path)
+    return tables.read_table(spark, path, ALERT_LOG).select(*ALERT_LOG.fieldNames())
+
+
+@query("append_brief_log")
+def q_append_brief_log(spark, sf):
+    from vintagecast.schemas import BRIEF_LOG
+    from vintagecast.sources import tables
+    path = os.path.join(_stream_base(spark, "brief-log"), "t")
+    rows = q_brief_outbox(spark, sf).withColumn("to_log", F.lit(True))
+    for part in _halves(rows, "location_name"):
+        tables.append_brief_log(part, path)
+    return tables.read_table(spark, path, BRIEF_LOG).select(*BRIEF_LOG.fieldNames())
+
+
+@query("append_health")
+def q_append_health(spark, sf):
+    from vintagecast.sources import tables
+    path = os.path.join(_stream_base(spark, "health"), "t")
+    reg = _registry(spark, sf)
+    spine = health.day_spine(health.snapshots_of_day(reg, _zone()))
+    for part in _halves(spine, health.DAY):  # a run writes the health of its own dates
+        out = health.snapshot_health(reg, _zone(), dates=part)
+        tables.append_health(out, F.lit(FIXED_INSERT_TIME).cast("timestamp_ntz"), path)
+    return spark.read.parquet(path).drop("run_time_utc")
+
+
+@query("rebuild_table")
+def q_rebuild_table(spark, sf):
+    from vintagecast.sources import tables
+    path = os.path.join(_stream_base(spark, "rebuild"), "t")
+    h = _h(spark, sf).withColumn("snapshot_date", F.to_date("snapshot_time_utc"))
+    tables.rebuild_table(h.withColumn("wind_kmh", F.lit(-1.0)), path, ["snapshot_date"])
+    for part in _halves(h, "snapshot_date"):  # dates present are replaced, others stay
+        tables.rebuild_table(part, path, ["snapshot_date"])
+    return spark.read.parquet(path).drop("snapshot_date")
+
+
+@query("create_if_missing")
+def q_create_if_missing(spark, sf):
+    from vintagecast.schemas import SNAPSHOT_REGISTRY
+    from vintagecast.sources import tables
+    path = os.path.join(_stream_base(spark, "create"), "t")
+    for part in _halves(_registry(spark, sf), "raw_file"):
+        tables.create_if_missing(spark, path, SNAPSHOT_REGISTRY)
+        tables.append(part.select(*SNAPSHOT_REGISTRY.fieldNames()), path)
+    return tables.read_table(spark, path, SNAPSHOT_REGISTRY)
+
+
 # ------------------------------------------------------------------ wide variants
 # Kept from when only these were keyed by user; F1 is now as well.
 def _hw(spark: SparkSession, sf: str) -> DataFrame:

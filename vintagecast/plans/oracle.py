@@ -142,7 +142,8 @@ present AS (
 ),
 spine AS (
   SELECT location_name, CAST(d AS DATE) AS today_local_date
-  FROM (SELECT location_name, min(today_local_date) AS d0, max(today_local_date) AS d1 FROM snaps_of_day GROUP BY 1) s,
+  FROM (SELECT location_name, min(today_local_date) AS d0,
+               (SELECT max(today_local_date) FROM snaps_of_day) AS d1 FROM snaps_of_day GROUP BY 1) s,
        generate_series(CAST(s.d0 AS TIMESTAMP), CAST(s.d1 AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)
 ),
 expected AS (
@@ -791,6 +792,13 @@ SELECT location_name, date_trunc('hour', snapshot_time_utc) AS hour_start_utc, C
 FROM registry_copies GROUP BY 1, 2"""
     q["stream_change"] = q["content_changed"]
     q["stream_cooldown"] = q["cooldown_replay"]
+    # ---------------------------------------------------------- sinks
+    q["append_alert_log"] = q["alert_outbox"]
+    q["append_brief_log"] = (q["brief_outbox"])
+    q["append_health"] = q["snapshot_health"]
+    q["rebuild_table"] = w(H) + "\nSELECT * FROM hourly"
+    q["create_if_missing"] = w(REGISTRY) + (
+        "\nSELECT location_name, snapshot_time_utc, raw_file, content_hash, inserted_at_utc FROM registry")
     # ---------------------------------------------------------- wide variants (F6)
     for k in ("brief_final", "compare_days", "brief_metrics", "snapshot_deltas_all", "forecast_history",
               "normalize_hourly"):

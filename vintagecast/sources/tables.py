@@ -60,6 +60,7 @@ def append_brief_log(outbox: DataFrame, path: str) -> None:
 
 
 def append_health(health: DataFrame, run_time_utc: F.Column, path: str) -> None:
+    """Health rows of one run; pass those of its dates (``snapshot_health(dates=...)``)."""
     append(health.withColumn("run_time_utc", run_time_utc), path, ["today_local_date"])
 
 
