@@ -71,6 +71,10 @@ class WordEncoder:
         runs = {a * n for a in marks for n in (1, 2, 3)} | {a + b * n for a in marks[:4] for b in marks for n in (1, 2, 3)}
         self.tails = {t: self.whole(t) for t in sorted(runs)}
         self.line = self.whole("\n")
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the kept pieces: a worker that lives on needs their memory for other work."""
         self._fresh({}, {})
 
     def _fresh(self, led: dict, bare: dict) -> None:

@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, staged
-from .shingles import text_buffer
+from .shingles import slices, text_buffer
 
 SPACE = b" \t\n\x0b\x0c\r"
 _GEAR = np.random.default_rng(0xC0C).integers(0, 2**32, 256, dtype=np.uint32)
 _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACE)] = True
 LEAST, MASK_BITS, MOST = 512, 11, 16384
-_BLOCK = 1 << 22
+_BLOCK = 1 << 20
 
 
 def cut_points(data: np.ndarray) -> np.ndarray:
@@ -54,7 +54,7 @@ def chunk_ends(cuts: np.ndarray, start: int, end: int) -> list[int]:
 
 
 def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         data, off = text_buffer(b.column("text"))
         keep = ~_SPACE[data]
         i, n = 0, b.num_rows

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, staged
-from .shingles import text_buffer
+from .shingles import slices, text_buffer
 
 UND = "und"
 #: Labelled rows of a language in the training sample (about); a label needs this share of all labelled rows.
@@ -42,7 +42,7 @@ GRAMS = 1 << 15
 EVIDENCE, LEAST_PROBABILITY, UND_PRIOR = 60, 0.5, 1e-3
 #: Strength (in rows) of the smoothing of hosts by suffix, suffixes by the corpus, and of declared values.
 HOST_ROWS, SUFFIX_ROWS, DECLARED_ROWS = 20.0, 50.0, 1.0
-_BLOCK = 1 << 21
+_BLOCK = 1 << 19
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
@@ -92,7 +92,7 @@ def _blocks(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
-    for b in batches:
+    for b in slices(batches):
         labels = np.array(b.column("label").to_pylist(), object)
         at = 0
         for grams, bounds, _ in _blocks(b.column("text")):
@@ -128,7 +128,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str
 def _score(log, prior: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = log.value
-        for b in batches:
+        for b in slices(batches):
             n, letters, sums = [], [], []
             for grams, bounds, own in _blocks(b.column("text")):
                 count = np.diff(bounds)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions, scratch
 from .encode import encoder
+from .shingles import slices
 
 WINDOW, END_ID = 2048, 1
 #: Pieces packed together at most (about), and at least where there are enough.
@@ -85,7 +86,7 @@ def best_fit(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
 def _cut(path: str, window: int, end_id: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
+        for b in slices(batches):
             docs, starts, lengths, crcs, totals, ids_out = [], [], [], [], [], []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
                 ids = np.append(enc.encode(text.as_py()), np.uint32(end_id)).astype("<u4")
@@ -101,6 +102,7 @@ def _cut(path: str, window: int, end_id: int, with_ids: bool):
             cols = [pa.array(x, pa.int64()) for x in (docs, starts, lengths, crcs, totals)]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(ids_out, pa.binary())] * with_ids, names + ["ids"] * with_ids)
+        enc.forget()
 
     return cut
 

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import parts_for, small, staged
 from .components import components
-from .shingles import mix, shingle_sets
+from .shingles import mix, shingle_sets, slices
 
 K = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
@@ -98,7 +98,7 @@ def _scan(buckets: int):
     """Rows of two kinds: 0 = a text's set size and class; 1 = keys of prefix shingles, by bucket."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sizes, cls, check, prefixes = [], [], [], []
             for s in shingle_sets(b.column("text"), K):
                 c, d = fingerprint(s)
@@ -149,7 +149,7 @@ def _index(buckets: int, common: np.ndarray):
     table[(common & ((1 << 22) - 1)).astype(np.int64)] = True
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             seen, cls, sizes, prefixes = set(), [], [], []
             for s in shingle_sets(b.column("text"), K):
                 if not len(s):

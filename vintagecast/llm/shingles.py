@@ -23,7 +23,9 @@ _STEP = _rng.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 _R = 0x9E3779B97F4A7C15 | 1
 _RINV = pow(_R, -1, 2**64)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
-_BLOCK = 1 << 22  # bytes hashed at once; a longer text is taken alone
+_BLOCK = 1 << 20  # bytes hashed at once; a longer text is taken alone
+#: Rows of a batch worked on together: what a task holds doesn't hang on the batch's size.
+ROWS = 2_000
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -50,6 +52,15 @@ def _power(base: int, n: int, key: str) -> np.ndarray:
     return have[:n]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows; at the end Arrow gives back
+    what a worker that lives on would keep."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; null rows have no bytes."""
     if isinstance(col, pa.ChunkedArray):
