@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: A side of at most this many narrow rows (ids and small numbers) may be broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Rows of one batch of whole texts that goes to Python.
+BATCH_ROWS = 1_000
 #: Bytes of text one task should hold.
 TASK_BYTES = 16 << 20
 
@@ -44,6 +46,16 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def small_batches(texts: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """``texts`` as they are; batches of whole texts on their way to Python hold at
+    most ``rows`` rows from now on (a setting of the session)."""
+    key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", texts.sparkSession
+    now = int(spark.conf.get(key, "10000"))
+    if not 0 < now <= rows:
+        spark.conf.set(key, str(rows))
+    return texts
+
+
 def parts_for(df: DataFrame, text: str, task_bytes: int = TASK_BYTES) -> int:
     """Number of tasks for the whole texts of ``df``, by their total bytes."""
     total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0

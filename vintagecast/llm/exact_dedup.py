@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, staged
+from .common import small, small_batches, staged
 from .shingles import slices, text_buffer
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -87,7 +87,7 @@ def recipes(docs: DataFrame) -> DataFrame:
     text_sha256, size, and its chunks' keys and digests in order."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"), "text")
     schema = "doc_id long, chars long, text_sha256 string, size long, keys array<long>, digests array<binary>"
-    return narrow.mapInArrow(_recipes, schema)
+    return small_batches(narrow).mapInArrow(_recipes, schema)
 
 
 def verified(rows: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, staged
+from .common import small, small_batches, staged
 from .shingles import slices, text_buffer
 
 UND = "und"
@@ -196,7 +196,7 @@ def _fuse(languages: list[str], base: np.ndarray, total: np.ndarray, kinds: int)
 
 def identify(docs: DataFrame, declared: Column, suffix: Column, host: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per row: doc_id, hash (of the text), declared, language, probability, kept."""
-    doc = docs.select(
+    doc = small_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.lower(declared).alias("declared"),
         F.lower(suffix).alias("suffix"), F.lower(host).alias("host"), F.col("text").cast("string").alias("text"),
     )

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, scratch
+from .common import partitions, scratch, small_batches
 from .encode import encoder
 from .shingles import slices
 
@@ -110,7 +110,7 @@ def _cut(path: str, window: int, end_id: int, with_ids: bool):
 def cut_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Pieces of every document's ids: full windows, then the rest."""
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(tokenizer, window, end_id, with_ids), schema)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_cut(tokenizer, window, end_id, with_ids), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:

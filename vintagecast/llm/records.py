@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import parts_for, scratch, staged
+from .common import parts_for, scratch, small_batches, staged
 from .encode import encoder
 
 END_ID = 0
@@ -122,7 +122,7 @@ def _write(path: str, folder: str, end_id: int):
 def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Encodes and writes all documents to ``folder`` (a URI that all executors
     reach) and returns the staged manifest with every file's first token."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dealt = docs.repartitionByRange(parts_for(docs, "text"), "doc_id").sortWithinPartitions("doc_id", "text")
     made = staged(dealt.mapInArrow(_write(tokenizer, folder, end_id), MANIFEST), "manifest")
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts_for, small, staged
+from .common import parts_for, small, small_batches, staged
 from .components import components
 from .shingles import mix, shingle_sets, slices
 
@@ -424,7 +424,7 @@ def sets_and_classes(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFram
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = min(1 << 16, parts_for(docs, "text"))
     rows, classes, common = sets_and_classes(docs, buckets)
     late = np.sort(np.array([r[0] for r in common.select("token").collect()], np.int64))  # at most COMMON_KEPT

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, staged
+from .common import small, small_batches, staged
 from .dom import INLINE, Page, blocks, read_page
 
 NOISE, DAMP, HOST_PAGES = 0.3, 0.9, 10
@@ -264,7 +264,7 @@ def host_of(url: Column) -> Column:
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars.  Pages are read twice
     and never shuffled; what is shuffled are counts by (host, node, value)."""
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    pages = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     pages = pages.withColumn("_host", host_of(F.col("url")))
     counts = pages.select("_host", "html").mapInArrow(_count, COUNTS).groupBy("host", "node", "parent", "kind", "value").agg(F.sum("pages").alias("pages"))
     noisy = staged(noisy_nodes(staged(counts, "features")), "noisy")
