@@ -41,6 +41,28 @@ def test_main_text_by_name(source, want):
     assert text_of(source) == want
 
 
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<article><h1 id='share-prices'>T</h1><section id='related-work'><h2 id='social-impact'>S</h2><p>a</p></section><div class='ad-hoc'>b</div></article>", "T\n\nS\n\na\n\nb"),
+        ("<article><p>a <math><mi>x</mi></math></p><p class='notice'>b</p><div id='search'>c</div><object>d</object></article>", "a\n\nx\n\nb\n\nc\n\nd"),
+        ("<h1 class='heading'>T</h1><div class='head'>a</div><h2 class='header'>S</h2><section id='related-work'>b</section><div class='site-header'>no</div><div id='footer-links'>no</div>", "T\n\na\n\nS\n\nb"),
+        ("<article><p>a</p><div role='navigation'>no</div><ul class='commentlist'><li>no</ul><div class='nav' hidden>no</div></article>", "a"),
+    ],
+)
+def test_names_of_real_text(source, want):
+    assert text_of(source) == want
+
+
+def test_names_in_an_article_raise_the_bar():
+    page = read_page("<article><p>a</p><div class='share'>no</div><div class='fact'>b</div></article>")
+    named, other = (style_tree._chain(page)[page.words.index(w)] for w in ("share", "fact"))
+    both = frozenset([named, other])
+    assert style_tree.main_text(page, frozenset(), both) == "a\n\nb"
+    assert style_tree.main_text(page, both) == "a"
+    assert style_tree.main_text(page, frozenset(), frozenset([other])) == "a\n\nno\n\nb"
+
+
 def test_any_bytes_are_read():
     rng = random.Random(0)
     bits = ["<", ">", "</", "p", "div", " ", "=", '"', "'", "<!--", "-->", "&", "&amp;", "<p>", "</p>", "<script>", "x", "<li", "/>", "<!", "article"]

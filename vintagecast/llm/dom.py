@@ -38,35 +38,40 @@ P_BORDERS = frozenset("button td th caption table object template".split())
 
 @dataclass
 class Page:
-    """Per element: parent, tag, words of class, id and role, and whether its
-    attributes hide it; ``text``: (element, decoded text) in page order;
+    """Per element: parent, tag, words of class and role (a role's begin with @),
+    its id, and whether its attributes hide it; ``text``: (element, decoded text) in page order;
     ``breaks``: places in ``text`` at which a block begins or ends."""
 
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: ["#page"])
     words: list[str] = field(default_factory=lambda: [""])
+    ids: list[str] = field(default_factory=lambda: [""])
     hidden: list[bool] = field(default_factory=lambda: [False])
     lang: str = ""
     text: list[tuple[int, str]] = field(default_factory=list)
     breaks: set[int] = field(default_factory=set)
 
 
-def _attributes(raw: str) -> tuple[str, bool, str]:
-    words, hidden, lang = [], False, ""
+def _attributes(raw: str) -> tuple[str, str, bool, str]:
+    words, own_id, hidden, lang = [], "", False, ""
     for m in _ATTR.finditer(raw):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name in ("class", "id", "role"):
+        if name == "class":
             words.append(value)
+        elif name == "role":
+            words += [f"@{w}" for w in value.split()]
+        elif name == "id":
+            own_id = value
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             hidden = True
         elif name == "lang":
             lang = value
-    return " ".join(words), hidden, lang
+    return " ".join(words), own_id, hidden, lang
 
 
 def read_page(source: str) -> Page:
     page, stack, at = Page(), [0], 0
-    parent, tag_of, words_of, hidden_of, text, breaks = page.parent, page.tag, page.words, page.hidden, page.text, page.breaks
+    parent, tag_of, words_of, ids_of, hidden_of, text, breaks = page.parent, page.tag, page.words, page.ids, page.hidden, page.text, page.breaks
 
     def say(raw: str) -> None:
         if raw:
@@ -112,7 +117,7 @@ def read_page(source: str) -> Page:
         if tag == "br":
             text.append((stack[-1], " "))
             continue
-        words, hidden, lang = _attributes(m["attrs"]) if m["attrs"] else ("", False, "")
+        words, own_id, hidden, lang = _attributes(m["attrs"]) if m["attrs"] else ("", "", False, "")
         if tag == "html" and lang:
             page.lang = lang
         if not inline:
@@ -122,6 +127,7 @@ def read_page(source: str) -> Page:
         parent.append(stack[-1])
         tag_of.append(tag)
         words_of.append(words)
+        ids_of.append(own_id)
         hidden_of.append(hidden)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*/?>", re.I).search(source, at)

@@ -13,9 +13,11 @@ is important when pages differ in it:
   child sequences, g = 0.9; a leaf has its content's importance.
 
 A host with few pages leans on the tree over all hosts.  Branches below
-NOISE are taken out of each page, and so are elements whose name, class, id or
-role says that they are no content; the article itself, if the page names one,
-is the root of what is left and never taken out.
+NOISE are taken out of each page.  The article or main part itself, if the page
+names one, is the root of what is left and never taken out; the outermost one
+counts.  Within it a class or role of the list below only raises the bar to
+NAMED_NOISE (readers' comments and landmark roles are out by name); outside, or
+on a page that names no root, a class or id of the list says noise.
 
 Defined cases: null or empty html gives empty text; a null or broken url
 counts as one host of its own name; rows that repeat a ``page_id`` are
@@ -25,6 +27,7 @@ gives an empty result; other columns don't matter.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
@@ -40,6 +43,8 @@ from .common import small, small_batches, staged
 from .dom import INLINE, Page, blocks, read_page
 
 NOISE, DAMP, HOST_PAGES = 0.3, 0.9, 10
+#: Within a content root: what a branch whose class or role is of NO_CONTENT_WORDS has to reach.
+NAMED_NOISE = 0.6
 #: Pages of a node that its importance needs to be believed at all.
 LEAST_PAGES = 5
 ALL_HOSTS = "*"
@@ -53,17 +58,27 @@ NO_CONTENT_WORDS = frozenset(
     " notification overlay pager pagination paywall popup popups promo promos promoted promotion recommended related replies respond search share sharing sidebar sidebars signup skip"
     " social sponsor sponsored sponsors subscribe subscription tags teaser toolbar topbar widget widgets alert alertdialog".split()
 )
-#: A page's header, but not an article's.
-HEADER_WORDS = frozenset(["header", "heading", "head", "site-header"])
+#: readers' texts and landmark roles; no part of an article wherever they stand.
+APART = frozenset("comment comments commentlist disqus replies respond @banner @complementary @contentinfo @navigation @search @form @menu @menubar @toolbar @dialog @alertdialog".split())
+#: Words of a class or id that only say where a part stands.
+PLACE_WORDS = frozenset(
+    "area article bar block bottom box button buttons col column container content entry fixed float footer global group head header icon icons inner item items left link links list main"
+    " mobile outer page post primary right row secondary section side site sticky text title top unit wrap wrapper".split()
+)
+#: Names like site-header, but not an article's header.
+SITE_HEADER = frozenset("site global top bar header masthead".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Tags of NO_CONTENT that are text where they stand in an article.
+SHOWN_WITHIN = frozenset("math map object".split())
 ROOT_WORDS = frozenset(["main", "articlebody", "article-body", "post-content", "entry-content", "article-content"])
 #: Elements that may hold an article whatever they are called.
 HOLDERS = frozenset("div section main article form center table tbody tr td".split())
-_NONE: frozenset[str] = frozenset()
+_NONE: frozenset = frozenset()
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
 def named(words: str) -> set[str]:
-    """Lower-case words of class names and ids: ``siteHeader ad-box_2`` has site, header, ad, box."""
+    """Lower-case words of a class name or id: ``siteHeader ad-box_2`` has site, header, ad, box."""
     return {w.lower() for w in _WORDS.findall(words)}
 
 
@@ -81,28 +96,47 @@ def _chain(page: Page) -> list[int]:
     return out
 
 
-def said_noise(page: Page) -> tuple[list[bool], list[int]]:
-    """Which elements are no content by name (theirs or one above), and the
-    content roots: outermost articles, else mains; empty if the page names none."""
+@functools.lru_cache(1 << 16)
+def says_noise(token: str) -> bool:
+    """Whether a class, role or id names a part that is no content: it has a word
+    of the list and besides only words for places.  ``post-comments`` and
+    ``adBox`` do, ``related-work``, ``ad-hoc`` and ``no-sidebar`` don't."""
+    words = named(token)
+    return bool(words & NO_CONTENT_WORDS) and words <= NO_CONTENT_WORDS | PLACE_WORDS or "header" in words and 1 < len(words) and words <= SITE_HEADER
+
+
+def said_noise(page: Page) -> tuple[list[bool], list[bool], list[int]]:
+    """Which elements are no content by name (theirs or one above), which within a
+    root may be, and the content roots: outermost articles, else mains; empty
+    if the page names none."""
     n = len(page.tag)
-    words = [named(w) if w else _NONE for w in page.words]
-    main = [t == "main" or bool(w and set(w.lower().split()) & ROOT_WORDS) for t, w in zip(page.tag, page.words)]
-    holds = [False] * n  # an article below: names like "no-sidebar" on it say nothing
+    tokens = [w.split() for w in page.words]
+    said = [any(map(says_noise, t)) or bool(d) and says_noise(d) for t, d in zip(tokens, page.ids)]
+    named_root = [t == "article" or t == "main" or any(w.lower().lstrip("@") in ROOT_WORDS for w in (*own, *d.split())) for t, own, d in zip(page.tag, tokens, page.ids)]
+    holds = [False] * n  # a root below: names like "sidebar-left" on it say nothing
     for i in range(n - 1, 0, -1):
-        if holds[i] or (page.tag[i] == "article" or main[i]) and not words[i] & NO_CONTENT_WORDS:
+        if holds[i] or named_root[i] and not said[i]:
             holds[page.parent[i]] = True
-    dead, within = [False] * n, [0] * n  # within: 1 in a main, 2 in an article
+    dead, doubtful, within = [False] * n, [False] * n, [0] * n  # within: 1 in a main, 2 in an article
     articles, mains = [], []
     for i in range(1, n):
         up, tag = page.parent[i], page.tag[i]
-        bad = tag in NO_CONTENT or page.hidden[i] or bool(words[i] & NO_CONTENT_WORDS) or not within[up] and (tag == "header" or bool(words[i] & HEADER_WORDS))
-        if tag in ("html", "body") or holds[i] and tag in HOLDERS and not page.hidden[i]:
-            bad = False
+        bad = tag in NO_CONTENT or page.hidden[i]
+        if within[up]:
+            bad = bad and not (tag in SHOWN_WITHIN and not page.hidden[i])
+            if tag not in HEADINGS:
+                lower = [w.lower() for w in tokens[i]]
+                bad = bad or not APART.isdisjoint(lower) or page.ids[i].lower() in APART
+                doubtful[i] = any(w.lstrip("@") in NO_CONTENT_WORDS for w in lower)
+        else:
+            bad = bad or tag == "header" or said[i] and tag not in HEADINGS
+            if tag in ("html", "body") or holds[i] and tag in HOLDERS and not page.hidden[i]:
+                bad = False
         dead[i] = dead[up] or bad
-        within[i] = max(within[up], 2 if tag == "article" else 1 if main[i] else 0)
-        if not dead[i] and within[i] > within[up]:
+        within[i] = max(within[up], (2 if tag == "article" else 1) if named_root[i] and not dead[i] else 0)
+        if within[i] > within[up]:
             (articles if within[i] == 2 else mains).append(i)
-    return dead, articles or mains
+    return dead, doubtful, articles or mains
 
 
 def _ups(page: Page, i: int) -> Iterator[int]:
@@ -212,7 +246,8 @@ def importance(tree: pd.DataFrame) -> pd.DataFrame:
 
 
 def noisy_nodes(counts: DataFrame) -> DataFrame:
-    """(host, nodes): the nodes of each host that are below NOISE."""
+    """(host, nodes, weak): the nodes of each host that are below NOISE, and those
+    between it and NAMED_NOISE."""
     everywhere = counts.groupBy("node", "parent", "kind", "value").agg(F.sum("pages").alias("pages")).withColumn("host", F.lit(ALL_HOSTS))
     sums = staged(node_sums(counts).unionByName(node_sums(everywhere.select(counts.columns))).fillna(0.0), "nodes")
 
@@ -221,39 +256,42 @@ def noisy_nodes(counts: DataFrame) -> DataFrame:
     base = scored.where(F.col("host") == ALL_HOSTS).select("node", F.col("imp").alias("all_imp"), F.col("m").alias("all_m"))
     own = scored.where(F.col("host") != ALL_HOSTS).join(small(base), "node")
     mixed = (F.col("m") * F.col("imp") + HOST_PAGES * F.col("all_imp")) / (F.col("m") + HOST_PAGES)
-    return own.where((mixed < NOISE) & (F.col("all_m") >= LEAST_PAGES)).groupBy("host").agg(F.sort_array(F.collect_set("node")).alias("nodes"))
+    some = own.where((mixed < NAMED_NOISE) & (F.col("all_m") >= LEAST_PAGES)).groupBy("host")
+    return some.agg(F.collect_set(F.when(mixed < NOISE, F.col("node"))).alias("nodes"), F.collect_set(F.when(mixed >= NOISE, F.col("node"))).alias("weak"))
 
 
-def main_text(page: Page, noisy: frozenset[int]) -> str:
+def main_text(page: Page, noisy: frozenset[int], weak: frozenset[int] = _NONE) -> str:
     """The page's text without its noise, blocks joined by an empty line.
 
-    Inside an article that the page names, only elements with a name of their
-    own can be noise of the site: its plain paragraphs stay, however many pages
-    repeat them.  A page of which the site's tree would leave nothing keeps what
-    isn't noise by name."""
-    dead, roots = said_noise(page)
+    Inside a root that the page names, only elements with a name of their own can
+    be noise of the site: its plain paragraphs stay, however many pages repeat them.  ``weak`` are nodes that are noise only if
+    their name says so too.  A page of which the site's tree would leave nothing
+    keeps what isn't noise by name."""
+    dead, doubtful, roots = said_noise(page)
     n, root = len(page.tag), set(roots)
     spine = {j for r in roots for j in _ups(page, r)} | root
 
     def kept(chain: list[int] | None) -> list[bool]:
         inside, gone, keep = [False] * n, [False] * n, [not roots] * n
         for i in range(1, n):
-            up = page.parent[i]
+            up, tag = page.parent[i], page.tag[i]
             inside[i] = i in root or inside[up]
-            site = chain is not None and i not in spine and chain[i] != chain[up] and chain[i] in noisy and page.tag[i] not in ("html", "body")
-            gone[i] = gone[up] or dead[i] or site and bool(page.words[i] or not inside[i])
+            site = False
+            if chain is not None and i not in spine and chain[i] != chain[up] and tag not in ("html", "body"):
+                site = (chain[i] in noisy or doubtful[i] and chain[i] in weak) and bool(page.words[i] or not inside[i])
+            gone[i] = gone[up] or dead[i] or site
             keep[i] = not gone[i] and (inside[i] or not roots)
         return keep
 
-    text = blocks(page, kept(_chain(page))) if noisy else []
+    text = blocks(page, kept(_chain(page))) if noisy or weak else []
     return "\n\n".join(text or blocks(page, kept(None)))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = []
-        for source, nodes in zip(b.column("html"), b.column("nodes").to_pylist()):
-            texts.append(main_text(read_page(source.as_py() or ""), frozenset(nodes or ())))
+        for source, nodes, weak in zip(b.column("html"), b.column("nodes").to_pylist(), b.column("weak").to_pylist()):
+            texts.append(main_text(read_page(source.as_py() or ""), frozenset(nodes or ()), frozenset(weak or ())))
         yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -269,4 +307,4 @@ def extract(pages: DataFrame) -> DataFrame:
     counts = pages.select("_host", "html").mapInArrow(_count, COUNTS).groupBy("host", "node", "parent", "kind", "value").agg(F.sum("pages").alias("pages"))
     noisy = staged(noisy_nodes(staged(counts, "features")), "noisy")
     rows = pages.join(small(noisy.withColumnRenamed("host", "_of"), 200_000), F.col("_host") == F.col("_of"), "left")
-    return rows.select("page_id", "url", "html", "nodes").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return rows.select("page_id", "url", "html", "nodes", "weak").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
