@@ -54,6 +54,17 @@ def test_names_of_real_text(source, want):
     assert text_of(source) == want
 
 
+CARDS = "<main><h1>T{i}</h1><p>{body}</p><div class='cards'><article class='card'>teaser</article></div></main><article class='entry'>more {body}</article>"
+
+
+def test_outermost_root_is_the_whole_text(spark):
+    assert text_of(CARDS.format(i=1, body="b")) == "T1\n\nb\n\nteaser\n\nmore b"
+    assert text_of("<div class='post-content'>a<article>b</article>c</div>out") == "a\n\nb\n\nc"
+    rows = [(i, "http://h.example.com/", CARDS.format(i=i, body=f"body {i}")) for i in range(40)]
+    got = style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"T{i}\n\nbody {i}\n\nmore body {i}" for i in range(40)}
+
+
 def test_names_in_an_article_raise_the_bar():
     page = read_page("<article><p>a</p><div class='share'>no</div><div class='fact'>b</div></article>")
     named, other = (style_tree._chain(page)[page.words.index(w)] for w in ("share", "fact"))

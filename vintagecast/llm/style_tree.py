@@ -107,7 +107,7 @@ def says_noise(token: str) -> bool:
 
 def said_noise(page: Page) -> tuple[list[bool], list[bool], list[int]]:
     """Which elements are no content by name (theirs or one above), which within a
-    root may be, and the content roots: outermost articles, else mains; empty
+    root may be, and the content roots: the outermost articles and mains; empty
     if the page names none."""
     n = len(page.tag)
     tokens = [w.split() for w in page.words]
@@ -117,8 +117,8 @@ def said_noise(page: Page) -> tuple[list[bool], list[bool], list[int]]:
     for i in range(n - 1, 0, -1):
         if holds[i] or named_root[i] and not said[i]:
             holds[page.parent[i]] = True
-    dead, doubtful, within = [False] * n, [False] * n, [0] * n  # within: 1 in a main, 2 in an article
-    articles, mains = [], []
+    dead, doubtful, within = [False] * n, [False] * n, [False] * n
+    roots = []
     for i in range(1, n):
         up, tag = page.parent[i], page.tag[i]
         bad = tag in NO_CONTENT or page.hidden[i]
@@ -133,10 +133,10 @@ def said_noise(page: Page) -> tuple[list[bool], list[bool], list[int]]:
             if tag in ("html", "body") or holds[i] and tag in HOLDERS and not page.hidden[i]:
                 bad = False
         dead[i] = dead[up] or bad
-        within[i] = max(within[up], (2 if tag == "article" else 1) if named_root[i] and not dead[i] else 0)
-        if within[i] > within[up]:
-            (articles if within[i] == 2 else mains).append(i)
-    return dead, doubtful, articles or mains
+        within[i] = within[up] or named_root[i] and not dead[i]
+        if within[i] and not within[up]:
+            roots.append(i)
+    return dead, doubtful, roots
 
 
 def _ups(page: Page, i: int) -> Iterator[int]:
@@ -263,8 +263,9 @@ def noisy_nodes(counts: DataFrame) -> DataFrame:
 def main_text(page: Page, noisy: frozenset[int], weak: frozenset[int] = _NONE) -> str:
     """The page's text without its noise, blocks joined by an empty line.
 
-    Inside a root that the page names, only elements with a name of their own can
-    be noise of the site: its plain paragraphs stay, however many pages repeat them.  ``weak`` are nodes that are noise only if
+    Inside a root that the page names, only elements with a name of their own and
+    articles nested in it can be noise of the site: its plain paragraphs stay,
+    however many pages repeat them.  ``weak`` are nodes that are noise only if
     their name says so too.  A page of which the site's tree would leave nothing
     keeps what isn't noise by name."""
     dead, doubtful, roots = said_noise(page)
@@ -278,7 +279,7 @@ def main_text(page: Page, noisy: frozenset[int], weak: frozenset[int] = _NONE) -
             inside[i] = i in root or inside[up]
             site = False
             if chain is not None and i not in spine and chain[i] != chain[up] and tag not in ("html", "body"):
-                site = (chain[i] in noisy or doubtful[i] and chain[i] in weak) and bool(page.words[i] or not inside[i])
+                site = (chain[i] in noisy or doubtful[i] and chain[i] in weak) and bool(page.words[i] or tag == "article" or not inside[i])
             gone[i] = gone[up] or dead[i] or site
             keep[i] = not gone[i] and (inside[i] or not roots)
         return keep
