@@ -127,6 +127,17 @@ def test_repeated_articles_stay(spark):
     assert {r["text"] for r in got} == {"Same\n\ntext"}
 
 
+@pytest.mark.parametrize("mark", ["<article><h1>T{a}</h1><div class='body'>text {a}</div></article>", "<h1>T{a}</h1><div class='body'><p>text {a}</p></div>"])
+@pytest.mark.parametrize("articles", [1, 10])
+def test_copies_of_a_page_count_once(spark, mark, articles):
+    foot = "<div class='x'>Same foot</div><script>sid={i}</script><a href='?sid={i}'></a>"
+    rows = [(i, f"http://h{i % 2 if articles == 1 else ''}.example.com/?sid={i}", (mark + foot).format(a=i % articles, i=i)) for i in range(300 * articles)]
+    rows += [(10000 + i, f"http://o{i}.example.com/", (mark + foot).format(a=f"other {i}", i=i)) for i in range(20)]
+    got = style_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    texts = Counter(r["text"] for r in got)
+    assert texts == Counter([f"T{i % articles}\n\ntext {i % articles}" for i in range(300 * articles)] + [f"Tother {i}\n\ntext other {i}" for i in range(20)])
+
+
 CANONICAL = {
     "http://www.Example.com:80/a/?b=2&a=1#x": "example.com/a?a=1&b=2",
     "https://example.com/a?a=1&utm_source=q&b=2": "example.com/a?a=1&b=2",

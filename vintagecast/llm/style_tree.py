@@ -2,7 +2,7 @@
 
 The pages of a host are merged into one tree: an element node stands for all
 elements with the same chain of tags and classes.  Of every node the tree
-counts in how many pages it occurs, which sequences of children it has there
+counts in how many pages it occurs (pages with the same texts are one), which sequences of children it has there
 (its presentation styles) and which texts stand in it (its content).  A node
 is important when pages differ in it:
 
@@ -146,7 +146,16 @@ def _ups(page: Page, i: int) -> Iterator[int]:
         i = page.parent[i]
 
 
-COUNTS = "host string, node long, parent long, kind int, value long, pages long"
+FEATURES = "host string, digest long, nodes array<long>, parents array<long>, kinds array<int>, values array<long>"
+
+
+def text_digest(page: Page) -> int:
+    """Number of the page's shown texts: equal for copies that differ in markup,
+    scripts or addresses only."""
+    shown = [True] * len(page.tag)
+    for i in range(1, len(page.tag)):
+        shown[i] = shown[page.parent[i]] and not page.hidden[i] and (page.tag[i] not in NO_CONTENT or page.tag[i] in SHOWN_WITHIN)
+    return _number(" ".join(w for element, raw in page.text if shown[element] for w in raw.split()))
 
 
 def page_features(page: Page) -> Iterator[tuple[int, int, int, int]]:
@@ -186,28 +195,48 @@ def _number(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") >> 1
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        counts: Counter = Counter()
-        for host, source in zip(b.column(0).to_pylist(), b.column(1)):
-            counts.update((host, *f) for f in page_features(read_page(source.as_py() or "")))
-        cols = list(zip(*((*k, n) for k, n in counts.items()))) or [[]] * 6
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in COUNTS.split(", ")])
+        digests, ends, rows = [], [0], []
+        for source in b.column("html"):
+            page = read_page(source.as_py() or "")
+            digests.append(text_digest(page))
+            rows += page_features(page)
+            ends.append(len(rows))
+        ends = pa.array(ends, pa.int32())
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        lists = [pa.ListArray.from_arrays(ends, pa.array(c, t)) for c, t in zip(list(zip(*rows)) or [[]] * 4, kinds)]
+        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(digests, pa.int64()), *lists], names=[x.split()[0] for x in FEATURES.split(", ")])
+
+
+def feature_counts(features: DataFrame) -> DataFrame:
+    """Per (host, node, parent, kind, value): in how many distinct contents of the
+    host's pages it occurs, and in how many of all pages.  Of c pages with the
+    same texts each counts 1/c: copies are no layout and no repeated passage."""
+    own = staged(features.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("own")), "contents")
+    copied = staged(own.groupBy("digest").agg(F.sum("own").alias("all")).where("all > 1"), "copied")
+    copies = staged(own.join(small(copied), "digest"), "copies")
+    each = features.join(small(copies), ["host", "digest"], "left").select(
+        "host", F.coalesce(1 / F.col("own"), F.lit(1.0)).alias("pages"), F.coalesce(1 / F.col("all"), F.lit(1.0)).alias("all_pages"),
+        F.explode(F.arrays_zip(F.col("nodes").alias("node"), F.col("parents").alias("parent"), F.col("kinds").alias("kind"), F.col("values").alias("value"))).alias("f"),
+    )
+    total = lambda name: F.round(F.sum(name), 6).alias(name)
+    return each.select("host", "f.*", "pages", "all_pages").groupBy("host", "node", "parent", "kind", "value").agg(total("pages"), total("all_pages"))
 
 
 def node_sums(counts: DataFrame) -> DataFrame:
     """Per (host, node): parent, m (pages), styles, style_sum, texts, text_log: all
     that the importances need, by partial aggregation."""
-    c, value = F.col("pages").cast("double"), lambda kind: F.col("kind") == kind
+    c, value = F.col("pages"), lambda kind: F.col("kind") == kind
+    log = F.log(F.greatest(c, F.lit(1.0)))  # under 1: in some copies of one content only
     return counts.groupBy("host", "node").agg(
         F.min("parent").alias("parent"),
         F.sum(F.when(value(0), c)).alias("m"),
         F.count_if(value(1)).alias("styles"),
         F.sum(F.when(value(1), c)).alias("style_pages"),
-        F.sum(F.when(value(1), c * F.log(c))).alias("style_log"),
+        F.sum(F.when(value(1), c * log)).alias("style_log"),
         F.count_if(value(2)).alias("texts"),
-        F.sum(F.when(value(2), F.log(c))).alias("text_log"),
+        F.sum(F.when(value(2), log)).alias("text_log"),
     )
 
 
@@ -248,8 +277,8 @@ def importance(tree: pd.DataFrame) -> pd.DataFrame:
 def noisy_nodes(counts: DataFrame) -> DataFrame:
     """(host, nodes, weak): the nodes of each host that are below NOISE, and those
     between it and NAMED_NOISE."""
-    everywhere = counts.groupBy("node", "parent", "kind", "value").agg(F.sum("pages").alias("pages")).withColumn("host", F.lit(ALL_HOSTS))
-    sums = staged(node_sums(counts).unionByName(node_sums(everywhere.select(counts.columns))).fillna(0.0), "nodes")
+    everywhere = counts.groupBy("node", "parent", "kind", "value").agg(F.round(F.sum("all_pages"), 6).alias("pages")).withColumn("host", F.lit(ALL_HOSTS))
+    sums = staged(node_sums(counts).unionByName(node_sums(everywhere)).fillna(0.0), "nodes")
 
     # one row for each node of a tree: it grows with a site's layouts, not with its pages
     scored = staged(sums.groupBy("host").applyInPandas(importance, "host string, node long, m double, imp double"), "importance")
@@ -305,7 +334,7 @@ def extract(pages: DataFrame) -> DataFrame:
     and never shuffled; what is shuffled are counts by (host, node, value)."""
     pages = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     pages = pages.withColumn("_host", host_of(F.col("url")))
-    counts = pages.select("_host", "html").mapInArrow(_count, COUNTS).groupBy("host", "node", "parent", "kind", "value").agg(F.sum("pages").alias("pages"))
-    noisy = staged(noisy_nodes(staged(counts, "features")), "noisy")
+    features = staged(pages.select(F.col("_host").alias("host"), "html").mapInArrow(_features, FEATURES), "features")
+    noisy = staged(noisy_nodes(staged(feature_counts(features), "counts")), "noisy")
     rows = pages.join(small(noisy.withColumnRenamed("host", "_of"), 200_000), F.col("_host") == F.col("_of"), "left")
     return rows.select("page_id", "url", "html", "nodes", "weak").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
