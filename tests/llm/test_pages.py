@@ -3,9 +3,11 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from vintagecast.llm import captures, style_tree, warc
 from vintagecast.llm.dom import blocks, read_page
@@ -138,6 +140,44 @@ def test_copies_of_a_page_count_once(spark, mark, articles):
     assert texts == Counter([f"T{i % articles}\n\ntext {i % articles}" for i in range(300 * articles)] + [f"Tother {i}\n\ntext other {i}" for i in range(20)])
 
 
+def some_pages(rng):
+    rows = []
+    for i in range(150):
+        word = lambda: "".join(rng.choice("abcdefg") for _ in range(6))
+        body = "".join(f"<p>{word()} {word()}</p>" for _ in range(rng.randrange(1, 4)))
+        cards = "".join(f"<li><a href='x'>{rng.choice('abc')}</a>" for _ in range(rng.randrange(4)))
+        rows.append((i, f"http://h{i % 4}.example.com/", f"<div class='strip'>Offer {i % 2}</div><div class='s'><div>{body}</div><ul class='m'>{cards}</ul></div><p class='f'>Foot</p>"))
+    return rows
+
+
+def test_importances_by_level_are_those_of_the_tree(spark):
+    features = spark.createDataFrame(some_pages(random.Random(3)), "page_id long, url string, html string").select(style_tree.host_of(F.col("url")).alias("host"), F.lit(0).cast("long").alias("key"), "html").mapInArrow(style_tree._features, style_tree.FEATURES)
+    sums = style_tree.staged(style_tree.node_sums(style_tree.feature_counts(features)).fillna(0.0), "nodes")
+    got = {(r["host"], r["node"]): (r["m"], r["imp"]) for r in style_tree.importances(sums).collect()}
+    want = {}
+    for _, tree in sums.toPandas().groupby("host"):
+        want |= {(r.host, r.node): (r.m, r.imp) for r in style_tree.importance(tree).itertuples()}
+    assert set(got) == set(want) and len({round(v[1], 3) for v in got.values()}) > 5
+    for k in want:
+        assert got[k] == pytest.approx(want[k])
+
+
+def test_no_host_is_one_group(spark):
+    frame = spark.createDataFrame(some_pages(random.Random(4)), "page_id long, url string, html string")
+    out = style_tree.extract(frame)
+    assert "InPandas" not in Path(style_tree.__file__).read_text()
+    few = {r["page_id"]: r["text"] for r in out.collect()}
+    assert {r["page_id"]: r["text"] for r in style_tree.extract(frame, most_noisy=0).collect()} == few
+    assert not any("Offer" in t or "Foot" in t for t in few.values())
+
+
+def test_names_of_nodes():
+    a, b = (style_tree._chain(read_page(f"<div id={x} class=k{x}1><p id={x}{x}>t</p></div>".replace(f"k{x}", "k"))) for x in "ab")
+    assert a == b
+    deep = style_tree._chain(read_page("<div>" * 500 + "x"))
+    assert len(set(deep)) == style_tree.MOST_DEPTH + 1
+
+
 CANONICAL = {
     "http://www.Example.com:80/a/?b=2&a=1#x": "example.com/a?a=1&b=2",
     "https://example.com/a?a=1&utm_source=q&b=2": "example.com/a?a=1&b=2",

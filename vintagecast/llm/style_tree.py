@@ -34,12 +34,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, small_batches, staged
+from .common import BROADCAST_ROWS, small, small_batches, staged
 from .dom import INLINE, Page, blocks, read_page
 
 NOISE, DAMP, HOST_PAGES = 0.3, 0.9, 10
@@ -47,6 +48,8 @@ NOISE, DAMP, HOST_PAGES = 0.3, 0.9, 10
 NAMED_NOISE = 0.6
 #: Pages of a node that its importance needs to be believed at all.
 LEAST_PAGES = 5
+#: Elements below so many nodes belong to the last of them (a tree takes one step a level).
+MOST_DEPTH = 64
 ALL_HOSTS = "*"
 
 #: Elements that hold no running text of an article.
@@ -83,16 +86,19 @@ def named(words: str) -> set[str]:
 
 
 def _chain(page: Page) -> list[int]:
-    """A 63-bit number of every element's chain of tags and classes; inline
-    elements have that of the block they stand in."""
-    out = [0]
+    """A 63-bit number of every element's chain of tags, classes and roles; inline
+    elements and those below MOST_DEPTH have that of the block they stand in."""
+    out, depth = [0], [0]
     for i in range(1, len(page.tag)):
-        up, tag = out[page.parent[i]], page.tag[i]
-        if tag in INLINE and not page.words[i]:
+        above, tag = page.parent[i], page.tag[i]
+        up = out[above]
+        if tag in INLINE and not page.words[i] or depth[above] >= MOST_DEPTH:
             out.append(up)
+            depth.append(depth[above])
             continue
         key = f"{up}/{tag}.{re.sub('[0-9]+', '', page.words[i])}".encode()
         out.append(int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little") >> 1)
+        depth.append(depth[above] + 1)
     return out
 
 
@@ -146,7 +152,7 @@ def _ups(page: Page, i: int) -> Iterator[int]:
         i = page.parent[i]
 
 
-FEATURES = "host string, digest long, nodes array<long>, parents array<long>, kinds array<int>, values array<long>"
+FEATURES = "host string, key long, digest long, nodes array<long>, parents array<long>, kinds array<int>, values array<long>"
 
 
 def text_digest(page: Page) -> int:
@@ -159,17 +165,18 @@ def text_digest(page: Page) -> int:
 
 
 def page_features(page: Page) -> Iterator[tuple[int, int, int, int]]:
-    """(node, parent node, kind, value) of a page: kind 0 = the node occurs, 1 = a
-    child sequence, 2 = a text."""
+    """(node, parent node, kind, value) of a page: kind 0 = the node occurs (at
+    the depth of its value), 1 = a child sequence, 2 = a text."""
     chain = _chain(page)
     children: dict[int, list[int]] = {}
-    nodes, parents = {}, {}
+    nodes, parents, depth = {}, {}, {0: 0}
     for i in range(1, len(chain)):
         c, up = chain[i], chain[page.parent[i]]
         if c == up:
             continue
         nodes[i] = c
         parents[c] = up
+        depth[c] = depth[up] + 1
         children.setdefault(page.parent[i], []).append(c)
     texts: dict[int, list[str]] = {}
     for element, raw in page.text:
@@ -181,7 +188,7 @@ def page_features(page: Page) -> Iterator[tuple[int, int, int, int]]:
     seen = set()
     for i, c in nodes.items():
         up = parents[c]
-        seen.add((c, up, 0, 0))
+        seen.add((c, up, 0, depth[c]))
         if i in children:
             row = children[i]
             distinct = [x for k, x in enumerate(row) if not k or row[k - 1] != x]  # a list of any length is one style
@@ -206,7 +213,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = pa.array(ends, pa.int32())
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
         lists = [pa.ListArray.from_arrays(ends, pa.array(c, t)) for c, t in zip(list(zip(*rows)) or [[]] * 4, kinds)]
-        yield pa.RecordBatch.from_arrays([b.column("host"), pa.array(digests, pa.int64()), *lists], names=[x.split()[0] for x in FEATURES.split(", ")])
+        yield pa.RecordBatch.from_arrays([b.column("host"), b.column("key"), pa.array(digests, pa.int64()), *lists], names=[x.split()[0] for x in FEATURES.split(", ")])
 
 
 def feature_counts(features: DataFrame) -> DataFrame:
@@ -225,12 +232,13 @@ def feature_counts(features: DataFrame) -> DataFrame:
 
 
 def node_sums(counts: DataFrame) -> DataFrame:
-    """Per (host, node): parent, m (pages), styles, style_sum, texts, text_log: all
+    """Per (host, node): parent, depth, m (pages), styles, style_sum, texts, text_log: all
     that the importances need, by partial aggregation."""
     c, value = F.col("pages"), lambda kind: F.col("kind") == kind
     log = F.log(F.greatest(c, F.lit(1.0)))  # under 1: in some copies of one content only
     return counts.groupBy("host", "node").agg(
         F.min("parent").alias("parent"),
+        F.max(F.when(value(0), F.col("value"))).alias("depth"),
         F.sum(F.when(value(0), c)).alias("m"),
         F.count_if(value(1)).alias("styles"),
         F.sum(F.when(value(1), c)).alias("style_pages"),
@@ -241,7 +249,8 @@ def node_sums(counts: DataFrame) -> DataFrame:
 
 
 def importance(tree: pd.DataFrame) -> pd.DataFrame:
-    """Importance of every node of one host's tree (a row for each node)."""
+    """Importance of every node of one host's tree (a row for each node): what
+    ``importances`` finds, in memory."""
     own: dict[int, float] = {}
     below: dict[int, list[int]] = {}
     rows = {r.node: r for r in tree.itertuples(index=False)}
@@ -274,22 +283,51 @@ def importance(tree: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": tree["host"].iloc[0], "node": keep, "m": [rows[n].m for n in keep], "imp": [own[n] for n in keep]})
 
 
+def importances(sums: DataFrame) -> DataFrame:
+    """(host, node, m, imp) of the nodes of all trees, level by level from the
+    leaves up: each step sums the next level's importances by parent."""
+    deepest = sums.agg(F.max("depth")).first()[0]
+    own = [F.max(c).alias(c) for c in ("parent", "m", "styles", "style_pages", "style_log", "texts", "text_log")]
+    m, texts, styles, pages = (F.col(c) for c in ("m", "texts", "styles", "style_pages"))
+    base = F.log(F.greatest(m, F.lit(1.0)))
+    content = F.when(base == 0, 1.0).otherwise(1 - F.least(F.lit(1.0), F.col("text_log") / texts / base))
+    parts = F.col("below") + F.when(texts > 0, 1).otherwise(0)
+    inner = F.when(parts > 0, (F.coalesce(F.col("of_below"), F.lit(0.0)) + F.when(texts > 0, content).otherwise(0.0)) / parts).otherwise(0.0)
+    style = F.when(base == 0, 1.0).otherwise(F.least(F.lit(1.0), (F.log(pages) - F.col("style_log") / pages) / base))
+    weight = F.pow(F.lit(DAMP), styles)
+    imp = F.when((F.col("below") > 0) & (styles > 0), F.greatest((1 - weight) * style + weight * F.col("inner"), F.col("inner"))).otherwise(F.col("inner"))
+    levels = []
+    for depth in range(int(deepest or 0), 0, -1):
+        rows = sums.where(F.col("depth") == depth).drop("depth").withColumns({"of_below": F.lit(None).cast("double"), "below": F.lit(0)})
+        if levels:
+            children = levels[-1].select("host", F.col("parent").alias("node"), F.col("imp").alias("of_below"), F.lit(1).alias("below"))
+            rows = rows.unionByName(children, allowMissingColumns=True)
+        rows = rows.groupBy("host", "node").agg(*own, F.sum("of_below").alias("of_below"), F.sum("below").alias("below"))
+        levels.append(staged(rows.withColumn("inner", inner).select("host", "node", "parent", "m", imp.alias("imp")), "level"))
+    scored = [x.select("host", "node", "m", "imp") for x in levels]
+    return functools.reduce(DataFrame.unionAll, scored) if scored else sums.select("host", "node", "m", F.lit(0.0).alias("imp")).limit(0)
+
+
 def noisy_nodes(counts: DataFrame) -> DataFrame:
-    """(host, nodes, weak): the nodes of each host that are below NOISE, and those
-    between it and NAMED_NOISE."""
+    """(host, node, weak): the nodes of each host below NAMED_NOISE, weak if not
+    below NOISE."""
     everywhere = counts.groupBy("node", "parent", "kind", "value").agg(F.round(F.sum("all_pages"), 6).alias("pages")).withColumn("host", F.lit(ALL_HOSTS))
-    sums = staged(node_sums(counts).unionByName(node_sums(everywhere)).fillna(0.0), "nodes")
-
-    # one row for each node of a tree: it grows with a site's layouts, not with its pages
-    scored = staged(sums.groupBy("host").applyInPandas(importance, "host string, node long, m double, imp double"), "importance")
+    sums = node_sums(counts).unionByName(node_sums(everywhere)).fillna(0.0)
+    scored = importances(staged(sums.sortWithinPartitions("depth"), "nodes"))  # a level's step skips the others' row groups
     base = scored.where(F.col("host") == ALL_HOSTS).select("node", F.col("imp").alias("all_imp"), F.col("m").alias("all_m"))
     own = scored.where(F.col("host") != ALL_HOSTS).join(small(base), "node")
     mixed = (F.col("m") * F.col("imp") + HOST_PAGES * F.col("all_imp")) / (F.col("m") + HOST_PAGES)
-    some = own.where((mixed < NAMED_NOISE) & (F.col("all_m") >= LEAST_PAGES)).groupBy("host")
-    return some.agg(F.collect_set(F.when(mixed < NOISE, F.col("node"))).alias("nodes"), F.collect_set(F.when(mixed >= NOISE, F.col("node"))).alias("weak"))
+    return own.where((mixed < NAMED_NOISE) & (F.col("all_m") >= LEAST_PAGES)).select("host", "node", (mixed >= NOISE).alias("weak"))
+
+
+def noise_of_pages(features: DataFrame, noisy: DataFrame) -> DataFrame:
+    """(host, key, nodes, weak) of the pages that have noisy nodes: their own ones."""
+    rows = features.select("host", "key", F.explode(F.array_distinct("nodes")).alias("node")).join(small(noisy), ["host", "node"])
+    some = lambda weak: F.collect_set(F.when(F.col("weak") == weak, F.col("node")))
+    return rows.groupBy("host", "key").agg(some(False).alias("nodes"), some(True).alias("weak"))
 
 
-def main_text(page: Page, noisy: frozenset[int], weak: frozenset[int] = _NONE) -> str:
+def main_text(page: Page, noisy: frozenset[int], weak: frozenset[int] = _NONE, chain: list[int] | None = None) -> str:
     """The page's text without its noise, blocks joined by an empty line.
 
     Inside a root that the page names, only elements with a name of their own and
@@ -313,28 +351,59 @@ def main_text(page: Page, noisy: frozenset[int], weak: frozenset[int] = _NONE) -
             keep[i] = not gone[i] and (inside[i] or not roots)
         return keep
 
-    text = blocks(page, kept(_chain(page))) if noisy or weak else []
+    text = blocks(page, kept(chain or _chain(page))) if noisy or weak else []
     return "\n\n".join(text or blocks(page, kept(None)))
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = []
-        for source, nodes, weak in zip(b.column("html"), b.column("nodes").to_pylist(), b.column("weak").to_pylist()):
-            texts.append(main_text(read_page(source.as_py() or ""), frozenset(nodes or ()), frozenset(weak or ())))
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+def _among(nodes: np.ndarray, host_key: int, known: np.ndarray) -> frozenset[int]:
+    """Those of ``nodes`` whose number with the host's is in the sorted ``known``."""
+    if not len(known):
+        return _NONE
+    keys = nodes ^ np.int64(host_key)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return frozenset(nodes[known[at] == keys].tolist())
+
+
+def _extract(known):
+    """Texts of pages; noisy nodes are in ``known`` (of all hosts) or with each page."""
+
+    def extract_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            of_page = (b.column("nodes").to_pylist(), b.column("weak").to_pylist()) if known is None else (b.column("host_key").to_pylist(),) * 2
+            for source, one, two in zip(b.column("html"), *of_page):
+                page = read_page(source.as_py() or "")
+                chain = _chain(page)
+                if known is None:
+                    noisy, weak = frozenset(one or ()), frozenset(two or ())
+                else:
+                    nodes = np.unique(np.array(chain, np.int64))
+                    noisy, weak = (_among(nodes, one, k) for k in known.value)
+                texts.append(main_text(page, noisy, weak, chain))
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+
+    return extract_all
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """Per row of ``pages``: page_id, url, text, n_chars.  Pages are read twice
-    and never shuffled; what is shuffled are counts by (host, node, value)."""
+def extract(pages: DataFrame, most_noisy: int = BROADCAST_ROWS) -> DataFrame:
+    """Per row of ``pages``: page_id, url, text, n_chars.  Pages are read twice;
+    what is shuffled are counts by (host, node, value).  Up to ``most_noisy``
+    noisy nodes of all hosts go to the tasks as plain numbers; beyond that each
+    page is joined to its own ones by host and hash (pages of one host and hash
+    share theirs: more nodes of the same host change nothing)."""
     pages = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    pages = pages.withColumn("_host", host_of(F.col("url")))
-    features = staged(pages.select(F.col("_host").alias("host"), "html").mapInArrow(_features, FEATURES), "features")
+    keyed = pages.withColumns({"host": host_of(F.col("url")), "key": F.xxhash64("html")})
+    features = staged(keyed.select("host", "key", "html").mapInArrow(_features, FEATURES), "features")
     noisy = staged(noisy_nodes(staged(feature_counts(features), "counts")), "noisy")
-    rows = pages.join(small(noisy.withColumnRenamed("host", "_of"), 200_000), F.col("_host") == F.col("_of"), "left")
-    return rows.select("page_id", "url", "html", "nodes", "weak").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    schema = "page_id long, url string, text string, n_chars long"
+    if noisy.count() > most_noisy:
+        found = staged(noise_of_pages(features, noisy), "page_noise")
+        return keyed.join(found, ["host", "key"], "left").select("page_id", "url", "html", "nodes", "weak").mapInArrow(_extract(None), schema)
+    number = F.col("node").bitwiseXOR(F.xxhash64("host")).alias("number")
+    known = tuple(np.sort(noisy.where(F.col("weak") == w).select(number).toArrow().column(0).to_numpy()) for w in (False, True))
+    known = pages.sparkSession.sparkContext.broadcast(known)  # 8 bytes for each of at most most_noisy nodes
+    return keyed.select("page_id", "url", "html", F.xxhash64("host").alias("host_key")).mapInArrow(_extract(known), schema)
