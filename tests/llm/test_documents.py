@@ -186,6 +186,22 @@ def test_short_texts_follow_markup_and_host(spark):
     assert [got[i] for i in (900, 901, 902)] == ["yy", "zz", "xx"]
 
 
+@pytest.mark.parametrize("rare", [5, 20])
+def test_rare_language_beside_a_hot_one(spark, rare):
+    rng = random.Random(5)
+    rows = [(i, said("xx", rng, 12), "xx", "http://xx.example.xx/") for i in range(30_000)]
+    own = [(50_000 + i, said("zz", rng), "zz", None) for i in range(rare)]
+    held = [(60_000 + i, said("zz", rng), None, None) for i in range(20)]
+    odd = [(70_000 + i, "12 !", "digits", None) for i in range(6)] + [(80_000 + i, said("yy", rng), f"once{i}", None) for i in range(2)]
+    noise = [(90_000 + i, " ".join("".join(rng.choice("qwjkzxvbp") for _ in range(9)) for _ in range(40)), None, None) for i in range(5)]
+    frame = spark.createDataFrame(rows + own + held + odd + noise, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in language_id.identify_documents(frame).where("doc_id >= 50000").collect()}
+    assert all(got[d]["language"] == "zz" and got[d]["kept"] for d, *_ in own + held)
+    assert all(got[d]["language"] == "und" and not got[d]["kept"] for d, *_ in noise + odd[:6])
+    alone = spark.createDataFrame(own + held, frame.schema)
+    assert all(r["language"] == "zz" and r["kept"] for r in language_id.identify_documents(alone).collect())
+
+
 def test_language_without_labels_or_rows(spark):
     none = spark.createDataFrame([(1, "some text", None, None)], "doc_id long, text string, lang string, source string")
     assert [r["kept"] for r in language_id.identify_documents(none).collect()] == [False]

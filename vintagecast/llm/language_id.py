@@ -36,8 +36,8 @@ from .common import small, small_batches, staged
 from .shingles import slices, text_buffer
 
 UND = "und"
-#: Labelled rows of a language in the training sample (about); a label needs this share of all labelled rows.
-SAMPLE_ROWS, LABEL_SHARE = 4_000, 0.001
+#: Labelled rows of a language in the training sample (about), and those a label needs to be a language, at any size of the table.
+SAMPLE_ROWS, LEAST_LABELLED = 4_000, 5
 GRAMS = 1 << 15
 EVIDENCE, LEAST_PROBABILITY, UND_PRIOR = 60, 0.5, 1e-3
 #: Strength (in rows) of the smoothing of hosts by suffix, suffixes by the corpus, and of declared values.
@@ -107,11 +107,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and log P(trigram | language) (last: ``und``) from rows (key,
-    label, text): of each language about ``sample_rows`` rows by hash of the key."""
+    label, text): of each language about ``sample_rows`` rows by hash of the key.
+    Every label of LEAST_LABELLED rows is one, however many rows others have."""
     labelled = labelled.where("label IS NOT NULL AND text IS NOT NULL")
-    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().where("count > 0").orderBy(F.desc("count"), "label").limit(int(1 / LABEL_SHARE)).collect()}
-    total = sum(counts.values())
-    languages = sorted(x for x, n in counts.items() if n >= LABEL_SHARE * total)
+    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().where(F.col("count") >= LEAST_LABELLED).collect()}
+    languages = sorted(counts)
     if not languages:
         return [], np.zeros((1, GRAMS))
     share = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample_rows / counts[lang]))]), F.col("label"))
@@ -119,9 +119,14 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str
     sample = labelled.where(F.col("label").isin(languages) & (place < share))
     grams = sample.select("label", "text").mapInArrow(_count, "label string, gram long, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
     table = np.zeros((len(languages), GRAMS))
+    place = {x: i for i, x in enumerate(languages)}
     for r in grams.toLocalIterator():  # at most GRAMS numbers for each language
-        table[languages.index(r["label"]), r["gram"]] = r["n"]
-    log = np.log(table + 0.5) - np.log(table.sum(axis=1, keepdims=True) + 0.5 * GRAMS)
+        table[place[r["label"]], r["gram"]] = r["n"]
+    # a small sample adds less to what it hasn't seen, so that it stays less likely than ``und``'s
+    some = table.any(axis=1)
+    languages, table = [x for x, t in zip(languages, some) if t], table[some]
+    unseen = 0.5 * np.minimum(1.0, table.sum(axis=1, keepdims=True) / GRAMS)
+    log = np.log(table + unseen) - np.log(table.sum(axis=1, keepdims=True) + unseen * GRAMS)
     return languages, np.vstack([log, np.full((1, GRAMS), -np.log(GRAMS))])
 
 
@@ -134,10 +139,11 @@ def _score(log, prior: np.ndarray):
                 count = np.diff(bounds)
                 n.append(count)
                 letters.append(own)
-                total = np.zeros((len(weights), len(grams) + 1))
-                for i, w in enumerate(weights):
-                    np.cumsum(w[grams], out=total[i, 1:])
-                sums.append((total[:, bounds[1:]] - total[:, bounds[:-1]]).T)
+                total, found = np.zeros(len(grams) + 1), np.empty((len(count), len(weights)))
+                for i, w in enumerate(weights):  # one language at a time: there may be many
+                    np.cumsum(w[grams], out=total[1:])
+                    found[:, i] = total[bounds[1:]] - total[bounds[:-1]]
+                sums.append(found)
             n, letters = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (n, letters))
             sums = np.concatenate(sums) if sums else np.zeros((0, len(weights)))
             scaled = sums * np.minimum(1.0, EVIDENCE / np.maximum(n, 1))[:, None]
