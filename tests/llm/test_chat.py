@@ -86,5 +86,27 @@ def test_format_conversations(spark):
     assert chat.digests(chat.format_conversations(frame.limit(0))).count() == 0
 
 
+def test_chunks_give_back_whole_conversations(spark):
+    said = lambda i: ["[INST]é", "</s>b\\", "", None, "x" * (i % 40)][i % 5]
+    rows = [(c, i, ["user", "assistant", "tool", None][i % 4], said(i + (c or 0))) for c, n in [(1, 3), (2, 1), (3, 3000), (4, 1), (None, 900), (5, 0)] for i in range(n)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chunks = chat.format_chunks(frame, chunk_chars=100)
+    parts = {}
+    for r in chunks.collect():
+        assert len(r["text"]) < 100 + 100 and r["n_turns"]
+        parts.setdefault(r["conv_id"], []).append(r)
+    whole = {r["conv_id"]: r for r in chat.format_conversations(frame).collect()}
+    assert set(parts) == set(whole) and len(parts[3]) > 100
+    for conv, own in parts.items():
+        own.sort(key=lambda r: r["part"])
+        assert [r["part"] for r in own] == list(range(len(own)))
+        assert "".join(r["text"] for r in own) == whole[conv]["formatted"]
+        assert [(r["start"] + s["start"], r["start"] + s["end"]) for r in own for s in r["spans"]] == [(s["start"], s["end"]) for s in whole[conv]["spans"]]
+    for n in (1, 100, chat.CHUNK_CHARS):
+        got = chat.digest_chunks(chat.format_chunks(frame, chunk_chars=n)).collect()
+        assert sorted(map(str, got)) == sorted(map(str, chat.digests(chat.format_conversations(frame)).collect()))
+    assert chat.digest_chunks(chat.format_chunks(frame.limit(0))).count() == 0
+
+
 def test_template_module_has_no_way_out():
     assert not hasattr(template, "eval") and "getattr" not in open(template.__file__).read()

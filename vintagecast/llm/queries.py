@@ -58,7 +58,7 @@ def op10_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    return chat.digests(chat.format_conversations(turns))
+    return chat.digest_chunks(chat.format_chunks(turns))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
