@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,6 +58,19 @@ def small_batches(texts: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     return texts
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches that go to Python hold at most ``rows`` rows in jobs that run inside;
+    the session's setting is restored afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, "10000")
+    spark.conf.set(key, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def parts_for(df: DataFrame, text: str, task_bytes: int = TASK_BYTES) -> int:
     """Number of tasks for the whole texts of ``df``, by their total bytes."""
     total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0

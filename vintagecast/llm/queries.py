@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, captures, chat, exact_dedup, language_id, mixing, packing, records, set_join, style_tree, warc
+from . import ann, captures, chat, exact_dedup, language_id, mixing, packing, records, rtree, set_join, setm, style_tree, suffix_array, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,19 @@ def op10_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_chunks(chat.format_chunks(turns))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.digest(suffix_array.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.hard_negatives(table(spark, sf_dir, "embeddings"), 100, label=moved)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setm.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_mix_sources": op2_mix_sources,
@@ -72,4 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_pack": op9_pack,
     "op10_format_chat": op10_format_chat,
+    "op11_decontaminate": op11_decontaminate,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
