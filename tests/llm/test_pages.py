@@ -56,6 +56,32 @@ def test_names_of_real_text(source, want):
     assert text_of(source) == want
 
 
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<body><form id='aspnetForm'><div class='content'><h1>T</h1><p>real text</p></div></form>", "T\n\nreal text"),
+        ("<section class='share'><p>Market share text</p></section>", "Market share text"),
+        ("<div id='search'><p>How to search</p></div><div class='sidebar'>x</div>", "How to search"),
+        ("<p>the text of the page</p><form><input>mail</form><div class='share'>share</div>", "the text of the page"),
+        ("<article><p>a</p><blockquote>b<footer>who</footer></blockquote><footer>no</footer></article>", "a\n\nb\n\nwho"),
+        ("<p>a</p><div class='comments'><p>many more readers' words than the page</p></div>", "a"),
+    ],
+)
+def test_parts_that_hold_the_text(source, want):
+    assert text_of(source) == want
+
+
+@pytest.mark.parametrize("source", ["<div>" * 90_000 + "</p>" * 90_000 + "x", "<a " * 330_000, "<b>" * 110_000 + "x " * 100_000, "<p><button>" + "<div>" * 150_000, "<p>" + "<b>x" * 200_000])
+def test_long_pages_take_time_in_proportion(source):
+    import time
+
+    began = time.process_time()
+    page = style_tree.read_page(source)
+    list(style_tree.page_features(page))
+    style_tree.main_text(page, frozenset([1]), frozenset([2]))
+    assert time.process_time() - began < 8
+
+
 CARDS = "<main><h1>T{i}</h1><p>{body}</p><div class='cards'><article class='card'>teaser</article></div></main><article class='entry'>more {body}</article>"
 
 

@@ -69,26 +69,61 @@ def _attributes(raw: str) -> tuple[str, str, bool, str]:
     return " ".join(words), own_id, hidden, lang
 
 
+class Open:
+    """The open elements, from the page down, and where those of a name stand: what
+    a tag closes is found without climbing, however deep a page is."""
+
+    def __init__(self, tag_of: list[str]):
+        self.tag_of, self.stack, self.places, self.solid = tag_of, [0], {}, []
+
+    def push(self, element: int) -> None:
+        tag = self.tag_of[element]
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.solid.append(len(self.stack))
+        self.stack.append(element)
+
+    def cut(self, place: int) -> None:
+        """Closes the element at this place and all below it."""
+        for element in self.stack[place:]:
+            tag = self.tag_of[element]
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.solid.pop()
+        del self.stack[place:]
+
+    def nearest(self, names) -> int:
+        return max([self.places[x][-1] for x in names if self.places.get(x)], default=0)
+
+    def shut(self, names, borders) -> None:
+        """Closes the nearest open element of these names, if no border is nearer."""
+        place = self.nearest(names)
+        if place and place >= self.nearest(borders):
+            self.cut(place)
+
+    def end(self, tag: str) -> None:
+        """An end tag; an inline one doesn't close beyond the block it stands in."""
+        place = self.nearest((tag,))
+        if place and not (tag in INLINE and self.solid and self.solid[-1] > place):
+            self.cut(place)
+
+
 def read_page(source: str) -> Page:
-    page, stack, at = Page(), [0], 0
+    page, at = Page(), 0
     parent, tag_of, words_of, ids_of, hidden_of, text, breaks = page.parent, page.tag, page.words, page.ids, page.hidden, page.text, page.breaks
+    open_ = Open(tag_of)
+    stack, last = open_.stack, source.rfind(">")
 
     def say(raw: str) -> None:
         if raw:
             text.append((stack[-1], html.unescape(raw) if "&" in raw else raw))
 
-    def shut(names, borders) -> None:
-        """Closes the nearest open element of these names."""
-        for i in range(len(stack) - 1, 0, -1):
-            name = tag_of[stack[i]]
-            if name in names:
-                del stack[i:]
-                return
-            if name in borders:
-                return
-
     n = len(source)
     while at < n:
+        if at > last:  # no tag ends any more; a comment may be left open
+            comment = source.find("<!--", at)
+            say(source[at : comment if comment >= 0 else n])
+            break
         m = _MARK.search(source, at)
         if m is None:
             say(source[at:])
@@ -100,20 +135,14 @@ def read_page(source: str) -> Page:
         tag = m["tag"].lower()
         inline = tag in INLINE
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                name = tag_of[stack[i]]
-                if name == tag:
-                    del stack[i:]
-                    break
-                if inline and name not in INLINE:
-                    break
+            open_.end(tag)
             if not inline:
                 breaks.add(len(text))
             continue
         if tag in CLOSES_P:
-            shut(("p",), P_BORDERS)
+            open_.shut(("p",), P_BORDERS)
         if tag in CLOSED_BY:
-            shut(*CLOSED_BY[tag])
+            open_.shut(*CLOSED_BY[tag])
         if tag == "br":
             text.append((stack[-1], " "))
             continue
@@ -135,7 +164,7 @@ def read_page(source: str) -> Page:
             at = end.end() if end else n
             breaks.add(len(text))
         elif not m["attrs"].rstrip().endswith("/") or inline or tag not in ("svg", "path"):
-            stack.append(len(tag_of) - 1)
+            open_.push(len(tag_of) - 1)
     return page
 
 

@@ -111,11 +111,26 @@ def says_noise(token: str) -> bool:
     return bool(words & NO_CONTENT_WORDS) and words <= NO_CONTENT_WORDS | PLACE_WORDS or "header" in words and 1 < len(words) and words <= SITE_HEADER
 
 
+def amounts(page: Page) -> list[int]:
+    """Characters of shown text in every element and below it; a form's count,
+    other parts without content don't."""
+    found = [0] * len(page.tag)
+    for element, raw in page.text:
+        found[element] += len("".join(raw.split()))
+    for i in range(len(found) - 1, 0, -1):
+        if page.hidden[i] or page.tag[i] in NO_CONTENT and page.tag[i] != "form" and page.tag[i] not in SHOWN_WITHIN:
+            found[i] = 0
+        found[page.parent[i]] += found[i]
+    return found
+
+
 def said_noise(page: Page) -> tuple[list[bool], list[bool], list[int]]:
     """Which elements are no content by name (theirs or one above), which within a
     root may be, and the content roots: the outermost articles and mains; empty
-    if the page names none."""
-    n = len(page.tag)
+    if the page names none.  Outside a root, a form or a part called like noise
+    that holds at least half of the page's text is a container, not noise (but
+    for readers' texts); so is the source line of a quotation no footer."""
+    n, amount = len(page.tag), amounts(page)
     tokens = [w.split() for w in page.words]
     said = [any(map(says_noise, t)) or bool(d) and says_noise(d) for t, d in zip(tokens, page.ids)]
     named_root = [t == "article" or t == "main" or any(w.lower().lstrip("@") in ROOT_WORDS for w in (*own, *d.split())) for t, own, d in zip(page.tag, tokens, page.ids)]
@@ -128,6 +143,8 @@ def said_noise(page: Page) -> tuple[list[bool], list[bool], list[int]]:
     for i in range(1, n):
         up, tag = page.parent[i], page.tag[i]
         bad = tag in NO_CONTENT or page.hidden[i]
+        if tag == "footer" and page.tag[up] in ("blockquote", "figure"):
+            bad = page.hidden[i]
         if within[up]:
             bad = bad and not (tag in SHOWN_WITHIN and not page.hidden[i])
             if tag not in HEADINGS:
@@ -136,7 +153,9 @@ def said_noise(page: Page) -> tuple[list[bool], list[bool], list[int]]:
                 doubtful[i] = any(w.lstrip("@") in NO_CONTENT_WORDS for w in lower)
         else:
             bad = bad or tag == "header" or said[i] and tag not in HEADINGS
-            if tag in ("html", "body") or holds[i] and tag in HOLDERS and not page.hidden[i]:
+            apart = any(w.lower() in APART for w in (*tokens[i], page.ids[i]))
+            most = 2 * amount[i] >= amount[0] > 0 and not apart and (tag == "form" or tag not in NO_CONTENT and tag != "header")
+            if tag in ("html", "body") or (most or holds[i] and tag in HOLDERS) and not page.hidden[i]:
                 bad = False
         dead[i] = dead[up] or bad
         within[i] = within[up] or named_root[i] and not dead[i]
@@ -179,12 +198,13 @@ def page_features(page: Page) -> Iterator[tuple[int, int, int, int]]:
         depth[c] = depth[up] + 1
         children.setdefault(page.parent[i], []).append(c)
     texts: dict[int, list[str]] = {}
+    home = [0]  # the node that an element's text belongs to
+    for i in range(1, len(chain)):
+        home.append(i if i in nodes else home[page.parent[i]])
     for element, raw in page.text:
         raw = " ".join(raw.split())
         if raw:
-            while element and element not in nodes:
-                element = page.parent[element]
-            texts.setdefault(element, []).append(raw)
+            texts.setdefault(home[element], []).append(raw)
     seen = set()
     for i, c in nodes.items():
         up = parents[c]
