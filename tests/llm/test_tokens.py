@@ -32,6 +32,19 @@ def test_encoder_gives_the_librarys_ids(built, free):
             assert enc.encode(text).tolist() == plain(name, text)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_ids_over_all_white_space(name):
+    """Every kind of white space and line end, within and between words."""
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()] + ["\u200b", "\ufeff", "\u180e", "\x00", "\x7f"]
+    assert len(spaces) > 25
+    enc, rng = encoder(public_tokenizers.path(name)), random.Random(8)
+    parts = ["a", "the", "B.", "x,", "\n", "\n", " ", "\t", "é", "1"]
+    texts = ["".join(rng.choice(spaces if rng.random() < 0.3 else parts) for _ in range(rng.randrange(1, 9))) for _ in range(100_000)] + ["a\tb\n\xa0"]
+    for at in range(0, len(texts), 10_000):
+        want = PLAIN[name].encode_batch(texts[at : at + 10_000], add_special_tokens=False)
+        assert [(t, enc.encode(t).tolist()) for t in texts[at : at + 10_000]] == [(t, w.ids) for t, w in zip(texts[at : at + 10_000], want)]
+
+
 def test_encoder_forgets_and_stays_right(monkeypatch):
     from vintagecast.llm import encode
 

@@ -101,7 +101,7 @@ class WordEncoder:
             return (self.led if lead else self.bare)[m[0]] + tail
         if self.lead and "\n" in piece:  # a lone line end between words is a word of its own
             lines = piece.split("\n")
-            if all(lines) and len(piece.split()) == len(lines):
+            if all(x.split() == [x] for x in lines):
                 return (self.led if lead else self.bare)[lines[0]] + b"".join(self.line + self.bare[x] for x in lines[1:])
         return self.whole(lead + piece)
 
