@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vintagecast.llm import exact_dedup, language_id, mixing
 
@@ -202,6 +203,27 @@ def test_rare_language_beside_a_hot_one(spark, rare):
     assert all(r["language"] == "zz" and r["kept"] for r in language_id.identify_documents(alone).collect())
 
 
+def test_labels_with_regions_are_one_language(spark):
+    rng = random.Random(7)
+    rows = [(i, said("xx", rng), ["xx", "xx-US", "XX_gb", None][i % 4 if i % 10 else 3], None) for i in range(1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = language_id.identify_documents(frame).collect()
+    assert len(got) == 1000 and all(r["kept"] and r["language"] == "xx" for r in got)
+    assert language_id.identified(frame).count() == 1000
+
+
+def test_free_text_is_no_label(spark):
+    rng = random.Random(9)
+    rows = [(i, said("xx", rng, 8), "xx", None) for i in range(50)]
+    rows += [(100 + i, said("xx", rng, 8), f"http://example.org/{i % 4000} {i % 3}", None) for i in range(20_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = language_id.identify_documents(frame)
+    assert {(r["language"], r["kept"]) for r in found.collect()} == {("xx", True)}
+    tags = ["en", "EN-us", "pt_BR", "zh-Hant-TW", " de ", "", None, "english", "e", "und", "mul-x", "en us", "en-"]
+    got = spark.createDataFrame([(t,) for t in tags], "t string").select(language_id.primary_subtag(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["en", "en", "pt", "zh", "de"] + [None] * 8
+
+
 def test_language_without_labels_or_rows(spark):
     none = spark.createDataFrame([(1, "some text", None, None)], "doc_id long, text string, lang string, source string")
     assert [r["kept"] for r in language_id.identify_documents(none).collect()] == [False]

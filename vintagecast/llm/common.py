@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: A side of at most this many narrow rows (ids and small numbers) may be broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Bytes that a side of wider rows may have to be broadcast.
+BROADCAST_BYTES = 32 << 20
 #: Rows of one batch of whole texts that goes to Python.
 BATCH_ROWS = 1_000
 #: Bytes of text one task should hold.
@@ -83,6 +85,11 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def small_bytes(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``small`` for rows of about ``row_bytes`` bytes: at most BROADCAST_BYTES."""
+    return small(df, max(1, BROADCAST_BYTES // row_bytes))
+
+
 def running_total(df: DataFrame, order: list[Column], value: Column, out: str, name: str = "order") -> DataFrame:
     """``df`` with ``out``: the sum of ``value`` over all rows before this one
     in the total order.  Rows are dealt by range; only one sum per range meets

@@ -8,6 +8,10 @@ posterior(language) ~ prior(language | host) * P(text | language)
   case, everything else one blank), trained here on a bounded sample of
   labelled rows.  One more class, ``und``, gives every trigram number the same
   probability; it wins where most of a text is like none of the languages.
+* Labels and declared languages are folded to their primary subtag (``en-US``
+  and ``en_GB`` are ``en``); what isn't of the form of a language tag, and codes
+  for no one language, are no labels and no evidence.  So there are at most as
+  many languages as two- and three-letter codes.
 * Declared language, suffix and host: counted over all rows by grouped
   aggregation of the text posteriors.  A host's prior is smoothed towards its
   suffix's and that towards the corpus's; a row's own share is taken out first.
@@ -16,7 +20,8 @@ Trigrams of a text are not independent, so a text's evidence is scaled to at
 most EVIDENCE trigrams; short texts then follow their host and markup.
 
 Defined cases: a text without letters (null, empty, digits and marks only) is
-``und`` with probability 0 and not kept; one too short for a trigram follows
+``und`` with probability 0; a row is kept unless it is ``und``, however close
+two languages are; one too short for a trigram follows
 its markup and host; null declared language, suffix or
 host are no evidence (a null host has its suffix's prior); rows that repeat a
 ``doc_id`` are judged each; without labelled rows every text is ``und``; an
@@ -32,14 +37,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, small_batches, staged
+from .common import small, small_batches, small_bytes, staged
 from .shingles import slices, text_buffer
 
 UND = "und"
 #: Labelled rows of a language in the training sample (about), and those a label needs to be a language, at any size of the table.
 SAMPLE_ROWS, LEAST_LABELLED = 4_000, 5
 GRAMS = 1 << 15
-EVIDENCE, LEAST_PROBABILITY, UND_PRIOR = 60, 0.5, 1e-3
+EVIDENCE, UND_PRIOR = 60, 1e-3
+#: Codes that stand for no one language.
+NO_LANGUAGE = ("und", "mul", "mis", "zxx")
 #: Strength (in rows) of the smoothing of hosts by suffix, suffixes by the corpus, and of declared values.
 HOST_ROWS, SUFFIX_ROWS, DECLARED_ROWS = 20.0, 50.0, 1.0
 _BLOCK = 1 << 19
@@ -194,8 +201,7 @@ def _fuse(languages: list[str], base: np.ndarray, total: np.ndarray, kinds: int)
             found = read[:, 0] & (k > 1)
             names = np.array([*languages, UND], object)[np.where(found, best, k - 1)]
             p = np.where(found, post.max(axis=1, initial=0.0), 0.0)
-            kept = (names != UND) & (p >= LEAST_PROBABILITY)
-            yield pa.RecordBatch.from_pydict({"doc_id": cols["doc_id"], "hash": cols["hash"], "declared": cols["declared"], "language": pa.array(names, pa.string()), "probability": p, "kept": kept.astype(bool)})
+            yield pa.RecordBatch.from_pydict({"doc_id": cols["doc_id"], "hash": cols["hash"], "declared": cols["declared"], "language": pa.array(names, pa.string()), "probability": p, "kept": (names != UND).astype(bool)})
 
     return fuse
 
@@ -203,7 +209,7 @@ def _fuse(languages: list[str], base: np.ndarray, total: np.ndarray, kinds: int)
 def identify(docs: DataFrame, declared: Column, suffix: Column, host: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per row: doc_id, hash (of the text), declared, language, probability, kept."""
     doc = small_batches(docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.lower(declared).alias("declared"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), primary_subtag(declared).alias("declared"),
         F.lower(suffix).alias("suffix"), F.lower(host).alias("host"), F.col("text").cast("string").alias("text"),
     )
     languages, log = train(doc.select(F.struct("doc_id", "hash").alias("key"), F.col("declared").alias("label"), "text"), sample_rows)
@@ -215,13 +221,20 @@ def identify(docs: DataFrame, declared: Column, suffix: Column, host: Column, sa
     total = np.array([float(x or 0) for x in suffixes.agg(*[F.sum(f"s{i}") for i in range(k)]).first()])
     base = (total + 1.0) / (total.sum() + k)
     table = staged(rows.where("declared IS NOT NULL").groupBy("declared").agg(*sums("d")), "declared")
-    rows = rows.join(small(table), "declared", "left")
-    rows = rows.join(small(suffixes.withColumnRenamed("suffix", "_suffix")), F.col("suffix").eqNullSafe(F.col("_suffix")), "left")
+    wide = 16 * k + 128  # bytes of a row of k doubles and a name, about
+    rows = rows.join(small_bytes(table, wide), "declared", "left")
+    rows = rows.join(small_bytes(suffixes.withColumnRenamed("suffix", "_suffix"), wide), F.col("suffix").eqNullSafe(F.col("_suffix")), "left")
     named = hosts.where("host IS NOT NULL").withColumnsRenamed({"host": "_host", "suffix": "_of"})
-    rows = rows.join(small(named), (F.col("host") == F.col("_host")) & F.col("suffix").eqNullSafe(F.col("_of")), "left")
+    rows = rows.join(small_bytes(named, wide), (F.col("host") == F.col("_host")) & F.col("suffix").eqNullSafe(F.col("_of")), "left")
     return rows.mapInArrow(_fuse(languages, base, total, table.count() + 1), "doc_id long, hash long, declared string, language string, probability double, kept boolean")
 
 
+def primary_subtag(tag: Column) -> Column:
+    """Primary subtag of a language tag, in lower case; null for anything else."""
+    first = F.regexp_extract(F.lower(F.trim(tag)), r"^([a-z]{2,3})([-_][a-z0-9]{1,8})*$", 1)
+    return F.when((first != "") & ~first.isin(*NO_LANGUAGE), first)
+
+
 def host_of(source: Column) -> tuple[Column, Column]:
     """Host and address suffix of a source: of its address part if it is one, else the source itself and no suffix."""
     bare = F.regexp_replace(source, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
