@@ -8,6 +8,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tests.llm.by_value import by_value
 from vintagecast.llm import set_join
 from vintagecast.llm.components import components
 from vintagecast.llm.shingles import shingle_sets
@@ -124,6 +125,37 @@ def test_crowds_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(docs)
 
 
+def test_a_large_crowd_is_met_hub_first(spark, monkeypatch):
+    """Members near the hub, far ones among themselves and between both."""
+    monkeypatch.setattr(set_join, "CROWD_BLOCK", 16)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    texts = []
+    for i in range(150):  # a chain: each third differs more from the base
+        own = list(base)
+        for _ in range(i % 3 * 2):
+            own[rng.randrange(80)] = f"v{rng.randrange(6)}"
+        texts.append(" ".join(own))
+    texts += [" ".join(base[:40] + [f"u{i % 4}{j}" for j in range(40)]) for i in range(30)]  # share a passage only
+    docs = list(enumerate(texts))
+    moved = []
+    real = set_join.with_texts
+    monkeypatch.setattr(set_join, "with_texts", lambda wanted, classes, docs, name: moved.append((name, wanted.count())) or real(wanted, classes, docs, name))
+    got = set_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(docs)
+    asked = sum(n for name, n in moved if name == "crowd-hubs")
+    assert asked >= 100 and all(n <= 3 * asked for name, n in moved if name == "crowds")
+
+
+def test_sets_that_share_half_a_fingerprint(spark, monkeypatch):
+    real = set_join.fingerprint
+    monkeypatch.setattr(set_join, "fingerprint", lambda s: (len(s) % 7, real(s)[1]))
+    docs = list(enumerate(near_copies(3)))
+    with by_value(set_join):
+        got = set_join.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_components(docs)
+
+
 def test_near_dedup_keeps_one_of_each(spark):
     docs = list(enumerate(near_copies(2)))
     frame = spark.createDataFrame([(d, t, "s") for d, t in docs] + [(None, "z", "s")], "doc_id long, text string, source string")

@@ -20,8 +20,15 @@ at least 0.75.  The join is exact; its result is each row's component.
 4. Pairs of short lists, and pairs of long ones across crowds, whose ends are
    not yet in one component are verified, and the components joined once more.
 
-Equal sets are one class from the start (a 128-bit fingerprint).  Texts are
-read again where sets are needed, never whole sets shuffled.
+A large crowd is first compared with its hub, member by member.  What links to
+the hub is one component; the rest is searched in blocks, among itself and
+against those members that can be near it: Jaccard distance is a metric, so a
+member nearer to the hub than the rest's least distance less the limit has no
+link to it.
+
+Equal sets are one class from the start (a 128-bit fingerprint, of which the
+first half names the class, or the second where two sets share the first).
+Texts are read again where sets are needed, never whole sets shuffled.
 
 Defined cases: null text or no words: empty set, linked with nothing, its own
 component; fewer words than ``k``: the whole sequence is the one shingle; rows
@@ -53,6 +60,8 @@ COMMON, COMMON_KEPT = 8, 1 << 16
 SHORT = 16
 #: Sets compared with one hub in one place; members of a crowd in one block.
 SPOKES, CROWD_BLOCK = 256, 1024
+#: Places that the members of one long list are dealt to.
+LIST_SALTS = 32
 _LOW = np.uint64(0xFFFFFFFF)
 _U32, _U16 = np.uint64(32), np.uint64(0xFFFF)
 
@@ -78,6 +87,12 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(x[:1].view(np.int64)[0]), int(x[1:].view(np.int64)[0])
 
 
+def class_of(s: np.ndarray, shared: frozenset[int]) -> int:
+    """Class of a set: the first half of its fingerprint, unless other sets share it."""
+    first, second = fingerprint(s)
+    return second if first in shared else first
+
+
 def token_keys(s: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and 32-bit key of shingles, from bits that don't decide the hash order."""
     return ((s >> _U32) & _U16) % np.uint64(buckets), (s & _LOW).astype(np.uint32)
@@ -144,7 +159,7 @@ def ordered_prefix(s: np.ndarray, late: np.ndarray) -> np.ndarray:
 INDEX = "bucket int, keys binary, owners binary, places binary, cls binary, sizes binary"
 
 
-def _index(buckets: int, common: np.ndarray):
+def _index(buckets: int, common: np.ndarray, shared: frozenset[int]):
     table = np.zeros(1 << 22, bool)
     table[(common & ((1 << 22) - 1)).astype(np.int64)] = True
 
@@ -154,7 +169,7 @@ def _index(buckets: int, common: np.ndarray):
             for s in shingle_sets(b.column("text"), K):
                 if not len(s):
                     continue
-                c = fingerprint(s)[0]
+                c = class_of(s, shared)
                 if c in seen:
                     continue
                 seen.add(c)
@@ -272,22 +287,26 @@ def similar(inter, m, n):
     return DEN * inter >= NUM * (m + n - inter)
 
 
-def _compare(t: pa.Table) -> pa.Table:
+def _compare(shared: frozenset[int]):
     """Spokes against their hubs; several hubs share a group."""
-    sets = _sets(t)
-    out = []
-    for h, c in zip(t.column("hub").to_pylist(), t.column("cls").to_pylist()):
-        if h != c and h in sets and c in sets:
-            out.append((c, h, len(sets[c]), len(sets[h]), len(np.intersect1d(sets[h], sets[c], True))))
-    cols = list(zip(*out)) or [[]] * 5
-    return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(["a", "b", "na", "nb", "inter"], cols)})
 
+    def compare(t: pa.Table) -> pa.Table:
+        sets = _sets(t, shared)
+        out = []
+        for h, c in zip(t.column("hub").to_pylist(), t.column("cls").to_pylist()):
+            if h != c and h in sets and c in sets:
+                out.append((c, h, len(sets[c]), len(sets[h]), len(np.intersect1d(sets[h], sets[c], True))))
+        cols = list(zip(*out)) or [[]] * 5
+        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(["a", "b", "na", "nb", "inter"], cols)})
+
+    return compare
 
-def _sets(t: pa.Table) -> dict[int, np.ndarray]:
+
+def _sets(t: pa.Table, shared: frozenset[int]) -> dict[int, np.ndarray]:
     """Sets by class; rows whose text is another's (of the same doc_id) are passed over."""
     out: dict[int, np.ndarray] = {}
     for c, s in zip(t.column("cls").to_pylist(), shingle_sets(t.column("text"), K)):
-        if c not in out and len(s) and fingerprint(s)[0] == c:
+        if c not in out and len(s) and class_of(s, shared) == c:
             out[c] = s
     return out
 
@@ -333,20 +352,24 @@ def reach(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return links
 
 
-def _crowds(t: pa.Table) -> pa.Table:
+def _crowds(shared: frozenset[int]):
     """Links of the crowds (or pairs of their blocks) dealt here."""
-    keys = list(zip(*(t.column(c).to_pylist() for c in ("hub", "i", "j"))))
-    found = []
-    by: dict[tuple, list[int]] = {}
-    for row, key in enumerate(keys):
-        by.setdefault(key, []).append(row)
-    for rows in by.values():
-        sets = _sets(t.take(rows))
-        cls = sorted(sets)
-        if len(cls) > 1:
-            found += [(cls[x], cls[y]) for x, y in reach([sets[c] for c in cls])]
-    cols = list(zip(*found)) or [[], []]
-    return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64())})
+
+    def crowds_of(t: pa.Table) -> pa.Table:
+        keys = list(zip(*(t.column(c).to_pylist() for c in ("hub", "i", "j"))))
+        found = []
+        by: dict[tuple, list[int]] = {}
+        for row, key in enumerate(keys):
+            by.setdefault(key, []).append(row)
+        for rows in by.values():
+            sets = _sets(t.take(rows), shared)
+            cls = sorted(sets)
+            if len(cls) > 1:
+                found += [(cls[x], cls[y]) for x, y in reach([sets[c] for c in cls])]
+        cols = list(zip(*found)) or [[], []]
+        return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64())})
+
+    return crowds_of
 
 
 def with_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> tuple[DataFrame, int]:
@@ -356,7 +379,7 @@ def with_texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame, name: str
     return docs.join(small(wanted), docs["doc_id"] == F.col("_rep")).drop("_rep", "doc_id"), wanted.count()
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shared: frozenset[int], name: str) -> DataFrame:
     """Exact answers for staged ``pairs`` (spoke, hub).  A hub with many spokes is
     dealt to several places."""
     fans = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / SPOKES).alias("fans"))
@@ -365,27 +388,50 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) ->
     wanted = rows.select("hub", "fan", F.col("spoke").alias("cls")).unionByName(hubs.select("hub", "fan", F.col("hub").alias("cls")))
     rows, n = with_texts(wanted, classes, docs, name)
     place = F.pmod(F.xxhash64("hub", "fan"), F.lit(max(1, n // (2 * SPOKES))))
-    return staged(rows.groupBy(place.alias("place")).applyInArrow(_compare, VERIFIED), name)
+    return staged(rows.groupBy(place.alias("place")).applyInArrow(_compare(shared), VERIFIED), name)
 
 
 def crowds(members: DataFrame) -> DataFrame:
     """(cls, hub) of the classes in staged long lists (list, cls, ...)."""
     often = members.groupBy("cls").agg(F.count(F.lit(1)).alias("k"))
     elected = members.join(often, "cls").groupBy("list").agg(F.max(F.struct("k", "cls")).alias("e")).select("list", F.col("e.cls").alias("hub"))
-    votes = members.join(elected, "list").groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("k"))
+    # a list may hold a third of all classes: its members are dealt to many places, its hub is sent to each
+    elected = elected.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LIST_SALTS - 1))))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(LIST_SALTS)).cast("int"))
+    votes = salted.join(elected, ["list", "salt"]).groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("k"))
     return votes.groupBy("cls").agg(F.max(F.struct("k", "hub")).alias("v")).select("cls", F.col("v.hub").alias("hub"))
 
 
-def crowd_links(crowd: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links within crowds.  A large crowd is cut into blocks, and every pair of
-    blocks is searched in a place of its own."""
-    sizes = crowd.groupBy("hub").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("m", F.ceil(F.col("size") / CROWD_BLOCK).cast("int"))
-    rows = crowd.join(sizes, "hub").withColumn("x", F.pmod(F.xxhash64("cls"), F.col("m")).cast("int"))
-    rows = rows.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).select("cls", "hub", "m", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"))
-    rows = rows.where("i <> j OR m = 1").drop("m")  # with several blocks, a block alone is part of its pairs
+def crowd_links(crowd: DataFrame, classes: DataFrame, docs: DataFrame, shared: frozenset[int]) -> DataFrame:
+    """Links within crowds (a, b).  A crowd of one block is searched in one place.
+    Of a larger one every member is compared with the hub; those that don't link
+    to it (far) are searched in blocks, against each other and against members
+    that are not too near the hub to reach them."""
+    sizes = staged(crowd.groupBy("hub").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "crowd-sizes")
+    rows = crowd.join(sizes.where(F.col("size") <= CROWD_BLOCK), "hub").select("cls", "hub", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    large, links = sizes.where(F.col("size") > CROWD_BLOCK), None
+    if not large.isEmpty():
+        asked = crowd.join(large, "hub").where("cls <> hub").select(F.col("cls").alias("spoke"), "hub")
+        met = verify(staged(asked, "crowd-members"), classes, docs, shared, "crowd-hubs")
+        ok = similar(F.col("inter"), F.col("na"), F.col("nb"))
+        links = met.where(ok).select("a", "b")
+        apart = 1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))
+        met = met.select(F.col("a").alias("cls"), F.col("b").alias("hub"), (~ok).alias("far"), apart.alias("apart"))
+        limit = 1 - NUM / DEN + 1e-9  # of the distance of linked sets, rounding allowed for
+        nearest = met.where("far").groupBy("hub").agg(F.min("apart").alias("least"))
+        left = staged(met.join(nearest, "hub").where(F.col("far") | (F.col("apart") + limit >= F.col("least"))).select("cls", "hub", "far"), "crowd-rest")
+        blocks = lambda far: F.ceil(F.count_if(F.col("far") == far) / CROWD_BLOCK).cast("int")
+        parts = left.groupBy("hub").agg(blocks(True).alias("m"), blocks(False).alias("k"))
+        far, m, k = F.col("far"), F.col("m"), F.col("k")
+        place = lambda n: F.pmod(F.xxhash64("cls"), F.greatest(n, F.lit(1))).cast("int")
+        left = left.join(parts, "hub").withColumn("x", F.when(far, place(m)).otherwise(m + place(k)))
+        left = left.withColumn("y", F.explode(F.sequence(F.lit(0), F.when(far, m + k).otherwise(m) - 1)))
+        left = left.where("x <> y OR m + k = 1")  # with several blocks, a block alone is part of its pairs
+        rows = rows.unionByName(left.select("cls", "hub", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")))
     rows, n = with_texts(rows, classes, docs, "crowds")
     place = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(max(1, n // (2 * SPOKES))))
-    return staged(rows.groupBy(place.alias("place")).applyInArrow(_crowds, "a long, b long"), "crowd-links")
+    found = staged(rows.groupBy(place.alias("place")).applyInArrow(_crowds(shared), "a long, b long"), "crowd-links")
+    return found if links is None else found.unionByName(links)
 
 
 def _within(t: pa.Table) -> pa.Table:
@@ -409,40 +455,50 @@ def _within(t: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
 
-def sets_and_classes(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (doc_id, n, cls), classes (cls, rep) and the commonest prefix shingles."""
+def sets_and_classes(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, DataFrame, frozenset[int]]:
+    """Rows (doc_id, n, cls), classes (cls, rep), the commonest prefix shingles, and
+    first halves of fingerprints that different sets share."""
     scanned = staged(docs.mapInArrow(_scan(buckets), SCAN), "sets")
     rows = scanned.where("kind = 0").select("doc_id", "n", "cls", "check")
-    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("check").alias("lo"), F.max("check").alias("hi"))
-    classes = staged(classes, "classes")
-    if not classes.where("lo <> hi").isEmpty():
-        raise ValueError("two different sets have one 64-bit class; choose other constants in fingerprint()")
+
+    def classes_of(rows: DataFrame) -> DataFrame:
+        sound = rows.where("n > 0 AND doc_id IS NOT NULL")
+        return staged(sound.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("check").alias("lo"), F.max("check").alias("hi")), "classes")
+
+    classes = classes_of(rows)
+    shared = frozenset(r[0] for r in classes.where("lo <> hi").select("cls").collect())  # of n sets about n * n / 2**65
+    if shared:
+        of = F.col("cls").isin(*shared)
+        rows = rows.select("doc_id", "n", F.when(of, F.col("check")).otherwise(F.col("cls")).alias("cls"), F.when(of, F.col("cls")).otherwise(F.col("check")).alias("check"))
+        classes = classes_of(rows)
+        if not classes.where("lo <> hi").isEmpty():
+            raise ValueError("two different sets share either half of their fingerprints; choose other constants in fingerprint()")
     common = scanned.where("kind = 1").groupBy("bucket").applyInArrow(_count, "token long, sets long")
     common = common.orderBy(F.desc("sets"), "token").limit(COMMON_KEPT)
-    return rows.drop("check"), classes.select("cls", "rep"), common
+    return rows.drop("check"), classes.select("cls", "rep"), common, shared
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     buckets = min(1 << 16, parts_for(docs, "text"))
-    rows, classes, common = sets_and_classes(docs, buckets)
+    rows, classes, common, shared = sets_and_classes(docs, buckets)
     late = np.sort(np.array([r[0] for r in common.select("token").collect()], np.int64))  # at most COMMON_KEPT
-    lists = docs.where("doc_id IS NOT NULL").mapInArrow(_index(buckets, late), INDEX)
+    lists = docs.where("doc_id IS NOT NULL").mapInArrow(_index(buckets, late, shared), INDEX)
     found = staged(lists.groupBy("bucket").applyInArrow(_lists, FOUND), "found")
     pairs = staged(found.where("a IS NOT NULL").groupBy("a", "b").agg(F.sum("shared").alias("shared")), "pairs")
 
     members = found.where("members IS NOT NULL").select(F.monotonically_increasing_id().alias("list"), "members", "places", "sizes")
     members = staged(members.mapInArrow(_explode, "list long, cls long, place long, n long"), "members")
     crowd = staged(crowds(members), "crowd")
-    in_crowds = crowd_links(crowd, classes, docs)
+    in_crowds = crowd_links(crowd, classes, docs, shared)
 
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
     best = both.groupBy("a").agg(F.max(F.struct("shared", F.col("b").alias("hub"))).alias("m")).select(F.col("a").alias("spoke"), F.col("m.hub").alias("hub"))
     best = best.join(crowd.select(F.col("cls").alias("spoke")), "spoke", "left_anti")
     once = ~((F.col("spoke") > F.col("hub")) & F.col("mutual").isNotNull())  # of two that chose each other, one
     best = best.join(best.select(F.col("hub").alias("spoke"), F.col("spoke").alias("hub"), F.lit(1).alias("mutual")), ["spoke", "hub"], "left").where(once).drop("mutual")
-    first = verify(staged(best, "best"), classes, docs, "first")
+    first = verify(staged(best, "best"), classes, docs, shared, "first")
     ok = similar(F.col("inter"), F.col("na"), F.col("nb"))
     links = first.where(ok).select("a", "b").unionByName(in_crowds)
     label = staged(components(links).select(F.col("node").alias("cls"), F.col("component").alias("label")), "label")
@@ -459,7 +515,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     deg = lambda c: degree.select(F.col("x").alias(c), F.col("count").alias(f"n_{c}"))
     a_hub = F.col("n_a") > F.col("n_b")
     turned = rest.join(deg("a"), "a").join(deg("b"), "b").select(F.when(a_hub, F.col("b")).otherwise(F.col("a")).alias("spoke"), F.when(a_hub, F.col("a")).otherwise(F.col("b")).alias("hub"))
-    second = verify(staged(turned, "turned"), classes, docs, "second")
+    second = verify(staged(turned, "turned"), classes, docs, shared, "second")
 
     links = links.unionByName(second.where(ok).select("a", "b"))
     rep = lambda c: classes.select(F.col("cls").alias(c), F.col("rep").alias(f"rep_{c}"))
