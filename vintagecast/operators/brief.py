@@ -7,7 +7,7 @@ residual filter.  Aggregations are keyed by (location, run[, part]).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagecast import config
@@ -188,8 +188,7 @@ def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules,
 
 def _past_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, days: int,
                snaps: DataFrame | None = None) -> DataFrame:
-    h = history_rows(hourly, runs, days)
-    return h.where(F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
+    return history_rows(hourly, runs, days, (rules.profile_first_hour, rules.profile_last_hour))
 
 
 def daypart_summary(rows: DataFrame, part_set: str) -> DataFrame:
@@ -214,63 +213,68 @@ def daypart_summary_yesterday(hourly: DataFrame, runs: DataFrame, rules: Rules =
 def compare_days(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
                  snaps: DataFrame | None = None) -> DataFrame:
     """Today vs yesterday per day part (set B); both days must exist (inner)."""
-    t = daypart_summary(_today_rows(hourly, runs, rules, snaps=snaps), "B").select(
-        KEY, "as_of_utc", "daypart", F.col("avg_temp_c").alias("today_temp"),
-        F.col("avg_wind_kmh").alias("today_wind"))
-    y = daypart_summary(_past_rows(hourly, runs, rules, 1), "B").select(
-        KEY, "as_of_utc", "daypart", F.col("avg_temp_c").alias("yday_temp"),
-        F.col("avg_wind_kmh").alias("yday_wind"))
-    j = t.join(y, [KEY, "as_of_utc", "daypart"])
-    return j.select(KEY, "as_of_utc", "daypart", "today_temp", "yday_temp",
+    g = _part_sums(*_day_frames(hourly, runs, rules, snaps, days=1)).where("_h0 IS NOT NULL AND _h1 IS NOT NULL")
+    mean = lambda m, b: _mean_of(F.col(f"_{m}_s{b}"), F.col(f"_{m}_c{b}"))
+    g = g.select(KEY, "as_of_utc", "daypart", mean("t", 0).alias("today_temp"), mean("t", 1).alias("yday_temp"),
+                 mean("w", 0).alias("today_wind"), mean("w", 1).alias("yday_wind"))
+    return g.select(KEY, "as_of_utc", "daypart", "today_temp", "yday_temp",
                     (F.col("today_temp") - F.col("yday_temp")).alias("delta_temp"),
                     "today_wind", "yday_wind", (F.col("today_wind") - F.col("yday_wind")).alias("delta_wind"))
 
 
 def _day_frames(hourly: DataFrame, runs: DataFrame, rules: Rules, snaps: DataFrame | None = None,
                 days: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(today's rows, earlier days' rows with ``back`` = days before today).
-    Built once per query and shared by the means and the part deltas."""
+    """(today's rows, earlier days' rows with ``back`` = days before today)."""
     today = _today_rows(hourly, runs, rules, snaps=snaps).select(
-        KEY, "as_of_utc", "run_date", "forecast_hour_local", "temperature_c", F.lit(0).alias("back"))
+        KEY, "as_of_utc", "run_date", "forecast_hour_local", "temperature_c", "wind_kmh", F.lit(0).alias("back"))
     past = _past_rows(hourly, runs, rules, days or rules.history_days).select(
-        KEY, "as_of_utc", "run_date", "forecast_hour_local", "temperature_c",
+        KEY, "as_of_utc", "run_date", "forecast_hour_local", "temperature_c", "wind_kmh",
         F.datediff("run_date", "forecast_date_local").alias("back"))
     return today, past
 
 
-def _means_of(today: DataFrame, past: DataFrame) -> DataFrame:
-    """One pass of conditional aggregation: today, yesterday, last-days means."""
-    u = today.unionByName(past)
-    t = F.col("temperature_c")
-    return u.groupBy(KEY, "as_of_utc", "run_date").agg(
-        exact_mean(F.when(F.col("back") == 0, t)).alias("today_avg_temp"),
-        exact_mean(F.when(F.col("back") == 1, t)).alias("yday_avg_temp"),
-        exact_mean(F.when(F.col("back") >= 1, t)).alias("last4_avg_temp"),
-        F.max(F.when(F.col("back") == 0, F.lit(1))).alias("_has_today"),
-        F.max(F.when(F.col("back") == 1, F.lit(1))).alias("_has_yday"))
-
-
-def _most_changed_of(today: DataFrame, past: DataFrame) -> DataFrame:
-    """Arg max of |today - yesterday| over day parts (set B); ties keep every
-    part (rank semantics); a part must exist on both days."""
-    u = today.unionByName(past.where(F.col("back") == 1)).withColumn(
-        "daypart", daypart_label(F.col("forecast_hour_local"), "B"))
-    t = F.col("temperature_c")
-    g = u.groupBy(KEY, "as_of_utc", "daypart").agg(
-        exact_mean(F.when(F.col("back") == 0, t)).alias("_t"), exact_mean(F.when(F.col("back") == 1, t)).alias("_y"),
-        F.max(F.when(F.col("back") == 0, 1)).alias("_ht"), F.max(F.when(F.col("back") == 1, 1)).alias("_hy"))
-    d = g.where(F.col("_ht").isNotNull() & F.col("_hy").isNotNull()).select(
-        KEY, "as_of_utc", "daypart", (F.col("_t") - F.col("_y")).alias("delta_temp"))
-    w = Window.partitionBy(KEY, "as_of_utc")
-    top = d.withColumn("_m", F.max(F.abs("delta_temp")).over(w)).where(F.abs("delta_temp") == F.col("_m"))
-    return top.select(KEY, "as_of_utc", F.col("daypart").alias("most_changed_daypart"),
-                      F.col("delta_temp").alias("max_daypart_delta"))
+def _mean_of(total: Column, count: Column) -> Column:
+    """``exact_mean`` from its decimal sum and count."""
+    return total.cast("double") / F.nullif(count, F.lit(0))
+
+
+def _part_sums(today: DataFrame, past: DataFrame) -> DataFrame:
+    """One aggregation for all day metrics: per (location, run, day part, set B)
+    sums and counts of temperature and wind, today (0), yesterday (1) and on all
+    earlier days (p), and whether today and yesterday have rows at all."""
+    u = today.unionByName(past).withColumn("daypart", daypart_label(F.col("forecast_hour_local"), "B"))
+    back = F.col("back")
+    aggs = []
+    for m, col in (("t", "temperature_c"), ("w", "wind_kmh")):
+        for name, on in (("0", back == 0), ("1", back == 1), ("p", back >= 1)):
+            x = F.when(on, F.col(col))
+            aggs += [F.sum(x.cast("decimal(38,9)")).alias(f"_{m}_s{name}"), F.count(x).alias(f"_{m}_c{name}")]
+    has = [F.max(F.when(back == b, F.lit(1))).alias(f"_h{b}") for b in (0, 1)]
+    return u.groupBy(KEY, "as_of_utc", "run_date", "daypart").agg(*aggs, *has)
+
+
+def _day_metrics(today: DataFrame, past: DataFrame) -> DataFrame:
+    """Per run the means of today, yesterday and the earlier days, and the day
+    part that changed most since yesterday (ties keep every part; a part must
+    exist on both days; without one the run has a row with NULL)."""
+    w = Window.partitionBy(KEY, "as_of_utc")   # the four day parts of a run
+    mean = lambda b: _mean_of(F.sum(f"_t_s{b}").over(w), F.sum(f"_t_c{b}").over(w))
+    both = F.col("_h0").isNotNull() & F.col("_h1").isNotNull()
+    delta = F.when(both, _mean_of(F.col("_t_s0"), F.col("_t_c0")) - _mean_of(F.col("_t_s1"), F.col("_t_c1")))
+    g = _part_sums(today, past).withColumn("_delta", delta).select(
+        KEY, "as_of_utc", "run_date", "daypart", "_delta", mean(0).alias("today_avg_temp"), mean(1).alias("yday_avg_temp"),
+        mean("p").alias("last4_avg_temp"), F.max("_h0").over(w).alias("_has_today"), F.max("_h1").over(w).alias("_has_yday"),
+        F.max(F.abs("_delta")).over(w).alias("_most"), F.row_number().over(w.orderBy("daypart")).alias("_n"))
+    top = F.abs("_delta") == F.col("_most")
+    g = g.where(top | (F.col("_most").isNull() & (F.col("_n") == 1)))
+    return g.withColumn("most_changed_daypart", F.when(top, F.col("daypart"))).withColumn("max_daypart_delta", F.when(top, F.col("_delta")))
 
 
 def most_changed_daypart(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
                          snaps: DataFrame | None = None) -> DataFrame:
     """Day part whose mean temperature moved most since yesterday, per run."""
-    return _most_changed_of(*_day_frames(hourly, runs, rules, snaps, days=1))
+    m = _day_metrics(*_day_frames(hourly, runs, rules, snaps, days=1))
+    return m.where("_most IS NOT NULL").select(KEY, "as_of_utc", "most_changed_daypart", "max_daypart_delta")
 
 
 def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
@@ -279,10 +283,8 @@ def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
 
     "Today" is the run's local date; earlier days come from the newest
     snapshot at or before the run that has each hour."""
-    today, past = _day_frames(hourly, runs, rules, snaps)
-    m = _means_of(today, past).where(F.col("_has_today").isNotNull())
-    j = m.join(_most_changed_of(today, past), [KEY, "as_of_utc"], "left")
-    return j.select(KEY, F.col("run_date").alias("today_date"), "today_avg_temp", "yday_avg_temp",
+    m = _day_metrics(*_day_frames(hourly, runs, rules, snaps)).where(F.col("_has_today").isNotNull())
+    return m.select(KEY, F.col("run_date").alias("today_date"), "today_avg_temp", "yday_avg_temp",
                     (F.col("today_avg_temp") - F.col("yday_avg_temp")).alias("delta_vs_yesterday"),
                     "last4_avg_temp", (F.col("today_avg_temp") - F.col("last4_avg_temp")).alias("delta_vs_last4days"),
                     "most_changed_daypart", "max_daypart_delta")
@@ -290,7 +292,9 @@ def brief_metrics(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
 
 def last4_avg(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
               snaps: DataFrame | None = None) -> DataFrame:
-    m = _means_of(*_day_frames(hourly, runs, rules, snaps))
+    today, past = _day_frames(hourly, runs, rules, snaps)
+    earlier = F.when(F.col("back") >= 1, F.col("temperature_c"))
+    m = today.unionByName(past).groupBy(KEY, "as_of_utc", "run_date").agg(exact_mean(earlier).alias("last4_avg_temp"))
     return m.select(KEY, F.col("run_date").alias("today_date"), "last4_avg_temp")
 
 
@@ -298,10 +302,8 @@ def daily_headline(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES,
                    snaps: DataFrame | None = None) -> DataFrame:
     """As ``brief_metrics`` with inner-join semantics: yesterday and a changed
     part must exist."""
-    today, past = _day_frames(hourly, runs, rules, snaps)
-    m = _means_of(today, past).where(F.col("_has_today").isNotNull() & F.col("_has_yday").isNotNull())
-    j = m.join(_most_changed_of(today, past), [KEY, "as_of_utc"])
-    return j.select(KEY, "today_avg_temp", "yday_avg_temp",
+    m = _day_metrics(*_day_frames(hourly, runs, rules, snaps)).where("_has_today IS NOT NULL AND _has_yday IS NOT NULL AND _most IS NOT NULL")
+    return m.select(KEY, "today_avg_temp", "yday_avg_temp",
                     (F.col("today_avg_temp") - F.col("yday_avg_temp")).alias("delta_avg_temp"),
                     "most_changed_daypart", "max_daypart_delta")
 

@@ -173,29 +173,39 @@ def forecast_history(hourly: DataFrame) -> DataFrame:
                     *[F.col("b." + m).alias(m) for m in measures])
 
 
-def history_rows(hourly: DataFrame, runs: DataFrame, days_back: int) -> DataFrame:
+def history_rows(hourly: DataFrame, runs: DataFrame, days_back: int, hours: tuple[int, int] = (0, 23),
+                 step: str = "1 hour") -> DataFrame:
     """Per run, the forecast hours of the ``days_back`` local days before the
-    run's local date, each from the newest snapshot at or before ``as_of``
-    that has it.
-
-    No (run x row) pairs: the hours wanted by each run come from the hour
-    grid of those dates (one probe per run and hour, the size of the output);
-    the newest snapshot per probe is an as-of lookup keyed by
-    (location, forecast hour) over the snapshots that carry that hour; the
-    measures come back by an equi join on (location, forecast hour, snapshot).
+    run's local date (from ``hours[0]`` to ``hours[1]``), each from the newest
+    snapshot at or before ``as_of`` that has it (all its rows of that hour).
+
+    One read of ``hourly``, bound to the dates the runs ask for, and one
+    exchange by (location, forecast time): every version of an hour and every
+    run that asks for it meet there in time order, and a run takes the version
+    that is valid then, measures and all.  ``step`` is the grid of the forecast
+    times.
     """
     from vintagecast.functions.columns import to_local
-    from vintagecast.operators.asof import asof_last_time
     measures = ["temperature_c", "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct"]
+    carried = [SNAP, "forecast_date_local", "forecast_hour_local", *measures]
     r = runs.select(KEY, "as_of_utc", F.to_date(to_local("as_of_utc", F.col("timezone"))).alias("run_date"))
-    r = r.select(KEY, "as_of_utc", "run_date", F.explode(F.sequence(F.lit(1), F.lit(days_back))).alias("back"))
-    r = r.select(KEY, "as_of_utc", "run_date", F.date_sub("run_date", F.col("back")).alias("forecast_date_local"))
-    grid = hourly.select(KEY, "forecast_date_local", "forecast_time_local").distinct()
-    probes = r.join(grid, [KEY, "forecast_date_local"])
-    carriers = hourly.select(KEY, "forecast_time_local", SNAP)
-    picked = asof_last_time(probes, carriers, [KEY, "forecast_time_local"], "as_of_utc", SNAP, SNAP)
-    picked = picked.where(F.col(SNAP).isNotNull())
-    h = hourly.select(KEY, "forecast_time_local", SNAP, "forecast_hour_local", *measures)
-    j = picked.join(h, [KEY, "forecast_time_local", SNAP])
-    return j.select(KEY, "as_of_utc", "run_date", "forecast_date_local", "forecast_time_local", SNAP,
-                    "forecast_hour_local", *measures)
+    r = r.select("*", F.explode(F.sequence(F.date_sub("run_date", days_back), F.date_sub("run_date", 1))).alias("_day"))
+    days = r.select(KEY, F.col("_day").alias("forecast_date_local")).distinct()
+    start = F.col("_day").cast("timestamp_ntz")
+    first, last = (start + F.make_dt_interval(hours=F.lit(h), secs=F.lit(s)) for h, s in ((hours[0], 0), (hours[1] + 1, -1)))
+    row = F.struct(*carried)
+    kind = hourly.select(row.alias("r")).schema["r"].dataType.simpleString()
+    asked = r.select(KEY, F.explode(F.sequence(first, last, F.expr(f"INTERVAL {step}"))).alias("forecast_time_local"),
+                     F.col("as_of_utc").alias("_t"), F.lit(1).alias("_k"), "run_date", F.lit(None).cast(kind).alias("_row"))
+    h = hourly.where(F.col("forecast_hour_local").between(*hours)).join(days, [KEY, "forecast_date_local"], "left_semi")
+    held = h.select(KEY, "forecast_time_local", F.col(SNAP).alias("_t"), F.lit(0).alias("_k"),
+                    F.lit(None).cast("date").alias("run_date"), row.alias("_row"))
+    # versions of one forecast time: as many as snapshots reach it (the horizon bounds them)
+    w = Window.partitionBy(KEY, "forecast_time_local").orderBy("_t", "_k")
+    peers = F.collect_list("_row").over(w.rangeBetween(Window.currentRow, Window.currentRow))
+    u = asked.unionByName(held).withColumn("_rows", F.when(F.col("_k") == 0, peers))
+    u = u.withColumn("_rows", F.last("_rows", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    u = u.where((F.col("_k") == 1) & F.col("_rows").isNotNull())
+    out = u.select(KEY, F.col("_t").alias("as_of_utc"), "run_date", "forecast_time_local", F.explode("_rows").alias("_r"))
+    return out.select(KEY, "as_of_utc", "run_date", "_r.forecast_date_local", "forecast_time_local", "_r." + SNAP,
+                      "_r.forecast_hour_local", *["_r." + m for m in measures])

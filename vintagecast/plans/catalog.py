@@ -382,7 +382,7 @@ def q_expected_hours(spark, sf):
 @query("missing_hours")
 def q_missing_hours(spark, sf):
     s = health.snapshots_of_day(_registry(spark, sf), _zone())
-    return health.missing_hours(health.expected_hours(health.day_spine(s)), health.dedup_hours(s))
+    return health.missing_hours(health.day_rows(s))
 
 
 @query("hash_changes")
@@ -400,8 +400,7 @@ def q_change_rate(spark, sf):
 @query("missing_hours_list")
 def q_missing_list(spark, sf):
     s = health.snapshots_of_day(_registry(spark, sf), _zone())
-    miss = health.missing_hours(health.expected_hours(health.day_spine(s)), health.dedup_hours(s))
-    return health.missing_hours_list(miss)
+    return health.missing_hours_list(health.day_rows(s))
 
 
 @query("snapshot_health")
