@@ -64,3 +64,13 @@ SNAPSHOT_HEALTH = T.StructType([
     T.StructField("change_rate_pct_today", T.DoubleType()),
     T.StructField("missing_hour_count_06_19", T.LongType()), T.StructField("missing_hours_list", T.StringType()),
 ])
+
+#: What ``normalize_hourly`` gives; stored by snapshot date.
+SNAPSHOTS_HOURLY = T.StructType([
+    *(T.StructField(n, t) for n, t in (
+        ("location_name", T.StringType()), ("snapshot_time_utc", T.TimestampNTZType()), ("timezone", T.StringType()),
+        ("idx", T.LongType()), ("forecast_time_local", T.TimestampNTZType()), ("forecast_date_local", T.DateType()),
+        ("forecast_hour_local", T.LongType()))),
+    *(T.StructField(n, T.DoubleType()) for n in (
+        "temperature_c", "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct")),
+])
