@@ -39,15 +39,18 @@ _ALPHABET = _byte_chars()
 
 class _Kept(dict):
     """Ids (as bytes) by piece; a piece not here comes from the generation
-    before or is encoded now."""
+    before or is encoded now, ASCII letters by the model at once."""
 
-    def __init__(self, encode, before: dict):
-        self.encode, self.before = encode, before
+    def __init__(self, encode, tokens, before: dict):
+        self.encode, self.tokens, self.before = encode, tokens, before
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.before.get(piece)
         if ids is None:
-            ids = self.encode(piece)
+            if piece.isalpha() and piece.isascii():
+                ids = array("I", [t.id for t in self.tokens(piece)]).tobytes()
+            else:
+                ids = self.encode(piece)
         if len(piece) <= LONGEST:
             self[piece] = ids
         return ids
@@ -79,8 +82,12 @@ class WordEncoder:
 
     def _fresh(self, led: dict, bare: dict) -> None:
         #: Pieces after a blank; pieces at the start of a text or line.
-        self.led = _Kept(lambda p: self._piece(p, self.lead), led)
-        self.bare = _Kept(lambda p: self._piece(p, ""), bare) if self.lead else self.led
+        tokens, blank = self.tokens, _ALPHABET[0x20]
+        if self.lead:
+            self.led = _Kept(lambda p: self._piece(p, " "), lambda p: tokens(blank + p), led)
+            self.bare = _Kept(lambda p: self._piece(p, ""), tokens, bare)
+        else:
+            self.led = self.bare = _Kept(lambda p: self._piece(p, ""), lambda p: tokens(p.lower()), led)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
