@@ -643,8 +643,8 @@ def q_stream_hour_counts(spark, sf):
     reg = fx.registry_with_copies(spark, sf)
     src = streams.table_stream(spark, _landed(reg, base), reg.schema)
     out = os.path.join(base, "out")
-    streams.run_complete_to_parquet(streams.stream_hour_counts(src), out, os.path.join(base, "ckpt"))
-    return spark.read.parquet(out)
+    streams.run_updates_to_parquet(streams.stream_hour_counts(src), out, os.path.join(base, "ckpt"))
+    return streams.newest_updates(spark, out, ["location_name", "hour_start_utc"])
 
 
 @query("stream_change")

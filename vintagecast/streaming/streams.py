@@ -65,11 +65,22 @@ def run_to_parquet(df: DataFrame, out: str, checkpoint: str):
     return run_available(df.writeStream.format("parquet").option("path", out), checkpoint)
 
 
-def run_complete_to_parquet(df: DataFrame, out: str, checkpoint: str):
-    """Complete-mode aggregate: each micro-batch rewrites the result folder."""
+def run_updates_to_parquet(df: DataFrame, out: str, checkpoint: str):
+    """Update-mode aggregate: micro-batch n writes the rows it changed to
+    ``batch=n`` of the folder, so a replayed batch rewrites its own rows and no
+    batch rewrites another's.  State behind the watermark is dropped.
+    ``newest_updates`` reads the result."""
     def batch(b: DataFrame, batch_id: int) -> None:
-        b.write.mode("overwrite").parquet(out)
-    return run_available(df.writeStream.outputMode("complete").foreachBatch(batch), checkpoint)
+        b.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    return run_available(df.writeStream.outputMode("update").foreachBatch(batch), checkpoint)
+
+
+def newest_updates(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """Of every key the row of its newest micro-batch (partial aggregation, no sort)."""
+    t = spark.read.parquet(out)
+    rest = [c for c in t.columns if c not in (*keys, "batch")]
+    newest = F.max_by(F.struct(*rest), "batch").alias("_r")
+    return t.groupBy(*keys).agg(newest).select(*keys, "_r.*")
 
 
 # ------------------------------------------------------------------ stream_ingest
@@ -109,7 +120,9 @@ def stream_dedup(rows: DataFrame, out: str, checkpoint: str):
 # ------------------------------------------------------------------ stream_hour_counts
 def stream_hour_counts(registry_rows: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Snapshots and min hash per (location, hour): tumbling 1-hour windows;
-    late rows count until the watermark passes their hour."""
+    late rows count until the micro-batch after the one whose rows take the
+    watermark past the end of their hour; that micro-batch also drops the hour's
+    state (``run_updates_to_parquet``)."""
     g = (registry_rows.withColumn("_event", event_time(SNAP)).withWatermark("_event", delay)
          .groupBy(KEY, F.window("_event", "1 hour").alias("w"))
          .agg(F.count(F.lit(1)).alias("n_snapshots"), F.min("content_hash").alias("content_hash")))
