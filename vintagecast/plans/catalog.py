@@ -327,7 +327,9 @@ def _log(spark, sf):
 @query("last_sent")
 def q_last_sent(spark, sf):
     log = _log(spark, sf)
-    return log.groupBy("location_name", "alert_type").agg(F.max("sent_time_utc").alias("last_sent_time_utc"))
+    rain, wind = (gating.last_sent(log, t).withColumn("alert_type", F.lit(t))
+                  for t in (config.RAIN_ALERT_TYPE, config.WIND_ALERT_TYPE))
+    return rain.unionByName(wind)
 
 
 def _gated(spark, sf):
