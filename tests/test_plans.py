@@ -12,7 +12,8 @@ from vintagecast.plans import catalog
 
 # these run streaming queries or write files while being built
 SIDE_EFFECT_KEYS = {"read_envelopes", "newest_file", "stream_ingest", "stream_dedup", "stream_hour_counts",
-                    "stream_change", "stream_cooldown", "append_alert_log", "append_brief_log", "append_health",
+                    "stream_change", "stream_change_by_snapshot", "stream_cooldown", "stream_alert", "stream_brief_once",
+                    "append_alert_log", "append_brief_log", "append_health",
                     "rebuild_table", "create_if_missing"}
 KEYS = sorted(k for k in catalog.QUERIES if k not in SIDE_EFFECT_KEYS)
 TOP_K = ["latest_two_orders", "latest_two_snapshots", "cloud_range", "rows_per_snapshot_newest",

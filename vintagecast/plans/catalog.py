@@ -72,9 +72,16 @@ def q_read_envelopes(spark, sf):
 
 @query("newest_file")
 def q_newest_file(spark, sf):
-    text = _renamed_envelopes(spark, sf)
-    return envelopes.newest_file(text).select(
-        F.lit(True).alias("found"), F.col("file_modification_time").isNotNull().alias("has_mtime"))
+    text = fx.envelope_text(_h(spark, sf))
+    last = text.agg(F.max("raw_file")).first()[0]
+    out = os.path.join(ensure_checkpoint_dir(spark), f"envelopes-{uuid.uuid4().hex}")
+    for part in (text.where(F.col("raw_file") != last), text.where(F.col("raw_file") == last)):  # the last is the newest
+        part.repartition("raw_file").write.mode("append").partitionBy("raw_file").option(
+            "compression", "none").text(out)
+    newest = envelopes.read_newest_file(spark, out, glob="*.txt")
+    raw = envelopes.envelope_project(newest, spark.conf.get("spark.sql.session.timeZone"))
+    return raw.select("location_name", "snapshot_time_utc",
+                      F.regexp_extract("raw_file", "raw_file=([^/]+)/", 1).alias("raw_file"))
 
 
 @query("envelope_project")
@@ -105,7 +112,11 @@ def q_load_once(spark, sf):
 
 @query("registry_append")
 def q_registry_append(spark, sf):
-    raw = fx.raw_snapshots(_h(spark, sf))
+    configure(spark)
+    raw = fx.events(spark, sf).select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("location_name"),
+        F.col("ts").alias("snapshot_time_utc"), F.concat(F.lit("f"), F.col("event_id").cast("string")).alias("raw_file"),
+        F.col("props").alias("payload_json"))
     return envelopes.registry_rows(raw, F.lit(FIXED_INSERT_TIME).cast("timestamp_ntz"))
 
 
@@ -354,6 +365,29 @@ def q_alert_outbox(spark, sf):
     return gating.outbox(alerts.decisions(h, r), _log(spark, sf))
 
 
+def _feed(spark, sf):
+    """F7 as normalised rows, with a run at each snapshot."""
+    configure(spark)
+    h = normalize.normalize_hourly(fx.raw_snapshots(fx.feed(spark, sf)))
+    return h, fx.runs(h, (0,))
+
+
+@query("alert_feed")
+def q_alert_feed(spark, sf):
+    return alerts.decisions(*_feed(spark, sf))
+
+
+@query("alert_feed_outbox")
+def q_alert_feed_outbox(spark, sf):
+    from vintagecast.schemas import ALERT_LOG
+    return gating.outbox(alerts.decisions(*_feed(spark, sf)), spark.createDataFrame([], ALERT_LOG))
+
+
+@query("brief_feed")
+def q_brief_feed(spark, sf):
+    return brief.brief_final(*_feed(spark, sf))
+
+
 @query("cooldown_replay")
 def q_cooldown_replay(spark, sf):
     configure(spark)
@@ -672,6 +706,51 @@ def q_stream_cooldown(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("stream_change_by_snapshot")
+def q_stream_change_by_snapshot(spark, sf):
+    from vintagecast.streaming import streams
+    base = _stream_base(spark, "change-late")
+    reg = _registry(spark, sf)
+    path, out = os.path.join(base, "in"), os.path.join(base, "out")
+    odd = F.pmod(F.xxhash64("raw_file"), F.lit(2)) == 1
+    for part in (reg.where(odd), reg.where(~odd)):      # every second file comes late
+        part.write.mode("append").parquet(path)
+        src = streams.table_stream(spark, path, reg.schema)
+        streams.stream_change_by_snapshot(src, out, os.path.join(base, "ckpt"))
+    return streams.newest_updates(spark, out, ["raw_file"])
+
+
+def _forecast_chain(spark: SparkSession, sf: str, name: str) -> str:
+    """F7 landed in three parts in time order, the job run after each; the folder of its tables."""
+    from vintagecast.schemas import RAW_SNAPSHOTS
+    from vintagecast.streaming import streams
+    base = _stream_base(spark, name)
+    raw = fx.raw_snapshots(fx.feed(spark, sf)).select(*RAW_SNAPSHOTS.fieldNames())
+    path = os.path.join(base, "in")
+    third = F.least(F.expr(f"timestampdiff(HOUR, TIMESTAMP_NTZ'{fx.FEED_START}', snapshot_time_utc) div 60"), F.lit(2))
+    for i in range(3):
+        raw.where(third == i).write.mode("append").parquet(path)
+        src = streams.table_stream(spark, path, RAW_SNAPSHOTS)
+        streams.stream_forecasts(src, base, os.path.join(base, "ckpt"))
+    return base
+
+
+@query("stream_alert")
+def q_stream_alert(spark, sf):
+    from vintagecast.schemas import ALERT_LOG
+    from vintagecast.sources import tables
+    log = os.path.join(_forecast_chain(spark, sf, "alert"), "alert_log")
+    return tables.read_table(spark, log, ALERT_LOG).select(*ALERT_LOG.fieldNames())
+
+
+@query("stream_brief_once")
+def q_stream_brief_once(spark, sf):
+    from vintagecast.schemas import BRIEF_LOG
+    from vintagecast.sources import tables
+    log = os.path.join(_forecast_chain(spark, sf, "brief"), "brief_log")
+    return tables.read_table(spark, log, BRIEF_LOG).select(*BRIEF_LOG.fieldNames())
+
+
 # ------------------------------------------------------------------ sinks
 # Each writes in two appends to a fresh table in the shared folder and reads it back.
 def _halves(df: DataFrame, key: str) -> list[DataFrame]:

@@ -80,12 +80,49 @@ hourly AS (
 )"""
 
 
+# several snapshots a day in four zones, already normalised (wind and cloud cuts of F4)
+FEED = f"""
+f7_pick AS (
+  SELECT user_id, CAST(date_diff('second', TIMESTAMP '2024-01-01', ts) // 14400 AS BIGINT) AS h, min(event_id) AS eid
+  FROM events GROUP BY 1, 2
+),
+f7_hours AS (
+  SELECT {LOC} AS location_name, TIMESTAMP '2024-03-28' + to_hours(h) AS snapshot_time_utc,
+         CASE user_id % 4 WHEN 0 THEN 'UTC' WHEN 1 THEN 'Europe/Prague' WHEN 2 THEN 'America/New_York'
+              ELSE 'Asia/Kolkata' END AS timezone, eid, i AS idx, eid + (i // 6) * 7 AS e
+  FROM f7_pick, (SELECT unnest(range(24)) AS i) hours
+),
+f7_local AS (
+  SELECT *, date_trunc('hour', timezone(timezone, timezone('UTC', snapshot_time_utc + to_hours(idx))))
+              AS forecast_time_local,
+         CASE WHEN e % 17 = 0 THEN NULL ELSE CAST((e * 7) % 400 AS DOUBLE) / 10 - 5 END AS temperature_c
+  FROM f7_hours
+),
+hourly AS (
+  SELECT location_name, snapshot_time_utc, timezone, idx, forecast_time_local,
+         CAST(forecast_time_local AS DATE) AS forecast_date_local,
+         CAST(extract(hour FROM forecast_time_local) AS BIGINT) AS forecast_hour_local, temperature_c,
+         temperature_c - CAST(e % 6 AS DOUBLE) / 2 AS feels_like_c,
+         CASE WHEN e % 23 = 0 THEN NULL WHEN e % 5 = 0 THEN CAST((eid * 11) % 50 + idx % 3 AS DOUBLE) / 100
+              ELSE CAST(0 AS DOUBLE) END AS precipitation_mm,
+         CASE WHEN e % 29 = 0 OR (extract(day FROM snapshot_time_utc) % 7 = 0 AND idx >= 21) THEN NULL
+              ELSE CAST((eid * 11) % 50 + idx % 3 AS DOUBLE) END AS wind_kmh,
+         CASE WHEN extract(day FROM snapshot_time_utc) <= 5 THEN NULL ELSE CAST((e * 13) % 101 AS DOUBLE) END
+              AS cloudcover_pct
+  FROM f7_local
+)"""
+
+LOCAL_RUN = "timezone(h.timezone, timezone('UTC', {0}.as_of_utc))"   # a run on its location's clock
+
 SNAPS = """
 snaps AS (SELECT DISTINCT location_name, snapshot_time_utc, timezone FROM hourly)"""
 
 RUNS = SNAPS + """,
 runs AS (SELECT location_name, timezone, snapshot_time_utc + INTERVAL 6 HOUR AS as_of_utc FROM snaps)"""
 
+FEED_RUNS = SNAPS + """,
+runs AS (SELECT location_name, timezone, snapshot_time_utc AS as_of_utc FROM snaps)"""
+
 DIGEST_RUNS = SNAPS + """,
 runs AS (
   SELECT location_name, timezone, snapshot_time_utc + INTERVAL 6 HOUR AS as_of_utc FROM snaps
@@ -230,12 +267,12 @@ HW = hourly_cte()
 
 
 # ------------------------------------------------------------------ alerts SQL
-def _decisions(base: str) -> str:
-    return base + VIS + """,
+def _decisions(base: str, now: str = "v.as_of_utc") -> str:
+    return base + VIS + f""",
 hz AS (
   SELECT v.location_name, v.as_of_utc, v.rn, v.snapshot_time_utc, h.precipitation_mm, h.wind_kmh
   FROM vis v JOIN hourly h ON h.location_name = v.location_name AND h.snapshot_time_utc = v.snapshot_time_utc
-  WHERE h.forecast_time_local >= v.as_of_utc AND h.forecast_time_local < v.as_of_utc + INTERVAL 6 HOUR
+  WHERE h.forecast_time_local >= {now} AND h.forecast_time_local < {now} + INTERVAL 6 HOUR
 ),
 flags AS (
   SELECT location_name, as_of_utc, rn, snapshot_time_utc,
@@ -289,22 +326,52 @@ def _gated_q(flag, cols, a_type):
     return w(H, _decisions(RUNS), ALERT_LOG) + _gated(flag, cols, a_type)
 
 
+WIND_TEXT = """CASE WHEN current_max_wind_next6h IS NULL THEN 'ALERT: Wind spike expected in next 6 hours.'
+            ELSE 'ALERT: Wind spike expected (max ~' || CAST(CAST(round_even(current_max_wind_next6h, 0) AS BIGINT)
+                 AS VARCHAR) || ' km/h in next 6h).' END"""
+
+# decisions of the feed gated by their own sends: from each send on to the next decision at least 2 hours later
+FEED_SENDS = w(FEED, _decisions(FEED_RUNS, LOCAL_RUN.format("v"))).replace("WITH", "WITH RECURSIVE", 1) + """,
+fired AS (
+  SELECT location_name, run_time_utc AS t, current_snapshot_utc AS snapshot_time_utc, 'rain_next6h' AS alert_type,
+         'ALERT: Rain expected in next 6 hours.' AS message
+  FROM dec WHERE should_alert_rain_next6h
+  UNION ALL
+  SELECT location_name, run_time_utc, current_snapshot_utc, 'wind_next6h', """ + WIND_TEXT + """
+  FROM dec WHERE should_alert_wind_next6h
+),
+step AS (
+  SELECT a.location_name, a.alert_type, a.t, min(b.t) AS t_next
+  FROM fired a JOIN fired b ON b.location_name = a.location_name AND b.alert_type = a.alert_type
+       AND b.t >= a.t + INTERVAL 2 HOUR
+  GROUP BY 1, 2, 3
+),
+sends(location_name, alert_type, t) AS (
+  SELECT location_name, alert_type, min(t) FROM fired GROUP BY 1, 2
+  UNION ALL
+  SELECT s.location_name, s.alert_type, n.t_next
+  FROM sends s JOIN step n ON n.location_name = s.location_name AND n.alert_type = s.alert_type AND n.t = s.t
+)
+SELECT f.t AS sent_time_utc, f.alert_type, f.snapshot_time_utc, f.message, f.location_name
+FROM fired f JOIN sends s ON s.location_name = f.location_name AND s.alert_type = f.alert_type AND s.t = f.t"""
+
+
 # ------------------------------------------------------------------ digest SQL
-def _v2_rows(base: str) -> str:
-    return base + VIS + """,
+def _v2_rows(base: str, now: str = "c.as_of_utc") -> str:
+    return base + VIS + f""",
 v2_rows AS (
   SELECT c.location_name, c.as_of_utc, c.snapshot_time_utc, h.forecast_time_local, h.forecast_hour_local,
          h.temperature_c, h.feels_like_c, h.precipitation_mm, h.wind_kmh, h.cloudcover_pct
   FROM cur c JOIN hourly h ON h.location_name = c.location_name AND h.snapshot_time_utc = c.snapshot_time_utc
-  WHERE h.forecast_time_local >= date_trunc('hour', c.as_of_utc)
-    AND h.forecast_time_local < date_trunc('hour', c.as_of_utc) + INTERVAL 12 HOUR
+  WHERE h.forecast_time_local >= date_trunc('hour', {now})
+    AND h.forecast_time_local < date_trunc('hour', {now}) + INTERVAL 12 HOUR
 ),
 band_rows AS (
   SELECT c.location_name, c.as_of_utc, c.snapshot_time_utc, h.forecast_time_local, h.forecast_hour_local,
          h.temperature_c, h.precipitation_mm
   FROM cur c JOIN hourly h ON h.location_name = c.location_name AND h.snapshot_time_utc = c.snapshot_time_utc
-  WHERE h.forecast_time_local >= date_trunc('day', c.as_of_utc) + INTERVAL 6 HOUR
-    AND h.forecast_time_local < date_trunc('day', c.as_of_utc) + INTERVAL 24 HOUR
+  WHERE h.forecast_time_local >= date_trunc('day', {now}) + INTERVAL 6 HOUR
+    AND h.forecast_time_local < date_trunc('day', {now}) + INTERVAL 24 HOUR
 ),
 v2 AS (
   SELECT location_name, as_of_utc AS run_time_utc, snapshot_time_utc,
@@ -357,6 +424,19 @@ final AS (
 )"""
 
 
+BRIEF_TEXT = """concat_ws(chr(10),
+         'Morning brief (' || location_name || '): ' ||
+           CASE WHEN avg_temp_c_12h IS NOT NULL AND avg_feels_like_c_12h IS NOT NULL
+                THEN CAST(avg_temp_c_12h AS VARCHAR) || '°C (feels like ' || CAST(avg_feels_like_c_12h AS VARCHAR) || '°C)'
+                WHEN avg_temp_c_12h IS NOT NULL THEN CAST(avg_temp_c_12h AS VARCHAR) || '°C'
+                ELSE '(temperature unavailable)' END,
+         'Sky: ' || coalesce(nullif(trim(sky_text), ''), 'unknown'),
+         CASE WHEN rain_possible THEN 'Rain: possible' END,
+         CASE WHEN max_wind_kmh_12h >= 25
+              THEN 'Wind: up to ' || CAST(CAST(round_even(max_wind_kmh_12h, 0) AS BIGINT) AS VARCHAR) || ' km/h' END,
+         CASE WHEN length(trim(dayparts_line)) > 0 THEN 'Dayparts: ' || trim(dayparts_line) END)"""
+
+
 # day metrics: today from the current snapshot; earlier days from the newest
 # snapshot at or before the run that has the hour
 def _days(base: str, days_back: int) -> str:
@@ -460,6 +540,14 @@ def oracle_sql() -> dict[str, str]:
 SELECT snapshot_time_utc, location_name, latitude, longitude, timezone, source, endpoint, n_hours FROM raw"""
     q["envelope_project"] = w(H) + RAW + """
 SELECT snapshot_time_utc, location_name, latitude, longitude, timezone, source, endpoint, raw_file FROM raw"""
+    q["newest_file"] = w(H) + RAW + """
+SELECT location_name, snapshot_time_utc, raw_file FROM raw WHERE raw_file = (SELECT max(raw_file) FROM raw)"""
+    q["registry_append"] = """
+SELECT 'u' || CAST(user_id AS VARCHAR) AS location_name, ts AS snapshot_time_utc,
+       'f' || CAST(event_id AS VARCHAR) AS raw_file,
+       sha256(CAST(json_object('k', CAST(json_extract_string(props, '$.k') AS INTEGER)) AS VARCHAR)) AS content_hash,
+       TIMESTAMP '2024-02-01' AS inserted_at_utc
+FROM events"""
     q["dedup_raw"] = w(REGISTRY_COPIES) + """
 SELECT location_name, snapshot_time_utc, raw_file, content_hash, inserted_at_utc FROM (
   SELECT *, row_number() OVER (PARTITION BY raw_file ORDER BY snapshot_time_utc) AS rn FROM registry_copies) x
@@ -536,11 +624,11 @@ WHERE k = 1"""
     q["horizon_exact"] = _cur_join(
         "h.forecast_time_local >= c.as_of_utc AND h.forecast_time_local < c.as_of_utc + INTERVAL 6 HOUR")
     q["horizon_hour_aligned"] = _cur_join(
-        "h.forecast_time_local >= date_trunc('hour', c.as_of_utc) "
-        "AND h.forecast_time_local < date_trunc('hour', c.as_of_utc) + INTERVAL 12 HOUR")
+        "h.forecast_time_local >= date_trunc('hour', {now}) "
+        "AND h.forecast_time_local < date_trunc('hour', {now}) + INTERVAL 12 HOUR")
     q["today_band"] = _cur_join(
-        "h.forecast_time_local >= date_trunc('day', c.as_of_utc) + INTERVAL 6 HOUR "
-        "AND h.forecast_time_local < date_trunc('day', c.as_of_utc) + INTERVAL 24 HOUR")
+        "h.forecast_time_local >= date_trunc('day', {now}) + INTERVAL 6 HOUR "
+        "AND h.forecast_time_local < date_trunc('day', {now}) + INTERVAL 24 HOUR")
     q["hour_band"] = w(H) + "\nSELECT * FROM hourly WHERE forecast_hour_local BETWEEN 6 AND 23"
     q["calendar_day_filter"] = w(H, RUNS + VIS) + """
 SELECT c.location_name, c.as_of_utc, c.snapshot_time_utc, h.forecast_time_local,
@@ -583,11 +671,11 @@ SELECT run_time_utc AS sent_time_utc, 'rain_next6h' AS alert_type, current_snaps
 FROM rg WHERE should_send_after_gating
 UNION ALL
 SELECT run_time_utc, 'wind_next6h', current_snapshot_utc,
-       CASE WHEN current_max_wind_next6h IS NULL THEN 'ALERT: Wind spike expected in next 6 hours.'
-            ELSE 'ALERT: Wind spike expected (max ~' || CAST(CAST(round_even(current_max_wind_next6h, 0) AS BIGINT)
-                 AS VARCHAR) || ' km/h in next 6h).' END,
+       """ + WIND_TEXT + """,
        location_name
 FROM wg WHERE should_send_after_gating""")
+    q["alert_feed"] = w(FEED, _decisions(FEED_RUNS, LOCAL_RUN.format("v"))) + f"\nSELECT {all_cols} FROM dec"
+    q["alert_feed_outbox"] = FEED_SENDS
     q["cooldown_replay"] = """
 WITH RECURSIVE d AS (
   SELECT 'u' || CAST(user_id AS VARCHAR) AS location_name, event_type AS alert_type, ts AS decision_time_utc,
@@ -651,6 +739,18 @@ FROM parts12 GROUP BY 1, 2, 3"""
     q["dayparts_meta"] = w(H, _v2_rows(RUNS)) + """
 SELECT location_name, as_of_utc AS run_time_utc, snapshot_time_utc, rainy_parts, total_parts FROM meta"""
     q["brief_final"] = w(H, _v2_rows(RUNS)) + "\nSELECT * FROM final"
+    q["brief_feed"] = w(FEED, _v2_rows(FEED_RUNS, LOCAL_RUN.format("c"))) + "\nSELECT * FROM final"
+    q["stream_brief_once"] = w(FEED, _v2_rows(FEED_RUNS, LOCAL_RUN.format("c"))) + """,
+at_home AS (
+  SELECT f.*, timezone(r.timezone, timezone('UTC', f.run_time_utc)) AS local_run
+  FROM final f JOIN runs r ON r.location_name = f.location_name AND r.as_of_utc = f.run_time_utc
+),
+firsts AS (
+  SELECT location_name, CAST(local_run AS DATE) AS sent_date_local, min(run_time_utc) AS run_time_utc
+  FROM at_home WHERE extract(hour FROM local_run) >= 7 GROUP BY 1, 2
+)
+SELECT e.sent_date_local, e.run_time_utc AS sent_time_utc, location_name, """ + BRIEF_TEXT + """ AS message
+FROM firsts e JOIN final USING (location_name, run_time_utc)"""
     q["brief_outbox"] = w(H, _v2_rows(DIGEST_RUNS), BRIEF_LOG) + """,
 elig AS (
   SELECT f.*, CAST(f.run_time_utc AS DATE) AS sent_date_local,
@@ -661,17 +761,7 @@ elig AS (
                     AND b.sent_date_local = CAST(f.run_time_utc AS DATE))
 )
 SELECT sent_date_local, run_time_utc AS sent_time_utc, location_name,
-       concat_ws(chr(10),
-         'Morning brief (' || location_name || '): ' ||
-           CASE WHEN avg_temp_c_12h IS NOT NULL AND avg_feels_like_c_12h IS NOT NULL
-                THEN CAST(avg_temp_c_12h AS VARCHAR) || '°C (feels like ' || CAST(avg_feels_like_c_12h AS VARCHAR) || '°C)'
-                WHEN avg_temp_c_12h IS NOT NULL THEN CAST(avg_temp_c_12h AS VARCHAR) || '°C'
-                ELSE '(temperature unavailable)' END,
-         'Sky: ' || coalesce(nullif(trim(sky_text), ''), 'unknown'),
-         CASE WHEN rain_possible THEN 'Rain: possible' END,
-         CASE WHEN max_wind_kmh_12h >= 25
-              THEN 'Wind: up to ' || CAST(CAST(round_even(max_wind_kmh_12h, 0) AS BIGINT) AS VARCHAR) || ' km/h' END,
-         CASE WHEN length(trim(dayparts_line)) > 0 THEN 'Dayparts: ' || trim(dayparts_line) END) AS message
+       """ + BRIEF_TEXT + """ AS message
 FROM elig WHERE k = 1"""
     q["brief_metrics"] = w(H, _days(FINAL_RUNS, 4)) + """
 SELECT m.location_name, m.run_date AS today_date, m.today_avg_temp, m.yday_avg_temp,
@@ -791,7 +881,9 @@ SELECT location_name, date_trunc('hour', snapshot_time_utc) AS hour_start_utc, C
        min(content_hash) AS content_hash
 FROM registry_copies GROUP BY 1, 2"""
     q["stream_change"] = q["content_changed"]
+    q["stream_change_by_snapshot"] = q["content_changed"]
     q["stream_cooldown"] = q["cooldown_replay"]
+    q["stream_alert"] = q["alert_feed_outbox"]
     # ---------------------------------------------------------- sinks
     q["append_alert_log"] = q["alert_outbox"]
     q["append_brief_log"] = (q["brief_outbox"])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintagecast import config
-from vintagecast.functions.columns import day_floor, hour_floor, hour_of, plus_hours
+from vintagecast.functions.columns import day_floor, hour_floor, hour_of, plus_hours, to_local
 from vintagecast.session import table_path
 
 FIXTURE_ZONE = "UTC"
@@ -21,6 +21,11 @@ HEALTH_ZONE = "Europe/Prague"
 RUN_OFFSET_HOURS = 6
 DIGEST_EXTRA_OFFSET_HOURS = 3
 
+FEED_ZONES = ("UTC", "Europe/Prague", "America/New_York", "Asia/Kolkata")
+FEED_START = "2024-03-28 00:00:00"     # Prague's clocks go forward on the 31st
+FEED_HOURS = 24                        # horizon of a snapshot
+FEED_PACE = 4                          # hours of ``ts`` that make an hour of the feed
+
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, "events"))
@@ -69,6 +74,32 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "temperature_c", "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct")
 
 
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """several snapshots a day in four zones, over a change of clocks.
+
+    Event time runs four times as fast from ``FEED_START``; a (user, hour) that
+    has events is a snapshot, forecast for the 24 hours from its own on the
+    location's clock.  The smallest event id gives the measures, which change
+    every six hours."""
+    ev = events(spark, sf_dir)
+    hours = F.expr("timestampdiff(HOUR, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)")
+    start = F.lit(FEED_START).cast("timestamp_ntz")
+    zones = F.array(*[F.lit(z) for z in FEED_ZONES])
+    picked = (ev.select("user_id", F.floor(hours / FEED_PACE).alias("h"), "event_id")
+              .groupBy("user_id", "h").agg(F.min("event_id").alias("eid")))
+    rows = picked.select(
+        _location().alias("location_name"), plus_hours(start, F.col("h")).alias("snapshot_time_utc"),
+        F.get(zones, (F.col("user_id") % len(FEED_ZONES)).cast("int")).alias("timezone"), "eid",
+        F.explode(F.sequence(F.lit(0), F.lit(FEED_HOURS - 1))).alias("i"))
+    ft = hour_floor(to_local(plus_hours("snapshot_time_utc", F.col("i")), F.col("timezone")))
+    wind = ((F.col("eid") * 11) % 50 + F.col("i") % 3).cast("double")
+    rows = rows.select(
+        "location_name", "snapshot_time_utc", "timezone", F.col("i").cast("bigint").alias("idx"),
+        ft.alias("forecast_time_local"), *_measures(F.col("eid") + F.floor(F.col("i") / 6) * 7, wind))
+    return rows.withColumn("forecast_date_local", F.to_date("forecast_time_local")).withColumn(
+        "forecast_hour_local", hour_of("forecast_time_local"))
+
+
 def snapshots(hourly_df: DataFrame) -> DataFrame:
     """Distinct (location, snapshot, zone): the list of versions."""
     return hourly_df.select("location_name", "snapshot_time_utc", "timezone").distinct()

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vintagecast.config import RULES, Rules
-from vintagecast.operators import alerts, brief, gating
-from vintagecast.schemas import ALERT_LOG, BRIEF_LOG, RAW_SNAPSHOTS, SNAPSHOT_REGISTRY
+from vintagecast.operators import alerts, brief, gating, normalize
+from vintagecast.operators.versions import PART, visible_versions
+from vintagecast.schemas import ALERT_LOG, BRIEF_LOG, RAW_SNAPSHOTS, SNAPSHOT_REGISTRY, SNAPSHOTS_HOURLY
+from vintagecast.session import cut_lineage
 from vintagecast.sources import envelopes, tables
 
 KEY = "location_name"
@@ -157,6 +159,37 @@ def stream_change(registry_rows: DataFrame) -> DataFrame:
         _change, CHANGE_OUT, CHANGE_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+def stream_change_by_snapshot(registry_rows: DataFrame, out: str, checkpoint: str):
+    """The change flag by snapshot time, whatever the order of arrival.
+
+    ``stream_change`` compares a snapshot with the newest one that had arrived.
+    Here a late one is put between its neighbours: micro-batch n writes its own
+    rows, and those whose flag it turned, to ``batch=n``;
+    ``newest_updates(spark, out, ["raw_file"])`` reads the result, which equals
+    ``normalize.content_changed`` of all rows so far.  A replayed batch rewrites
+    its own folder from the batches before it."""
+    spark = registry_rows.sparkSession
+    names = [KEY, SNAP, "raw_file", "content_hash"]
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        new = normalize.dedup_raw(df.select(*names))
+        if batch_id == 0:
+            rows = normalize.content_changed(new)
+        else:
+            known = spark.read.parquet(out).where(F.col("batch") < batch_id)
+            known = known.join(new.select(KEY).distinct(), KEY, "left_semi")
+            newest = F.max_by(F.struct(KEY, SNAP, "content_hash", "content_changed"), "batch").alias("_r")
+            known = known.groupBy("raw_file").agg(newest).select("raw_file", "_r.*")
+            new = new.join(known.select("raw_file"), "raw_file", "left_anti").select(*names)
+            flagged = normalize.content_changed(known.select(*names).unionByName(new))
+            was = known.select("raw_file", F.col("content_changed").alias("_was"))
+            rows = flagged.join(was, "raw_file", "left").where(
+                ~F.col("_was").eqNullSafe(F.col("content_changed"))).drop("_was")
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return run_available(registry_rows.writeStream.foreachBatch(batch), checkpoint)
+
+
 # ------------------------------------------------------------------ stream_cooldown
 COOL_OUT = ("location_name string, alert_type string, decision_time_utc timestamp_ntz, decision_id bigint, "
             "should_send_after_gating boolean")
@@ -204,37 +237,104 @@ def stream_cooldown(decisions: DataFrame, rules: Rules = RULES, delay: str = "2
 
 
 # ------------------------------------------------------------------ stream_alert / stream_brief_once
+def _runs(df: DataFrame, offset_hours: int) -> DataFrame:
+    """A run per new snapshot, ``offset_hours`` after it."""
+    at = F.col(SNAP) + F.make_dt_interval(F.lit(0), F.lit(offset_hours))
+    return df.select(KEY, "timezone", at.alias("as_of_utc")).distinct()
+
+
+def _dates(times: DataFrame) -> list:
+    """The distinct dates of a frame's snapshots: as many as the days they span."""
+    return [r[0] for r in times.select(F.to_date(SNAP)).distinct().collect()]
+
+
+def _visible(spark: SparkSession, runs: DataFrame, hourly_path: str, registry_path: str | None
+             ) -> tuple[DataFrame, DataFrame]:
+    """(hourly, version list) for the runs of a micro-batch: the versions of its
+    locations come from the registry, and of a table stored by snapshot date
+    only the dates of the versions that the runs see are read."""
+    hourly = tables.read_hourly(spark, hourly_path)
+    listed = hourly if registry_path is None else tables.read_table(spark, registry_path, SNAPSHOT_REGISTRY)
+    snaps = cut_lineage(listed.select(KEY, SNAP).join(runs.select(KEY).distinct(), KEY, "left_semi").distinct())
+    if PART in hourly.columns:
+        hourly = hourly.where(F.col(PART).isin(_dates(visible_versions(snaps, runs))))
+    return hourly, snaps
+
+
+def send_alerts(runs: DataFrame, hourly_path: str, log_path: str, rules: Rules = RULES,
+                registry_path: str | None = None) -> None:
+    """Decide the runs, gate them against the alert log and append what is sent.
+    Runs that were sent before find themselves in the log: a replay adds nothing."""
+    spark = runs.sparkSession
+    hourly, snaps = _visible(spark, runs, hourly_path, registry_path)
+    dec = alerts.decisions(hourly, runs, rules, snaps=snaps)
+    out = gating.outbox(dec, tables.read_table(spark, log_path, ALERT_LOG), rules)
+    tables.append_alert_log(out.select(*ALERT_LOG.fieldNames()), log_path)
+
+
+def send_briefs(runs: DataFrame, hourly_path: str, log_path: str, rules: Rules = RULES,
+                registry_path: str | None = None) -> None:
+    """The runs' digests, at most one per (location, local date) of the log."""
+    spark = runs.sparkSession
+    hourly, snaps = _visible(spark, runs, hourly_path, registry_path)
+    final = brief.brief_final(hourly, runs, rules, snaps=snaps)
+    out = brief.brief_outbox(final, runs, tables.read_table(spark, log_path, BRIEF_LOG), rules)
+    tables.append_brief_log(out, log_path)
+
+
 def stream_alert(hourly_stream: DataFrame, hourly_path: str, log_path: str, checkpoint: str,
-                 rules: Rules = RULES, run_offset_hours: int = 0):
+                 rules: Rules = RULES, run_offset_hours: int = 0, registry_path: str | None = None):
     """For each micro-batch of new snapshots: run the decision at
-    ``snapshot + offset`` against the full hourly table, gate against the
+    ``snapshot + offset`` against the hourly table, gate against the
     alert log and append the sends to it (the log is the state)."""
-    spark = hourly_stream.sparkSession
-
     def batch(df: DataFrame, batch_id: int) -> None:
-        runs = df.select(KEY, "timezone", (F.col(SNAP) + F.make_dt_interval(
-            F.lit(0), F.lit(run_offset_hours))).alias("as_of_utc")).distinct()
-        hourly = spark.read.parquet(hourly_path).join(runs.select(KEY).distinct(), KEY, "left_semi")
-        dec = alerts.decisions(hourly, runs, rules)
-        log = tables.read_table(spark, log_path, ALERT_LOG)
-        out = gating.outbox(dec, log, rules)
-        tables.append_alert_log(out.select(*ALERT_LOG.fieldNames()), log_path)
+        send_alerts(_runs(df, run_offset_hours), hourly_path, log_path, rules, registry_path)
 
     return run_available(hourly_stream.writeStream.foreachBatch(batch), checkpoint)
 
 
 def stream_brief_once(hourly_stream: DataFrame, hourly_path: str, log_path: str, checkpoint: str,
-                      rules: Rules = RULES, run_offset_hours: int = 0):
+                      rules: Rules = RULES, run_offset_hours: int = 0, registry_path: str | None = None):
     """Digest per new snapshot's run, at most once per (location, local date)."""
-    spark = hourly_stream.sparkSession
-
     def batch(df: DataFrame, batch_id: int) -> None:
-        runs = df.select(KEY, "timezone", (F.col(SNAP) + F.make_dt_interval(
-            F.lit(0), F.lit(run_offset_hours))).alias("as_of_utc")).distinct()
-        hourly = spark.read.parquet(hourly_path).join(runs.select(KEY).distinct(), KEY, "left_semi")
-        final = brief.brief_final(hourly, runs, rules)
-        log = tables.read_table(spark, log_path, BRIEF_LOG)
-        out = brief.brief_outbox(final, runs, log, rules)
-        tables.append_brief_log(out, log_path)
+        send_briefs(_runs(df, run_offset_hours), hourly_path, log_path, rules, registry_path)
 
     return run_available(hourly_stream.writeStream.foreachBatch(batch), checkpoint)
+
+
+# ------------------------------------------------------------------ stream_forecasts
+def land(rows: DataFrame, folder: str) -> None:
+    """Raw rows -> the tables ``raw``, ``registry`` and ``hourly`` below ``folder``,
+    each asked on its own for what it lacks.  Of the hourly table only the
+    rows' snapshot dates are read."""
+    spark = rows.sparkSession
+    raw_path, registry_path, hourly_path = (f"{folder}/{t}" for t in ("raw", "registry", "hourly"))
+    missing = envelopes.missing_from(rows, tables.read_table(spark, raw_path, RAW_SNAPSHOTS))
+    tables.append(missing.select(*RAW_SNAPSHOTS.fieldNames()), raw_path)
+    missing = envelopes.missing_from(rows, tables.read_table(spark, registry_path, SNAPSHOT_REGISTRY))
+    tables.append(envelopes.registry_rows(missing), registry_path)
+    stored = tables.read_table(spark, hourly_path, SNAPSHOTS_HOURLY)
+    if PART in stored.columns:
+        stored = stored.where(F.col(PART).isin(_dates(rows)))
+    fresh = envelopes.missing_snapshots(normalize.dedup_raw(rows), stored)
+    tables.append_hourly(normalize.normalize_hourly(fresh), hourly_path)
+
+
+def stream_forecasts(raw_rows: DataFrame, folder: str, checkpoint: str, rules: Rules = RULES,
+                     run_offset_hours: int = 0):
+    """The whole hourly job on a stream of raw rows (``envelope_stream``): land
+    them, normalise, decide and gate alerts, write digests.  Tables: ``raw``,
+    ``registry``, ``hourly``, ``alert_log``, ``brief_log`` below ``folder``.
+
+    A micro-batch that is replayed after a stop at any point completes what is
+    missing.  A snapshot that arrives late is judged as of its own time, by the
+    versions that have arrived."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        land(df, folder)
+        runs = cut_lineage(_runs(df, run_offset_hours))
+        send_alerts(runs, f"{folder}/hourly", f"{folder}/alert_log", rules, f"{folder}/registry")
+        send_briefs(runs, f"{folder}/hourly", f"{folder}/brief_log", rules, f"{folder}/registry")
+        df.unpersist()
+
+    return run_available(raw_rows.writeStream.foreachBatch(batch), checkpoint)
