@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from vintagecast.operators import alerts, brief, gating, normalize
-from vintagecast.schemas import ALERT_LOG, BRIEF_LOG
+from vintagecast.schemas import ALERT_LOG, BRIEF_LOG, RAW_SNAPSHOTS
 from vintagecast.sources import fixtures as fx
 from vintagecast.sources import tables
 from vintagecast.streaming import streams
@@ -164,6 +164,98 @@ def test_stream_cooldown_survives_late_decisions(spark):
     assert got.get(4, False) in (False, True)
 
 
+def _land_files(spark, rows, schema, folder, first=0):
+    """A file for each list of rows, in the order given."""
+    for i, part in enumerate(rows, first):
+        frame = spark.createDataFrame(part, schema).withColumn("snapshot_time_utc", F.col("snapshot_time_utc").cast("timestamp_ntz"))
+        path = os.path.join(folder, f"{i}.parquet")
+        pq.write_table(pa.Table.from_pandas(frame.toPandas(), preserve_index=False), path, coerce_timestamps="us")
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    return frame.schema
+
+
+REG = "location_name string, snapshot_time_utc string, raw_file string, content_hash string"
+
+
+def _reg(loc, hour, h):
+    return loc, f"2024-01-{1 + hour // 24:02d} {hour % 24:02d}:00:00", f"{loc}{hour}", h
+
+
+def test_stream_change_by_snapshot_mends_successors(spark):
+    src_dir, base = _tmp("chgsnap-in"), _tmp("chgsnap")
+    files = [[_reg("p", 1, "a"), _reg("q", 5, "x")], [_reg("p", 3, "a"), _reg("q", 50, "x")],
+             [_reg("p", 2, "b"), _reg("q", 30, "x")],       # 3 o'clock turns TRUE
+             [_reg("p", 2, "b"), _reg("q", 29, "y")]]       # a file again; 30 turns TRUE
+    schema = _land_files(spark, files, REG, src_dir)
+    out, ck = os.path.join(base, "out"), os.path.join(base, "ckpt")
+
+    def run(checkpoint):
+        streams.stream_change_by_snapshot(streams.table_stream(spark, src_dir, schema, max_files=1), out, checkpoint)
+        return {r.raw_file: r.content_changed for r in streams.newest_updates(spark, out, ["raw_file"]).collect()}
+
+    want = {"p1": True, "p2": True, "p3": True, "q5": True, "q29": True, "q30": True, "q50": False}
+    assert run(ck) == want
+    assert run(ck) == want                                  # nothing new
+    assert run(os.path.join(base, "replayed")) == want      # every batch again, into the same folders
+
+
+def test_stream_change_by_snapshot_any_order(spark):
+    import random
+    rng = random.Random(5)
+    rows = [_reg(rng.choice("pqr"), h, rng.choice("abc")) for h in range(60)]
+    exp = {r.raw_file: r.content_changed for r in normalize.content_changed(spark.createDataFrame(rows, REG).withColumn(
+        "snapshot_time_utc", F.col("snapshot_time_utc").cast("timestamp_ntz"))).collect()}
+    rng.shuffle(rows)
+    src_dir, base = _tmp("chgany-in"), _tmp("chgany")
+    schema = _land_files(spark, [rows[i:i + 12] for i in range(0, 60, 12)], REG, src_dir)
+    out = os.path.join(base, "out")
+    streams.stream_change_by_snapshot(streams.table_stream(spark, src_dir, schema, max_files=1), out, os.path.join(base, "ckpt"))
+    assert {r.raw_file: r.content_changed for r in streams.newest_updates(spark, out, ["raw_file"]).collect()} == exp
+
+
+def test_stream_forecasts_reads_only_the_seen_dates_and_survives_replay(spark):
+    raw = fx.raw_snapshots(fx.feed(spark, SF_SMALL)).where(F.col("location_name").isin("u1", "u2", "u3", "u7"))
+    raw = raw.select(*RAW_SNAPSHOTS.fieldNames())
+    src_dir, base = _tmp("chain-in"), _tmp("chain")
+    raw.where("snapshot_time_utc < '2024-04-01'").coalesce(1).write.mode("append").parquet(src_dir)
+    raw.where("snapshot_time_utc >= '2024-04-01'").coalesce(1).write.mode("append").parquet(src_dir)
+    names = ("raw", "registry", "hourly", "alert_log", "brief_log")
+
+    def run(checkpoint):
+        src = streams.table_stream(spark, src_dir, RAW_SNAPSHOTS, max_files=1)
+        q = streams.stream_forecasts(src, base, os.path.join(base, checkpoint))
+        assert len([p for p in q.recentProgress if p.numInputRows]) in (0, 2)
+        return {n: sorted(map(str, spark.read.parquet(f"{base}/{n}").drop("inserted_at_utc").collect())) for n in names}
+
+    first = run("ckpt")
+    assert len(first["raw"]) == len(first["registry"]) == raw.count() and len(first["hourly"]) == 24 * raw.count()
+    assert first["alert_log"] and first["brief_log"]
+    assert run("ckpt") == first
+    assert run("replayed") == first     # the same files under a new checkpoint
+    # a run early in the span opens none of the later dates' files
+    runs = raw.where("snapshot_time_utc < '2024-03-30'").select("location_name", "timezone", F.col("snapshot_time_utc").alias("as_of_utc"))
+    hourly, _ = streams._visible(spark, runs, f"{base}/hourly", f"{base}/registry")
+    read = {r[0] for r in hourly.select(F.input_file_name()).distinct().collect()}
+    assert read and all("snapshot_date=2024-03-28" in f or "snapshot_date=2024-03-29" in f for f in read)
+    plan = hourly._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan or "PartitionFilters: [snapshot_date" in plan
+
+
+def test_stream_forecasts_completes_a_broken_batch(spark):
+    raw = fx.raw_snapshots(fx.feed(spark, SF_SMALL)).where(F.col("location_name") == "u1").select(*RAW_SNAPSHOTS.fieldNames())
+    whole, broken = _tmp("whole"), _tmp("broken")
+    raw = raw.cache()
+    streams.land(raw, whole)
+    # stopped after the raw table, half of the registry written
+    tables.append(raw, f"{broken}/raw")
+    tables.append(spark.read.parquet(f"{whole}/registry").where(F.pmod(F.xxhash64("raw_file"), F.lit(2)) == 0), f"{broken}/registry")
+    streams.land(raw, broken)
+    streams.land(raw, broken)
+    for n in ("raw", "registry", "hourly"):
+        a, b = (spark.read.parquet(f"{d}/{n}").drop("inserted_at_utc") for d in (whole, broken))
+        assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+
+
 def test_stream_hour_counts_drops_state_and_survives_replay(spark):
     reg = fx.registry_with_copies(spark, SF_SMALL)
     src_dir, base = _tmp("hours-in"), _tmp("hours")
