@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
+from vintagecast.operators import alerts, normalize
 from vintagecast.plans import catalog
+from vintagecast.sources import fixtures as fx
 
 # these run streaming queries or write files while being built
 SIDE_EFFECT_KEYS = {"read_envelopes", "newest_file", "stream_ingest", "stream_dedup", "stream_hour_counts",
@@ -44,3 +47,21 @@ def test_scans_read_only_needed_columns(spark):
     plan = _plan(spark, "alert_replay")
     for s in re.findall(r"ReadSchema: (struct<[^>]*>)", plan):
         assert "props" not in s and "event_type" not in s      # events columns the fixture does not use
+
+
+def test_window_join_merges_exploded_sides(spark):
+    """Rows behind ``explode`` are more than the planner takes them for: no side is broadcast."""
+    h = fx.hourly(spark, SF_SMALL)
+    rows = alerts.horizon_rows(h, fx.snapshots(h).withColumn("as_of_utc", F.col("snapshot_time_utc")), 6)
+    join = re.search(r"(\w+) \[location_name[^\]]*_hf[^\]]*\]", rows._jdf.queryExecution().executedPlan().toString())
+    assert join[1] == "SortMergeJoin" and rows.count() > 0
+
+
+def test_a_payload_is_parsed_once(spark):
+    raw = fx.raw_snapshots(fx.feed(spark, SF_SMALL))
+    plan = normalize.normalize_hourly(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_feed_is_normalised_once(spark):
+    assert "from_json" not in _plan(spark, "alert_feed")
