@@ -164,6 +164,32 @@ def test_stream_cooldown_survives_late_decisions(spark):
     assert got.get(4, False) in (False, True)
 
 
+def test_stream_cooldown_calls_python_by_bucket(spark):
+    """Few calls hold many keys; decisions without a time or a key never crash; state goes behind the watermark."""
+    src_dir, base = _tmp("coolbucket-in"), _tmp("coolbucket")
+    schema = "location_name string, alert_type string, t string, decision_id long"
+    rows = [(f"L{k}", "rain", f"2024-01-{1 + d:02d} {h:02d}:00:00", 1000 * d + 10 * k + h)
+            for d in range(3) for k in range(40) for h in (1, 2, 3, 5)]
+    rows += [(None, "rain", "2024-01-01 01:30:00", -1), (None, "rain", None, -2), ("only", "rain", None, -3)]
+    for i in range(3):
+        part = [r for r in rows if (r[3] // 1000 if r[3] >= 0 else 0) == i]
+        frame = spark.createDataFrame(part, schema).selectExpr(
+            "location_name", "alert_type", "cast(t as timestamp_ntz) AS decision_time_utc", "decision_id")
+        path = os.path.join(src_dir, f"{i}.parquet")
+        pq.write_table(pa.Table.from_pandas(frame.toPandas(), schema=pa.schema([
+            ("location_name", pa.string()), ("alert_type", pa.string()), ("decision_time_utc", pa.timestamp("us")),
+            ("decision_id", pa.int64())]), preserve_index=False), path)
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    out = os.path.join(base, "out")
+    src = streams.table_stream(spark, src_dir, frame.schema, max_files=1)
+    q = streams.run_to_parquet(streams.stream_cooldown(src, buckets=8), out, os.path.join(base, "ckpt"))
+    got = {r.decision_id: r.should_send_after_gating for r in spark.read.parquet(out).collect()}
+    want = {i: int(t[11:13]) in (1, 3, 5) for loc, _, t, i in rows if i >= 0}
+    assert {k: v for k, v in got.items() if k >= 0} == want and got[-1] is True
+    assert not any(got.get(i, False) for i in (-2, -3))
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators) <= 8
+
+
 def _land_files(spark, rows, schema, folder, first=0):
     """A file for each list of rows, in the order given."""
     for i, part in enumerate(rows, first):

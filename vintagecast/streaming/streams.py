@@ -193,46 +193,60 @@ def stream_change_by_snapshot(registry_rows: DataFrame, out: str, checkpoint: st
 # ------------------------------------------------------------------ stream_cooldown
 COOL_OUT = ("location_name string, alert_type string, decision_time_utc timestamp_ntz, decision_id bigint, "
             "should_send_after_gating boolean")
-COOL_STATE = "last_sent timestamp_ntz"
+COOL_STATE = "location_name array<string>, alert_type array<string>, last_sent array<bigint>"
+#: Keys are dealt to so many states.  The state of a running query hangs on it: a new number needs a new checkpoint.
+COOL_BUCKETS = 4096
 
 
 def _cooldown(hours: int):
-    gap = pd.Timedelta(hours=hours)
+    gap = hours * 3_600_000_000
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:   # the old send no longer blocks anything
+        last: dict = {}      # (location, type) -> microseconds of its last send
+        if state.exists:
+            locations, types, times = state.get
+            last = dict(zip(zip(locations, types), map(int, times)))
+        if not state.hasTimedOut:
+            pdf = pd.concat(list(batches), ignore_index=True).sort_values(
+                ["decision_time_utc", "decision_id"], kind="mergesort")
+            times = pdf["decision_time_utc"]
+            send = []
+            for k, t, timed in zip(zip(pdf[KEY], pdf["alert_type"]), times.astype("datetime64[us]").astype("int64").tolist(),
+                                   times.notna().tolist()):
+                ok = timed and (k not in last or t >= last[k] + gap)
+                send.append(ok)
+                if ok:
+                    last[k] = t
+        # a send that is free behind the watermark blocks nothing any more
+        now = state.getCurrentWatermarkMs()
+        last = {k: t for k, t in last.items() if (t + gap) // 1000 > now}
+        if last:
+            state.update(([k[0] for k in last], [k[1] for k in last], list(last.values())))
+            state.setTimeoutTimestamp((min(last.values()) + gap) // 1000)
+        elif state.exists:
             state.remove()
-            return
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(
-            ["decision_time_utc", "decision_id"], kind="mergesort")
-        last = state.get[0] if state.exists else None
-        send = []
-        for t in pdf["decision_time_utc"]:
-            ok = last is None or t >= last + gap
-            send.append(ok)
-            if ok:
-                last = t
-        free = int((last + gap).timestamp() * 1000)
-        if free > state.getCurrentWatermarkMs():
-            state.update((last,))
-            state.setTimeoutTimestamp(free)
-        elif state.exists:  # what it blocks is behind the watermark already
-            state.remove()
-        yield pdf.assign(should_send_after_gating=send)[
-            [KEY, "alert_type", "decision_time_utc", "decision_id", "should_send_after_gating"]]
+        if not state.hasTimedOut:
+            yield pdf.assign(should_send_after_gating=send)[
+                [KEY, "alert_type", "decision_time_utc", "decision_id", "should_send_after_gating"]]
     return fn
 
 
-def stream_cooldown(decisions: DataFrame, rules: Rules = RULES, delay: str = "2 hours") -> DataFrame:
+def stream_cooldown(decisions: DataFrame, rules: Rules = RULES, delay: str = "2 hours",
+                    buckets: int = COOL_BUCKETS) -> DataFrame:
     """Self-fed cooldown with keyed state (last send per location and type).
-    State expires 2h after the last send, so it stays bounded by active keys.
+    A send leaves the state 2h after it, so the state stays bounded by active keys.
+    Decisions without a time never send.
+
+    A call into Python costs milliseconds, a decision less than a microsecond or
+    two: a state holds a bucket of keys, not one.
 
     Late decisions: up to ``delay`` behind the newest, a decision is judged
     against the last send of its key (none is sent at a time before that send);
     further behind, Spark may leave it out."""
     d = decisions.select(KEY, "alert_type", "decision_time_utc", "decision_id",
                          event_time("decision_time_utc").alias("_event")).withWatermark("_event", delay)
-    return d.groupBy(KEY, "alert_type").applyInPandasWithState(
+    d = d.withColumn("_bucket", F.pmod(F.xxhash64(KEY, "alert_type"), F.lit(buckets)))
+    return d.groupBy("_bucket").applyInPandasWithState(
         _cooldown(rules.cooldown_hours), COOL_OUT, COOL_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
