@@ -133,6 +133,24 @@ def test_history_rows_against_a_loop(spark):
     assert got == sorted(want) and len(got) > 100
 
 
+def test_history_asks_for_the_times_there_are(spark):
+    """A run asks for no hour that the table lacks, and for those off the hour too."""
+    rows = [("a", "2024-05-01 00:00:00", f"2024-05-01 {t}", 1.0, 0.0, 0.0, 0.0) for t in ("06:00:00", "07:30:00", "05:30:00")]
+    out = versions.history_rows(hourly_rows(spark, rows), runs_df(spark, [("a", "2024-05-02 08:00:00")]), 4, (6, 23))
+    assert sorted(str(r.forecast_time_local)[11:16] for r in out.collect()) == ["06:00", "07:30"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.split("\n") if "explode(sequence(" in x and "HOUR" in x]) == 0
+
+
+def test_todays_hours_are_joined_by_date(spark):
+    from vintagecast.config import RULES
+    from vintagecast.operators import brief
+    rows = [("a", "2024-05-01 00:00:00", f"2024-05-0{d} {h:02d}:00:00", 1.0, 0.0, 0.0, 0.0) for d in (1, 2) for h in (0, 5, 6, 23)]
+    out = brief._today_rows(hourly_rows(spark, rows), runs_df(spark, [("a", "2024-05-02 08:00:00"), ("a", "2024-05-03 08:00:00")]), RULES)
+    assert sorted(str(r.forecast_time_local)[:16] for r in out.collect()) == ["2024-05-02 06:00", "2024-05-02 23:00"]
+    assert "explode(sequence(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_health_masks_against_a_loop(spark):
     rng = random.Random(8)
     rows = []

@@ -16,7 +16,7 @@ from vintagecast.functions.columns import (
     brief_message, day_floor, daypart_label, daypart_order, exact_mean, exact_mean_rounded,
     hour_floor, ordered_string_agg, plus_hours, sky_text, to_local)
 from vintagecast.operators.alerts import horizon_rows, rows_in_windows
-from vintagecast.operators.versions import KEY, SNAP, current_versions, history_rows, snapshot_list
+from vintagecast.operators.versions import KEY, PART, SNAP, current_versions, history_rows, snapshot_list
 
 _MEAS = ["forecast_time_local", "forecast_date_local", "forecast_hour_local", "temperature_c",
          "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct"]
@@ -177,13 +177,16 @@ def brief_outbox(final: DataFrame, runs: DataFrame, log: DataFrame, rules: Rules
 # ---------------------------------------------------------------- day metrics
 def _today_rows(hourly: DataFrame, runs: DataFrame, rules: Rules,
                 snaps: DataFrame | None = None) -> DataFrame:
-    """Today's hours (hour band 6-23) of each run's current snapshot."""
+    """Today's hours (hour band 6-23) of each run's current snapshot: the band
+    lies within one local date, so the join goes by date, a row for each run."""
     v = _current(hourly, runs, snaps)
-    local = to_local("as_of_utc", F.col("timezone"))
-    v = v.withColumn("run_date", F.to_date(local)).withColumn("_day", day_floor(local))
-    rows = rows_in_windows(hourly, v, plus_hours("_day", rules.profile_first_hour),
-                           plus_hours("_day", rules.profile_last_hour + 1), _MEAS).drop("_day")
-    return rows.where(F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
+    v = v.withColumn("run_date", F.to_date(to_local("as_of_utc", F.col("timezone"))))
+    part = [PART] if PART in hourly.columns else []
+    if part:  # as in rows_in_windows
+        v = v.withColumn(PART, F.to_date(SNAP))
+    h = hourly.where(F.col("forecast_hour_local").between(rules.profile_first_hour, rules.profile_last_hour))
+    h = h.select(KEY, SNAP, *part, *_MEAS).withColumn("run_date", F.col("forecast_date_local"))
+    return h.hint("merge").join(v, [*part, KEY, SNAP, "run_date"])
 
 
 def _past_rows(hourly: DataFrame, runs: DataFrame, rules: Rules, days: int,

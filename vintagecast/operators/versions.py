@@ -173,31 +173,31 @@ def forecast_history(hourly: DataFrame) -> DataFrame:
                     *[F.col("b." + m).alias(m) for m in measures])
 
 
-def history_rows(hourly: DataFrame, runs: DataFrame, days_back: int, hours: tuple[int, int] = (0, 23),
-                 step: str = "1 hour") -> DataFrame:
+def history_rows(hourly: DataFrame, runs: DataFrame, days_back: int, hours: tuple[int, int] = (0, 23)) -> DataFrame:
     """Per run, the forecast hours of the ``days_back`` local days before the
     run's local date (from ``hours[0]`` to ``hours[1]``), each from the newest
     snapshot at or before ``as_of`` that has it (all its rows of that hour).
 
-    One read of ``hourly``, bound to the dates the runs ask for, and one
-    exchange by (location, forecast time): every version of an hour and every
-    run that asks for it meet there in time order, and a run takes the version
-    that is valid then, measures and all.  ``step`` is the grid of the forecast
-    times.
+    A run asks for the forecast times that the table has on those days, no
+    others.  One exchange by (location, forecast time): every version of an hour
+    and every run that asks for it meet there in time order, and a run takes the
+    version that is valid then, measures and all.
     """
     from vintagecast.functions.columns import to_local
     measures = ["temperature_c", "feels_like_c", "precipitation_mm", "wind_kmh", "cloudcover_pct"]
     carried = [SNAP, "forecast_date_local", "forecast_hour_local", *measures]
     r = runs.select(KEY, "as_of_utc", F.to_date(to_local("as_of_utc", F.col("timezone"))).alias("run_date"))
-    r = r.select("*", F.explode(F.sequence(F.date_sub("run_date", days_back), F.date_sub("run_date", 1))).alias("_day"))
-    days = r.select(KEY, F.col("_day").alias("forecast_date_local")).distinct()
-    start = F.col("_day").cast("timestamp_ntz")
-    first, last = (start + F.make_dt_interval(hours=F.lit(h), secs=F.lit(s)) for h, s in ((hours[0], 0), (hours[1] + 1, -1)))
+    r = r.select("*", F.explode(F.sequence(F.date_sub("run_date", days_back), F.date_sub("run_date", 1))).alias("forecast_date_local"))
+    days = r.select(KEY, "forecast_date_local").distinct()
     row = F.struct(*carried)
     kind = hourly.select(row.alias("r")).schema["r"].dataType.simpleString()
-    asked = r.select(KEY, F.explode(F.sequence(first, last, F.expr(f"INTERVAL {step}"))).alias("forecast_time_local"),
-                     F.col("as_of_utc").alias("_t"), F.lit(1).alias("_k"), "run_date", F.lit(None).cast(kind).alias("_row"))
-    h = hourly.where(F.col("forecast_hour_local").between(*hours)).join(days, [KEY, "forecast_date_local"], "left_semi")
+    h = hourly.where(F.col("forecast_hour_local").between(*hours))
+    times = h.select(KEY, "forecast_date_local", "forecast_time_local").distinct()
+    # r and days come out of explode: merged, as the planner takes their rows for fewer than they are
+    asked = times.hint("merge").join(r, [KEY, "forecast_date_local"]).select(
+        KEY, "forecast_time_local", F.col("as_of_utc").alias("_t"), F.lit(1).alias("_k"), "run_date",
+        F.lit(None).cast(kind).alias("_row"))
+    h = h.hint("merge").join(days, [KEY, "forecast_date_local"], "left_semi")
     held = h.select(KEY, "forecast_time_local", F.col(SNAP).alias("_t"), F.lit(0).alias("_k"),
                     F.lit(None).cast("date").alias("run_date"), row.alias("_row"))
     # versions of one forecast time: as many as snapshots reach it (the horizon bounds them)
