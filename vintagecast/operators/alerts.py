@@ -18,18 +18,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintagecast.config import RULES, Rules
-from vintagecast.functions.columns import hour_floor, plus_hours, to_local
+from vintagecast.functions.columns import day_floor, hour_floor, hour_of, plus_hours, to_local
 from vintagecast.operators.versions import KEY, PART, SNAP, snapshot_list, visible_versions
 
 
+def _half_day(c: F.Column | str) -> F.Column:
+    return plus_hours(day_floor(c), F.when(hour_of(c) >= 12, 12).otherwise(0))
+
+
 def rows_in_windows(hourly: DataFrame, versions: DataFrame, start: F.Column, end: F.Column,
                     columns: list[str] | None = None) -> DataFrame:
     """Hourly rows of each (run, version) with ``start <= forecast_time < end``.
 
-    Each version row lists the forecast hours its window touches (a handful)
-    and joins on (location, snapshot, hour): the join emits only rows that can
-    be in the window, never every (run, row) pair of a snapshot.  The exact
-    bounds are a residual filter, so sub-hourly data stays correct.
+    Each version row lists the half days its window touches (two or three) and
+    joins on (location, snapshot, half day), with the exact bounds as the join's
+    residual filter: it compares a run with the rows of its half days only and
+    emits those in the window.  Rows of a half day lie together, so what is
+    shuffled packs well and aggregates before it is shuffled again.
 
     The join is a merge by name: its sides come out of ``explode``, whose rows
     the planner takes to be as many as go in, so it would broadcast them.
@@ -39,12 +44,12 @@ def rows_in_windows(hourly: DataFrame, versions: DataFrame, start: F.Column, end
     cols = [c for c in cols if c in hourly.columns and c != "forecast_time_local"]
     last = F.col("_we") - F.expr("INTERVAL 1 MICROSECOND")      # window end is exclusive
     v = versions.withColumn("_ws", start).withColumn("_we", end)
-    v = v.withColumn("_hf", F.explode(F.sequence(hour_floor("_ws"), hour_floor(last), F.expr("INTERVAL 1 HOUR"))))
+    v = v.withColumn("_hf", F.explode(F.sequence(_half_day("_ws"), _half_day(last), F.expr("INTERVAL 12 HOUR"))))
     keys = [KEY, SNAP, "_hf"]
     part = [PART] if PART in hourly.columns else []
     if part:  # stored layout: the partition column joins too, so the scan is pruned at run time
         v = v.withColumn(PART, F.to_date(SNAP))
-    h = hourly.select(KEY, SNAP, *part, "forecast_time_local", *cols).withColumn("_hf", hour_floor("forecast_time_local"))
+    h = hourly.select(KEY, SNAP, *part, "forecast_time_local", *cols).withColumn("_hf", _half_day("forecast_time_local"))
     j = h.hint("merge").join(v, [*part, *keys])
     return j.where((F.col("forecast_time_local") >= F.col("_ws")) & (F.col("forecast_time_local") < F.col("_we"))
                    ).drop("_hf", "_ws", "_we")

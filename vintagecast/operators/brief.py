@@ -137,17 +137,38 @@ def brief_final(hourly: DataFrame, runs: DataFrame, rules: Rules = RULES, part_s
     w12 = (h0, plus_hours(h0, rules.digest_horizon_hours))
     band = (plus_hours(day, rules.day_band_start_hour), plus_hours(day, rules.day_band_end_hour))
     rows = rows_in_windows(hourly, cur, F.least(w12[0], band[0]), F.greatest(w12[1], band[1]), _MEAS)
+    # one aggregation: both windows and the few day parts of the band side by side
     ft = F.col("forecast_time_local")
-    v2 = _v2_agg(rows.where((ft >= w12[0]) & (ft < w12[1])))
-    parts = _part_agg(rows.where((ft >= band[0]) & (ft < band[1])), part_set)
-    w = Window.partitionBy(KEY, "as_of_utc", SNAP)
-    all_rainy = (F.sum(F.when(F.col("rain_possible"), 1).otherwise(0)).over(w) == F.count(F.lit(1)).over(w))
-    tag = F.when(all_rainy, F.lit("")).when(F.col("rain_possible"), F.lit(config.RAIN_TAG)).otherwise(F.lit(""))
-    line = parts.withColumn("_txt", _part_text(tag)).groupBy(KEY, "as_of_utc", SNAP).agg(
-        ordered_string_agg(F.col("_txt"), F.col("sort_key"), config.DAYPART_SEPARATOR).alias("dayparts_line"))
-    out = v2.join(line, [KEY, "as_of_utc", SNAP], "left").withColumnRenamed("as_of_utc", "run_time_utc")
+    in12, in_band = (ft >= w12[0]) & (ft < w12[1]), (ft >= band[0]) & (ft < band[1])
+    rows = rows.withColumn("_in12", in12).withColumn("_part", F.when(in_band, daypart_label(F.col("forecast_hour_local"), part_set)))
+    names = [n for n, *_ in config.DAYPART_SETS[part_set]] + [n for n in (config.DAYPART_ELSE[part_set],) if n]
+    wet = F.coalesce("precipitation_mm", F.lit(0.0))
+    aggs = []
+    for i, name in enumerate(names):
+        own = F.col("_part") == name
+        aggs += [exact_mean_rounded(F.when(own, F.col("temperature_c")), 0).alias(f"_t{i}"),
+                 (F.max(F.when(own, wet)) > 0).alias(f"_wet{i}")]       # NULL: the part has no rows
+    near = {c: F.when(F.col("_in12"), F.col(c)) for c in rows.columns}
+    g = rows.groupBy(KEY, "as_of_utc", SNAP).agg(
+        exact_mean(near["cloudcover_pct"]).alias("_c"),
+        exact_mean_rounded(near["temperature_c"], 1).alias("avg_temp_c_12h"),
+        exact_mean_rounded(near["feels_like_c"], 1).alias("avg_feels_like_c_12h"),
+        exact_mean_rounded(near["cloudcover_pct"], 0).alias("avg_cloudcover_pct_12h"),
+        (F.max(F.when(F.col("_in12"), wet)) > 0).alias("rain_possible"),
+        F.round(F.max(near["wind_kmh"]), 0).alias("max_wind_kmh_12h"),
+        F.min(near["forecast_time_local"]).alias("window_start_local"),
+        F.max(near["forecast_time_local"]).alias("window_end_local"),
+        F.count(F.when(F.col("_in12"), 1)).alias("n_hours"), *aggs)
+    all_rainy = F.lit(True)
+    for i in range(len(names)):
+        all_rainy = all_rainy & F.coalesce(f"_wet{i}", F.lit(True))
+    texts = [F.concat(F.lit(f"{name} "), F.col(f"_t{i}").cast("int").cast("string"), F.lit(config.DEGREE_C),
+                      F.when(F.col(f"_wet{i}") & ~all_rainy, F.lit(config.RAIN_TAG)).otherwise(F.lit("")))
+             for i, name in enumerate(names)]
+    line = F.when(F.coalesce(*texts).isNotNull(), F.concat_ws(config.DAYPART_SEPARATOR, *texts))
+    out = g.where("n_hours > 0").withColumn("dayparts_line", line).withColumn("sky_text", sky_text(F.col("_c")))
     cols = V2_COLUMNS[:-3] + ["dayparts_line"] + V2_COLUMNS[-3:]
-    return out.select(*cols)
+    return out.withColumnRenamed("as_of_utc", "run_time_utc").select(*cols)
 
 
 def brief_outbox(final: DataFrame, runs: DataFrame, log: DataFrame, rules: Rules = RULES,
